@@ -208,34 +208,8 @@ SELECT * FROM r2 WHERE
     c.append(("ramp", """
 SELECT * FROM r3 WHERE departure_runway_actual_time IS NOT NULL
   AND departure_movement_area_actual_time IS NOT NULL AND departure_stand_actual_time IS NOT NULL"""))
-    # baseline on the ramp table: mean per (runway, terminal)
-    c.append(("bt", """
-SELECT *, NULLIF(regexp_extract(departure_stand_actual, '^([A-K])[0-9]+', 1), '') AS terminal FROM ramp"""))
-    c.append(("btrain", "SELECT * FROM bt WHERE \"group\" = 'train'"))
-    c.append(("bchk", f"""
-SELECT b.*, (
-  {missing('b.departure_stand_actual')} OR {missing('b.departure_runway_actual')}
-  OR b.departure_stand_actual NOT IN (SELECT departure_stand_actual FROM btrain
-                                      WHERE NOT {missing('departure_stand_actual')})
-  OR b.departure_runway_actual NOT IN (SELECT departure_runway_actual FROM btrain
-                                       WHERE NOT {missing('departure_runway_actual')})
-) AS missing_core_features_baseline
-FROM bt b"""))
-    c.append(("bgroups", f"""
-SELECT departure_runway_actual, terminal, AVG({RAMP}) AS predicted FROM bchk
-WHERE "group" = 'train' AND NOT missing_core_features_baseline AND NOT COALESCE({RAMP} < 0, false)
-  AND departure_runway_actual IS NOT NULL AND terminal IS NOT NULL
-GROUP BY departure_runway_actual, terminal"""))
-    c.append(("bpred0", f"""
-SELECT b.*, COALESCE(g.predicted, (SELECT median(predicted) FROM bgroups)) AS p0,
-       (SELECT median({RAMP}) FROM btrain) AS default_answer
-FROM bchk b LEFT JOIN bgroups g
-  ON b.departure_runway_actual = g.departure_runway_actual AND b.terminal = g.terminal"""))
-    c.append(("bpred", """
-SELECT * EXCLUDE (p0, default_answer),
-  CASE WHEN missing_core_features_baseline OR p0 < 0 OR p0 IS NULL THEN default_answer ELSE p0 END
-    AS predicted_baseline
-FROM bpred0"""))
+    # baseline on the unimpeded ramp table: mean per (runway, terminal)
+    c += _baseline_ctes("b", "ramp", "AVG")
     # unimpeded AMA pipeline
     c.append(("a1", "SELECT * FROM core WHERE departure_stand_actual IS NOT NULL AND departure_runway_actual IS NOT NULL"))
     c += _pct_band("a2", "a1", AMA, 0.0, 1.0)
@@ -266,6 +240,40 @@ SELECT terminal, {f} FROM (
     return c
 
 
+def _baseline_ctes(b: str, src: str, agg: str) -> list[tuple[str, str]]:
+    """Baseline CTEs ``{b}t, {b}train, {b}chk, {b}groups, {b}pred`` over table ``src``."""
+    agg_expr = f"AVG({RAMP})" if agg == "AVG" else f"quantile_cont({RAMP}, 0.5)"
+    return [
+        (f"{b}t", f"SELECT *, NULLIF(regexp_extract(departure_stand_actual, '^([A-K])[0-9]+', 1), '') AS terminal "
+                  f"FROM {src}"),
+        (f"{b}train", f"SELECT * FROM {b}t WHERE \"group\" = 'train'"),
+        (f"{b}chk", f"""
+SELECT x.*, (
+  {missing('x.departure_stand_actual')} OR {missing('x.departure_runway_actual')}
+  OR x.departure_stand_actual NOT IN (SELECT departure_stand_actual FROM {b}train
+                                      WHERE NOT {missing('departure_stand_actual')})
+  OR x.departure_runway_actual NOT IN (SELECT departure_runway_actual FROM {b}train
+                                       WHERE NOT {missing('departure_runway_actual')})
+) AS missing_core_features_baseline
+FROM {b}t x"""),
+        (f"{b}groups", f"""
+SELECT departure_runway_actual, terminal, {agg_expr} AS predicted FROM {b}chk
+WHERE "group" = 'train' AND NOT missing_core_features_baseline AND NOT COALESCE({RAMP} < 0, false)
+  AND departure_runway_actual IS NOT NULL AND terminal IS NOT NULL
+GROUP BY departure_runway_actual, terminal"""),
+        (f"{b}pred0", f"""
+SELECT x.*, COALESCE(g.predicted, (SELECT median(predicted) FROM {b}groups)) AS p0,
+       (SELECT median({RAMP}) FROM {b}train) AS default_answer
+FROM {b}chk x LEFT JOIN {b}groups g
+  ON x.departure_runway_actual = g.departure_runway_actual AND x.terminal = g.terminal"""),
+        (f"{b}pred", f"""
+SELECT * EXCLUDE (p0, default_answer),
+  CASE WHEN missing_core_features_baseline OR p0 < 0 OR p0 IS NULL THEN default_answer ELSE p0 END
+    AS predicted_baseline
+FROM {b}pred0"""),
+    ]
+
+
 def _iqr_band(name: str, src: str, col: str, n: float) -> list[tuple[str, str]]:
     pos = f"{name}_pos"
     return [(pos, f"SELECT * FROM {src} WHERE {col} > 0.0"),
@@ -460,6 +468,10 @@ SELECT airport_icao, gufi, msg AS error_msg, msg <> '' AS missing_core_features
     mc, mf = _metrics_sql("(SELECT * FROM bpred WHERE NOT missing_core_features_baseline)",
                           RAMP, "predicted_baseline")
     q["error_metrics"] = with_ctes(mf, mc)
+    imp_ramp = _iqr_band("ir", "r1", RAMP, 3.0) + _baseline_ctes("ib", "ir", "MEDIAN")
+    mc, mf = _metrics_sql("(SELECT * FROM ibpred WHERE NOT missing_core_features_baseline)",
+                          RAMP, "predicted_baseline")
+    q["imp_ramp_metrics"] = with_ctes(mf, imp_ramp + mc)
     cc, cf = _cv_spread_sql()
     q["metric_spread"] = with_ctes(cf, cc)
     q["residual_histogram"] = with_ctes(
@@ -488,7 +500,7 @@ SELECT terminal, feature_x, feature_y,
 FROM (SELECT terminal, feature_x, feature_y, CAST(min(n) AS DOUBLE) AS vmin, CAST(max(n) AS DOUBLE) AS vmax
       FROM pc GROUP BY ALL)""", [("pc", pair_counts)])
     q["step_quality"] = with_ctes("""
-SELECT step_no, step, rows_in, rows_out, round(rows_out * 100.0 / rows_in, 6) AS pct_kept FROM (
+SELECT step_no, step, rows_in, rows_out, round(CAST(rows_out AS DOUBLE) * 100.0 / NULLIF(rows_in, 0), 6) AS pct_kept FROM (
   SELECT step_no, step, rows_out, lag(rows_out) OVER (ORDER BY step_no) AS rows_in FROM (
     SELECT 0 AS step_no, 'input' AS step, (SELECT count(*) FROM core) AS rows_out
     UNION ALL SELECT 1, 'require_stand_runway', (SELECT count(*) FROM r1)

@@ -28,7 +28,7 @@ def step_counts(steps: Sequence[tuple[str, DataFrame]]) -> DataFrame:
     w = Window.orderBy("step_no")
     t = t.withColumn("rows_in", F.lag("rows_out").over(w))
     return t.select("step_no", "step", "rows_in", "rows_out",
-                    (F.col("rows_out") * F.lit(100.0) / F.col("rows_in")).alias("pct_kept"))
+                    F.try_divide(F.col("rows_out") * F.lit(100.0), F.col("rows_in")).alias("pct_kept"))
 
 
 def ramp_step_quality(core: DataFrame, p) -> DataFrame:
