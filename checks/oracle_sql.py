@@ -516,3 +516,68 @@ SELECT step_no, step, rows_in, rows_out, round(CAST(rows_out AS DOUBLE) * 100.0
         f"SELECT airport_icao, gufi, \"group\", {r6(FULL)}, {r6(AMA)}, {r6(RAMP)}, total_flights_on_surface "
         f"FROM i3", imp)
     return q
+
+
+def _generic_interval_sql(iv: str, probes: str, by: list[str], key: str, series: list[tuple[str, str]]) -> str:
+    """Open-interval counts by an inequality join (``iv``: by, series, t_in, t_out; ``probes``: by, key, ts)."""
+    on = " AND ".join([f"i.{b} = p.{b}" for b in by] + ["i.t_in <= p.ts", "i.t_out > p.ts"])
+    fon = " AND ".join([f"f.{b} = c.{b}" for b in by]) or "true"
+    sums = ", ".join(f"SUM(CASE WHEN i.series = '{s}' THEN 1 ELSE 0 END) AS n_{i}" for i, (s, _) in enumerate(series))
+    firsts = ", ".join(f"min(CASE WHEN series = '{s}' THEN t_in END) AS f_{i}" for i, (s, _) in enumerate(series))
+    cols = ", ".join(f"CAST(CASE WHEN c.ts >= f.f_{i} THEN c.n_{i} END AS BIGINT) AS {alias}"
+                     for i, (_, alias) in enumerate(series))
+    byc = "".join(f"p.{b}, " for b in by)
+    byf = ", ".join(by)
+    first_sql = f"SELECT {byf + ', ' if by else ''}{firsts} FROM giv" + (f" GROUP BY {byf}" if by else "")
+    return (f"WITH giv AS ({iv}), gpr AS ({probes}), "
+            f"gcnt AS (SELECT {byc}p.{key}, p.ts, {sums} FROM gpr p LEFT JOIN giv i ON {on} "
+            f"GROUP BY {byc}p.{key}, p.ts), gfirst AS ({first_sql}) "
+            f"SELECT {''.join(f'c.{b}, ' for b in by)}c.{key}, c.ts, {cols} FROM gcnt c LEFT JOIN gfirst f ON {fon}")
+
+
+def generic_oracle_sql() -> dict[str, str]:
+    q: dict[str, str] = {}
+    q["events_fraction_ge"] = ("SELECT user_id, round(AVG(CAST(CAST(value >= 50.0 AS INTEGER) AS DOUBLE)), 6) "
+                               "AS fraction_value_gte FROM events GROUP BY user_id")
+    types = ["click", "view", "purchase", "signup", "error"]
+    q["events_open_intervals"] = _generic_interval_sql(
+        "SELECT * FROM (SELECT user_id, event_type AS series, ts AS t_in, "
+        "ts + to_seconds(CAST(floor(value * 60) AS BIGINT)) AS t_out FROM events) WHERE t_out > t_in",
+        "SELECT user_id, event_id, ts FROM events WHERE event_type = 'purchase'",
+        ["user_id"], "event_id", [(t, t) for t in types])
+    q["lineitem_in_transit"] = _generic_interval_sql(
+        "SELECT * FROM (SELECT l_returnflag AS series, l_shipdate AS t_in, "
+        "l_shipdate + to_days(CAST(l_quantity AS INTEGER)) AS t_out FROM lineitem) WHERE t_out > t_in",
+        "SELECT o_orderkey, o_orderdate AS ts FROM orders",
+        [], "o_orderkey", [("A", "in_transit_A"), ("N", "in_transit_N"), ("R", "in_transit_R")])
+    grp = f"CASE WHEN {u('event_id', 'group')} < 0.2 THEN 'test' ELSE 'train' END"
+    ctes = [
+        ("ev", f"SELECT *, {grp} AS \"group\" FROM events"),
+        ("etrain", "SELECT * FROM ev WHERE \"group\" = 'train'"),
+        ("echk", f"SELECT e.*, ({missing('e.event_type')} OR e.event_type NOT IN "
+                 f"(SELECT event_type FROM etrain WHERE NOT {missing('event_type')})) AS miss FROM ev e"),
+        ("egroups", "SELECT event_type, quantile_cont(value, 0.5) AS predicted FROM echk "
+                    "WHERE \"group\" = 'train' AND NOT miss AND NOT COALESCE(value < 0, false) "
+                    "AND event_type IS NOT NULL GROUP BY event_type"),
+        ("epred0", "SELECT e.*, COALESCE(g.predicted, (SELECT median(predicted) FROM egroups)) AS p0, "
+                   "(SELECT median(value) FROM etrain) AS dflt FROM echk e "
+                   "LEFT JOIN egroups g ON e.event_type = g.event_type"),
+        ("epred", "SELECT *, CASE WHEN miss OR p0 < 0 OR p0 IS NULL THEN dflt ELSE p0 END AS predicted_baseline "
+                  "FROM epred0"),
+    ]
+    mc, mf = _metrics_sql("(SELECT * FROM epred WHERE NOT miss)", "value", "predicted_baseline")
+    q["events_baseline_metrics"] = "WITH " + ",\n".join(f"{n} AS ({b})" for n, b in ctes + mc) + "\n" + mf
+    q["lineitem_iqr_band"] = (
+        "WITH pos AS (SELECT l_orderkey, l_linenumber, l_extendedprice FROM lineitem WHERE l_extendedprice > 0.0), "
+        "q AS (SELECT quantile_cont(l_extendedprice, 0.25) AS q1, quantile_cont(l_extendedprice, 0.5) AS q2, "
+        "quantile_cont(l_extendedprice, 0.75) AS q3 FROM pos) "
+        "SELECT p.* FROM pos p, q WHERE p.l_extendedprice > q.q2 - 1.5 * (q.q3 - q.q1) "
+        "AND p.l_extendedprice < q.q2 + 1.5 * (q.q3 - q.q1)")
+    q["lineitem_percentile_band"] = (
+        "WITH pos AS (SELECT l_orderkey, l_linenumber, l_quantity FROM lineitem WHERE l_quantity > 0.0), "
+        "q AS (SELECT quantile_cont(l_quantity, 0.05) AS lo, quantile_cont(l_quantity, 0.95) AS hi FROM pos) "
+        "SELECT p.* FROM pos p, q WHERE p.l_quantity > q.lo AND p.l_quantity < q.hi")
+    q["lineitem_count_limits"] = (
+        "SELECT l_orderkey, l_linenumber, l_quantity FROM lineitem "
+        "WHERE l_quantity < (SELECT quantile_cont(l_quantity, 0.3) FROM lineitem) AND l_linenumber < 4.0")
+    return q

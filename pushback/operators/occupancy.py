@@ -84,60 +84,74 @@ def surface_intervals(flights: DataFrame, timeout_seconds: int = 3600) -> DataFr
     return iv.where(F.col("t_out") > F.col("t_in"))
 
 
-def _delta_cols(series_col, sign) -> list:
-    return [F.when(series_col == s, sign).otherwise(F.lit(0)).cast("long").alias(f"d_{s}") for s in SERIES]
-
-
-def counts_at_pushback(flights: DataFrame, timeout_seconds: int = 3600, bucket: str = "hour") -> DataFrame:
-    """Seven surface counts for every departure with a pushback time.
-
-    Returns ``airport_icao, gufi`` plus :data:`COUNT_COLUMNS`.
+def open_interval_counts(intervals: DataFrame, probes: DataFrame, series: tuple[str, ...],
+                         by: tuple[str, ...] = ("airport_icao",), bucket: str = "hour",
+                         probe_key: str = "gufi") -> DataFrame:
+    """For every probe, the number of open intervals ``[t_in, t_out)`` per series.
+
+    ``intervals``: ``*by, series, t_in, t_out``; ``probes``: ``*by, probe_key, ts``.
+    Returns ``*by, probe_key, ts`` and one count column per series; a count
+    is NULL when the probe precedes the first interval of that series within
+    ``by``.  Counts include intervals starting at the probe instant and
+    exclude those ending at it.  Plan: +1/-1 events, per-``(by, bucket)``
+    totals with a running carry, running sums inside each bucket.
     """
-    iv = surface_intervals(flights, timeout_seconds)
-    ev = iv.select("airport_icao", "series", F.explode(F.array(
+    by = list(by)
+    ev = intervals.select(*by, "series", F.explode(F.array(
         F.struct(F.col("t_in").alias("ts"), F.lit(1).alias("sign")),
         F.struct(F.col("t_out").alias("ts"), F.lit(-1).alias("sign")))).alias("e"))
-    ev = ev.select("airport_icao", F.col("e.ts").alias("ts"), F.lit(0).alias("kind"),
-                   F.lit(None).cast("string").alias("gufi"),
-                   *_delta_cols(F.col("series"), F.col("e.sign")))
-    probes = (flights.where(F.coalesce(F.col("isdeparture"), F.lit(False)) & F.col(CALC_TIME).isNotNull())
-              .select("airport_icao", F.col(CALC_TIME).alias("ts"), F.lit(1).alias("kind"), "gufi",
-                      *[F.lit(0).cast("long").alias(f"d_{s}") for s in SERIES]))
-    rows = ev.unionByName(probes).withColumn("bucket", F.date_trunc(bucket, "ts"))
+    ev = ev.select(*by, F.col("e.ts").alias("ts"), F.lit(0).alias("kind"),
+                   F.lit(None).cast(probes.schema[probe_key].dataType).alias(probe_key),
+                   *[F.when(F.col("series") == s, F.col("e.sign")).otherwise(F.lit(0)).cast("long").alias(f"d_{i}")
+                     for i, s in enumerate(series)])
+    pr = probes.select(*by, "ts", F.lit(1).alias("kind"), probe_key,
+                       *[F.lit(0).cast("long").alias(f"d_{i}") for i in range(len(series))])
+    rows = ev.unionByName(pr).withColumn("bucket", F.date_trunc(bucket, F.col("ts")))
+    n = len(series)
 
     # Level 1: per-bucket delta totals and first start per series.  Probes are
     # included so every bucket holding a probe has a row.  Tiny table
-    # (airports x buckets); partial aggregation happens before the shuffle.
-    per_bucket = rows.groupBy("airport_icao", "bucket").agg(
-        *[F.sum(f"d_{s}").alias(f"b_{s}") for s in SERIES],
-        *[F.min(F.when(F.col(f"d_{s}") > 0, F.col("ts"))).alias(f"f_{s}") for s in SERIES])
-    before = Window.partitionBy("airport_icao").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    whole = Window.partitionBy("airport_icao")
+    # (groups x buckets); partial aggregation happens before the shuffle.
+    per_bucket = rows.groupBy(*by, "bucket").agg(
+        *[F.sum(f"d_{i}").alias(f"b_{i}") for i in range(n)],
+        *[F.min(F.when(F.col(f"d_{i}") > 0, F.col("ts"))).alias(f"f_{i}") for i in range(n)])
+    before = Window.partitionBy(*by).orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+    whole = Window.partitionBy(*by)
     carry = per_bucket.select(
-        "airport_icao", "bucket",
-        *[F.coalesce(F.sum(f"b_{s}").over(before), F.lit(0)).alias(f"c_{s}") for s in SERIES],
-        *[F.min(f"f_{s}").over(whole).alias(f"f_{s}") for s in SERIES])
+        *by, "bucket",
+        *[F.coalesce(F.sum(f"b_{i}").over(before), F.lit(0)).alias(f"c_{i}") for i in range(n)],
+        *[F.min(f"f_{i}").over(whole).alias(f"f_{i}") for i in range(n)])
 
-    # Level 2: running sum inside each (airport, bucket); events before probes
+    # Level 2: running sum inside each (group, bucket); events before probes
     # at the same instant.
-    w_run = (Window.partitionBy("airport_icao", "bucket").orderBy("ts", "kind")
+    w_run = (Window.partitionBy(*by, "bucket").orderBy("ts", "kind")
              .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    run = rows.join(carry, ["airport_icao", "bucket"]).select(
-        "airport_icao", "gufi", "ts", "kind",
-        *[(F.sum(f"d_{s}").over(w_run) + F.col(f"c_{s}")).alias(f"n_{s}") for s in SERIES],
-        *[F.col(f"f_{s}") for s in SERIES])
-    probes_out = run.where("kind = 1")
+    run = rows.join(carry, [*by, "bucket"]).select(
+        *by, probe_key, "ts", "kind",
+        *[(F.sum(f"d_{i}").over(w_run) + F.col(f"c_{i}")).alias(f"n_{i}") for i in range(n)],
+        *[F.col(f"f_{i}") for i in range(n)])
+    return run.where("kind = 1").select(
+        *by, probe_key, "ts",
+        *[F.when(F.col("ts") >= F.col(f"f_{i}"), F.col(f"n_{i}")).alias(s) for i, s in enumerate(series)],
+        *[F.col(f"f_{i}").alias(f"__first_{s}") for i, s in enumerate(series)])
 
-    def series(s):
-        return F.when(F.col("ts") >= F.col(f"f_{s}"), F.col(f"n_{s}"))
+
+def counts_at_pushback(flights: DataFrame, timeout_seconds: int = 3600, bucket: str = "hour") -> DataFrame:
+    """Seven surface counts for every departure with a pushback time.
+
+    Returns ``airport_icao, gufi`` plus :data:`COUNT_COLUMNS`.
+    """
+    iv = surface_intervals(flights, timeout_seconds)
+    probes = (flights.where(F.coalesce(F.col("isdeparture"), F.lit(False)) & F.col(CALC_TIME).isNotNull())
+              .select("airport_icao", "gufi", F.col(CALC_TIME).alias("ts")))
+    c = open_interval_counts(iv, probes, SERIES, ("airport_icao",), bucket, "gufi")
 
     def total(a, b):
-        first = F.least(F.col(f"f_{a}"), F.col(f"f_{b}"))
-        return F.when(F.col("ts") >= first, F.col(f"n_{a}") + F.col(f"n_{b}"))
+        first = F.least(F.col(f"__first_{a}"), F.col(f"__first_{b}"))
+        return F.when(F.col("ts") >= first, F.coalesce(F.col(a), F.lit(0)) + F.coalesce(F.col(b), F.lit(0)))
 
-    out = probes_out.select(
-        "airport_icao", "gufi",
-        *[series(s).alias(s) for s in SERIES],
+    out = c.select(
+        "airport_icao", "gufi", *SERIES,
         total("arr_runway_AMA_count", "AMA_gate_count").alias("total_arrivals_on_surface"),
         total("dep_stand_AMA_count", "dep_AMA_runway_count").alias("total_departures_on_surface"),
     )
