@@ -452,6 +452,14 @@ FROM (SELECT airport_icao, min(departure_runway_actual_time) AS data_start,
         f"substring({s}, 2) ELSE {s} END AS stand_padded, "
         f"NULLIF(regexp_extract({s}, '^([A-Za-z]+)[0-9]+', 1), '') AS stand_group, "
         f"CAST(NULLIF(regexp_extract({s}, '^[A-Za-z]+([0-9]+)', 1), '') AS INTEGER) AS stand_number {dep}")
+    grp_of = "NULLIF(regexp_extract(departure_stand_actual, '^([A-Za-z]+)[0-9]+', 1), '')"
+    q["stand_encoding"] = with_ctes(f"""
+SELECT c.airport_icao, c.gufi, l.letter AS stand_letter,
+  CAST(CASE WHEN {grp_of} = l.letter
+            THEN CAST(NULLIF(regexp_extract(departure_stand_actual, '^[A-Za-z]+([0-9]+)', 1), '') AS INTEGER)
+            ELSE 0 END AS DOUBLE) AS stand_value
+FROM core c CROSS JOIN (SELECT DISTINCT {grp_of} AS letter FROM core
+                        WHERE "group" = 'train' AND {grp_of} IS NOT NULL) l""")
     rwy = "departure_runway_actual"
     unknown = (f"(NOT {missing(rwy)} AND {rwy} NOT IN (SELECT {rwy} FROM core WHERE \"group\" = 'train' "
                f"AND NOT {missing(rwy)} AND CAST({rwy} AS VARCHAR) <> '17C'))")

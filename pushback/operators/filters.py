@@ -108,6 +108,10 @@ def taxi_time_filter(df: DataFrame, area: str, niqr: Band, approx: bool = False)
     return taxi_time_band(df, TARGETS[area], niqr, approx)
 
 
+# The band and the limits are generic: any numeric column.
+value_band = taxi_time_band
+
+
 def surface_count_limits(df: DataFrame, limits: Mapping[str, float] | None, approx: bool = False) -> DataFrame:
     """Upper limits on surface counts, strict ``<``.
 
@@ -131,11 +135,12 @@ def surface_count_limits(df: DataFrame, limits: Mapping[str, float] | None, appr
     return out.drop(*[f"_lim_{k}" for k in pct])
 
 
-def surface_count_filter(df: DataFrame, area: str, upperlimit_counts: Mapping | None) -> DataFrame:
+def surface_count_filter(df: DataFrame, area: str, upperlimit_counts: Mapping | None,
+                         approx: bool = False) -> DataFrame:
     """Per-area wrapper; no-op when the area is not configured."""
     if not upperlimit_counts or not upperlimit_counts.get(area):
         return df
-    return surface_count_limits(df, upperlimit_counts[area])
+    return surface_count_limits(df, upperlimit_counts[area], approx)
 
 
 def date_range(df: DataFrame, start: str, end: str, ref: str = "departure_runway_actual_time") -> DataFrame:

@@ -19,6 +19,7 @@ from pushback.functions.timecols import hour_bin, minute_of_day_bin
 from pushback.operators import baseline as bl
 from pushback.operators import clean, filters, metrics, occupancy, rules, split
 from pushback.operators import distributions as dist
+from pushback.operators import features as fe
 from pushback.operators import quality
 from pushback.plans import jobs
 from pushback.plans.config import METRICS, PipelineParams
@@ -222,6 +223,16 @@ def q_stand_features(spark, sf):
                      codes.stand_number(s).alias("stand_number"))
 
 
+def q_stand_encoding(spark, sf):
+    """Stand encoder in long form: one row per (flight, training stand letter)."""
+    core = _core(spark, sf)
+    letters = fe.stand_letters(core.where(F.col("group") == "train"))
+    enc = fe.encode_stands(core, letters)
+    arr = F.array(*[F.struct(F.lit(L).alias("stand_letter"), F.col(f"group_{L}").alias("stand_value"))
+                    for L in letters])
+    return enc.select(*_KEYCOLS, F.explode(arr).alias("e")).select(*_KEYCOLS, "e.stand_letter", "e.stand_value")
+
+
 def q_quality_rules(spark, sf):
     df = _core(spark, sf)
     cfg_core = ["departure_stand_actual", "departure_runway_actual"]
@@ -361,6 +372,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "unimpeded_flag": q_unimpeded_flag,
     "time_bins": q_time_bins,
     "stand_features": q_stand_features,
+    "stand_encoding": q_stand_encoding,
     "quality_rules": q_quality_rules,
     "baseline_predict": q_baseline_predict,
     "error_metrics": q_error_metrics,

@@ -66,12 +66,12 @@ def q_events_baseline_metrics(spark, sf):
 
 def q_lineitem_iqr_band(spark, sf):
     li = _t(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_extendedprice")
-    return filters.taxi_time_band(li, "l_extendedprice", 1.5)
+    return filters.value_band(li, "l_extendedprice", 1.5)
 
 
 def q_lineitem_percentile_band(spark, sf):
     li = _t(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity")
-    return filters.taxi_time_band(li, "l_quantity", [0.05, 0.95])
+    return filters.value_band(li, "l_quantity", [0.05, 0.95])
 
 
 def q_lineitem_count_limits(spark, sf):

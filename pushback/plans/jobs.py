@@ -82,41 +82,41 @@ def core_table(ing: Ingested, p: PipelineParams, with_estimates: bool = True,
 
 def unimp_ramp_table(core: DataFrame, p: PipelineParams) -> DataFrame:
     df = filters.require_stand_and_runway(core, p.features_core, p.freight_airlines)
-    df = filters.taxi_time_filter(df, "ramp", p.niqr["ramp"])
-    df = filters.surface_count_filter(df, "ramp", p.upperlimit_counts)
+    df = filters.taxi_time_filter(df, "ramp", p.niqr["ramp"], p.approx_quantiles)
+    df = filters.surface_count_filter(df, "ramp", p.upperlimit_counts, p.approx_quantiles)
     return filters.non_null(df, p.non_null.get("ramp"))
 
 
 def unimp_full_table(core: DataFrame, fractions: DataFrame, p: PipelineParams) -> DataFrame:
     df = filters.require_stand_and_runway(core, p.features_core, p.freight_airlines)
-    df = filters.taxi_time_filter(df, "full", p.niqr["full"])
+    df = filters.taxi_time_filter(df, "full", p.niqr["full"], p.approx_quantiles)
     df = filters.non_null(df, p.non_null.get("full"))
     df = filters.join_speed_fraction(df, fractions)
-    df = filters.surface_count_filter(df, "full", p.upperlimit_counts)
+    df = filters.surface_count_filter(df, "full", p.upperlimit_counts, p.approx_quantiles)
     return filters.unimpeded_flag(df, p.unimpeded_fraction_gte)
 
 
 def unimp_ama_table(core: DataFrame, fractions: DataFrame, p: PipelineParams) -> DataFrame:
     df = filters.require_stand_and_runway(core, p.features_core, p.freight_airlines)
-    df = filters.taxi_time_filter(df, "ama", p.niqr["ama"])
+    df = filters.taxi_time_filter(df, "ama", p.niqr["ama"], p.approx_quantiles)
     df = filters.non_null(df, p.non_null.get("ama"))
     df = filters.join_speed_fraction(df, fractions)
-    df = filters.surface_count_filter(df, "AMA", p.upperlimit_counts)
+    df = filters.surface_count_filter(df, "AMA", p.upperlimit_counts, p.approx_quantiles)
     return filters.unimpeded_flag(df, p.unimpeded_fraction_gte)
 
 
 def imp_full_table(core: DataFrame, p: PipelineParams) -> DataFrame:
     df = filters.require_stand_and_runway(core, p.features_core, p.freight_airlines)
-    df = filters.taxi_time_filter(df, "ama", p.niqr["ama"])
-    df = filters.taxi_time_filter(df, "full", p.niqr["full"])
-    return filters.taxi_time_filter(df, "ramp", p.niqr["ramp"])
+    df = filters.taxi_time_filter(df, "ama", p.niqr["ama"], p.approx_quantiles)
+    df = filters.taxi_time_filter(df, "full", p.niqr["full"], p.approx_quantiles)
+    return filters.taxi_time_filter(df, "ramp", p.niqr["ramp"], p.approx_quantiles)
 
 
 def imp_ramp_table(core: DataFrame, p: PipelineParams) -> DataFrame:
     df = filters.require_stand_and_runway(core, p.features_core, p.freight_airlines)
-    return filters.taxi_time_filter(df, "ramp", p.niqr["ramp"])
+    return filters.taxi_time_filter(df, "ramp", p.niqr["ramp"], p.approx_quantiles)
 
 
 def imp_ama_table(core: DataFrame, p: PipelineParams) -> DataFrame:
     df = filters.require_stand_and_runway(core, p.features_core, p.freight_airlines)
-    return filters.taxi_time_filter(df, "ama", p.niqr["ama"])
+    return filters.taxi_time_filter(df, "ama", p.niqr["ama"], p.approx_quantiles)
