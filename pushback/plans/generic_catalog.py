@@ -50,7 +50,7 @@ def q_lineitem_in_transit(spark, sf):
                    F.timestamp_add("DAY", F.col("l_quantity").cast("int"), F.col("l_shipdate")).alias("t_out"))
     probes = _t(spark, sf, "orders").select("o_orderkey", F.col("o_orderdate").alias("ts"))
     out = occupancy.open_interval_counts(iv.where(F.col("t_out") > F.col("t_in")), probes, ("A", "N", "R"),
-                                         (), "month", "o_orderkey")
+                                         (), "day", "o_orderkey")
     return out.select("o_orderkey", "ts", F.col("A").alias("in_transit_A"), F.col("N").alias("in_transit_N"),
                       F.col("R").alias("in_transit_R"))
 
