@@ -52,18 +52,28 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the checkpoint folder, as named by ``spark.checkpoint.dir``.
 
     A cluster names a shared folder there and Spark already uses it.  Only
-    when nothing is set (local tests) a fresh scratch folder is created.
+    when nothing is set (local tests) a fresh scratch folder is created and
+    registered.
     """
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir()
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # sessions without a local SparkContext (e.g. Spark Connect)
+        sc = None
+    current = sc.getCheckpointDir() if sc is not None else None
     if current:
         return current
-    named = sc.getConf().get("spark.checkpoint.dir", None)
     if named:
-        sc.setCheckpointDir(named)
+        if sc is not None:
+            sc.setCheckpointDir(named)
         return named
     path = tempfile.mkdtemp(prefix="pushback-ckpt-")
-    sc.setCheckpointDir(path)
+    if sc is not None:
+        sc.setCheckpointDir(path)
+    try:
+        spark.conf.set("spark.checkpoint.dir", path)
+    except Exception:
+        pass
     return path
 
 

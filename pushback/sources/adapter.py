@@ -222,7 +222,11 @@ def _spread(spark: SparkSession, df: DataFrame, key: str) -> DataFrame:
     one task; a production source table is many files.  Hash-partitioning
     the narrow base rows by key restores that parallelism for the jobs.
     """
-    return df.repartition(spark.sparkContext.defaultParallelism, key)
+    try:
+        n = spark.sparkContext.defaultParallelism
+    except Exception:  # no local SparkContext (e.g. Spark Connect)
+        n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(n, key)
 
 
 def _orders(spark: SparkSession, sf_dir: str) -> DataFrame:
