@@ -63,18 +63,24 @@ _STAYS = {
 }
 
 
-def surface_intervals(flights: DataFrame, timeout_seconds: int = 3600) -> DataFrame:
+def surface_intervals(flights: DataFrame, timeout_seconds: int = 3600, infer_times: bool = True,
+                      timeout_flights: bool = True) -> DataFrame:
     """One row per (flight, area) interval: ``airport_icao, gufi, series, t_in, t_out``.
 
-    Intervals of zero or negative length are dropped (they hold nobody).
+    ``infer_times``: a missing exit takes the flight's next known milestone.
+    ``timeout_flights``: an exit still missing becomes entry + timeout;
+    otherwise such intervals are left out.  Intervals of zero or negative
+    length are dropped (they hold nobody).
     """
+    timeout = (lambda c: add_seconds(c, F.lit(timeout_seconds))) if timeout_flights else (lambda c: F.lit(None))
     parts = []
     for flag, m0, m1, m2, first_area, second_area in _STAYS.values():
         f = F.coalesce(F.col(flag), F.lit(False))
         a_in = F.col(m0)
-        a_out = F.coalesce(F.col(m1), F.col(m2), add_seconds(m0, F.lit(timeout_seconds)))
+        a_out = (F.coalesce(F.col(m1), F.col(m2), timeout(m0)) if infer_times
+                 else F.coalesce(F.col(m1), timeout(m0)))
         b_in = F.col(m1)
-        b_out = F.coalesce(F.col(m2), add_seconds(m1, F.lit(timeout_seconds)))
+        b_out = F.coalesce(F.col(m2), timeout(m1))
         parts.append(F.when(f & a_in.isNotNull(), F.struct(F.lit(first_area).alias("series"),
                                                             a_in.alias("t_in"), a_out.alias("t_out"))))
         parts.append(F.when(f & b_in.isNotNull(), F.struct(F.lit(second_area).alias("series"),
@@ -136,12 +142,13 @@ def open_interval_counts(intervals: DataFrame, probes: DataFrame, series: tuple[
         *[F.col(f"f_{i}").alias(f"__first_{s}") for i, s in enumerate(series)])
 
 
-def counts_at_pushback(flights: DataFrame, timeout_seconds: int = 3600, bucket: str = "hour") -> DataFrame:
+def counts_at_pushback(flights: DataFrame, timeout_seconds: int = 3600, bucket: str = "hour",
+                       infer_times: bool = True, timeout_flights: bool = True) -> DataFrame:
     """Seven surface counts for every departure with a pushback time.
 
     Returns ``airport_icao, gufi`` plus :data:`COUNT_COLUMNS`.
     """
-    iv = surface_intervals(flights, timeout_seconds)
+    iv = surface_intervals(flights, timeout_seconds, infer_times, timeout_flights)
     probes = (flights.where(F.coalesce(F.col("isdeparture"), F.lit(False)) & F.col(CALC_TIME).isNotNull())
               .select("airport_icao", "gufi", F.col(CALC_TIME).alias("ts")))
     c = open_interval_counts(iv, probes, SERIES, ("airport_icao",), bucket, "gufi")
@@ -159,7 +166,8 @@ def counts_at_pushback(flights: DataFrame, timeout_seconds: int = 3600, bucket:
                           F.col("total_arrivals_on_surface") + F.col("total_departures_on_surface"))
 
 
-def add_surface_counts(flights: DataFrame, timeout_seconds: int = 3600, bucket: str = "hour") -> DataFrame:
+def add_surface_counts(flights: DataFrame, timeout_seconds: int = 3600, bucket: str = "hour",
+                       infer_times: bool = True, timeout_flights: bool = True) -> DataFrame:
     """All seven counts joined back to the flights (arrivals get NULL)."""
-    counts = counts_at_pushback(flights, timeout_seconds, bucket)
+    counts = counts_at_pushback(flights, timeout_seconds, bucket, infer_times, timeout_flights)
     return flights.join(counts, ["airport_icao", "gufi"], "left")

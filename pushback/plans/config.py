@@ -40,5 +40,7 @@ class PipelineParams:
     speed_threshold_knots: float = SPEED_THRESHOLD_KNOTS
     occupancy_timeout_s: int = 3600
     occupancy_bucket: str = "hour"
+    occupancy_infer_times: bool = True
+    occupancy_timeout_flights: bool = True
     # percentile_approx instead of exact percentiles (for huge continuous columns)
     approx_quantiles: bool = False

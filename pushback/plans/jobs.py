@@ -72,7 +72,8 @@ def core_table(ing: Ingested, p: PipelineParams, with_estimates: bool = True,
     df = cleaned_flights(ing, with_estimates, check_empty_runways)
     if checkpoint:
         df = materialize(df)
-    df = occupancy.add_surface_counts(df, p.occupancy_timeout_s, p.occupancy_bucket)
+    df = occupancy.add_surface_counts(df, p.occupancy_timeout_s, p.occupancy_bucket,
+                                      p.occupancy_infer_times, p.occupancy_timeout_flights)
     df = clean.add_total_taxi_time(df)
     df = filters.date_range(df, p.window.start, p.window.end)
     df = split.add_train_test_group(df, p.test_size, p.random_seed, {"cross_val": p.cross_val})
