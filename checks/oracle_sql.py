@@ -42,8 +42,9 @@ FS_COLS = [
 ]
 
 
-def _ctes() -> list[tuple[str, str]]:
+def _ctes(airports: tuple[str, ...] = (AIRPORT,)) -> list[tuple[str, str]]:
     c: list[tuple[str, str]] = []
+    aps = ", ".join(f"('{a}')" for a in airports)
     arr_q = (f"(f.arrival_stand_actual_time BETWEEN {S} AND {E} OR f.arrival_runway_actual_time BETWEEN {S} AND {E}"
              f" OR f.arrival_movement_area_actual_time BETWEEN {S} AND {E})")
     c.append(("fs", f"""
@@ -71,13 +72,13 @@ SELECT
     AS departure_runway_actual,
   departure_runway_actual_time,
   a.ap AS airport_icao
-FROM flights_src f CROSS JOIN (VALUES ('{AIRPORT}')) a(ap)
+FROM flights_src f CROSS JOIN (VALUES {aps}) a(ap)
 WHERE (f.departure_aerodrome_icao_name = a.ap AND f.departure_runway_actual_time BETWEEN {S} AND {E})
    OR (f.arrival_aerodrome_icao_name = a.ap AND {arr_q})"""))
     c.append(("rw", f"""
 SELECT gufi, departure_runway_actual_time, departure_runway_actual, arrival_runway_actual_time,
        arrival_runway_actual, a.ap AS airport_icao
-FROM runways_src r CROSS JOIN (VALUES ('{AIRPORT}')) a(ap)
+FROM runways_src r CROSS JOIN (VALUES {aps}) a(ap)
 WHERE (r.departure_aerodrome_iata_name = substring(a.ap, 2, 3)
        AND r.departure_runway_actual_time BETWEEN {S} AND {E})
    OR (r.arrival_aerodrome_iata_name = substring(a.ap, 2, 3)
@@ -290,8 +291,9 @@ def _pct_band(name: str, src: str, col: str, lo: float, hi: float) -> list[tuple
             (name, f"SELECT p.* FROM {pos} p, {name}_q q WHERE p.{col} > q.lo AND p.{col} < q.hi")]
 
 
-def with_ctes(final: str, extra: list[tuple[str, str]] | None = None) -> str:
-    parts = [adapter.duck_views()] + [f"{n} AS ({body})" for n, body in _ctes() + (extra or [])]
+def with_ctes(final: str, extra: list[tuple[str, str]] | None = None,
+              airports: tuple[str, ...] = (AIRPORT,)) -> str:
+    parts = [adapter.duck_views()] + [f"{n} AS ({body})" for n, body in _ctes(airports) + (extra or [])]
     return "WITH " + ",\n".join(parts) + "\n" + final
 
 
@@ -401,6 +403,9 @@ def oracle_sql() -> dict[str, str]:
     q["occupancy_arr_ama"] = with_ctes("SELECT airport_icao, gufi, arr_runway_AMA_count FROM occ")
     q["occupancy_totals"] = with_ctes("SELECT airport_icao, gufi, total_arrivals_on_surface, "
                                       "total_departures_on_surface, total_flights_on_surface FROM occ")
+    q["occupancy_two_airports"] = with_ctes(
+        "SELECT airport_icao, gufi, dep_stand_AMA_count, dep_AMA_runway_count, total_arrivals_on_surface, "
+        "total_flights_on_surface FROM occ", airports=("KDFW", "KCLT"))
     q["departures_non_null"] = with_ctes(
         "SELECT airport_icao, gufi FROM w6 WHERE isdeparture AND departure_runway_actual_time IS NOT NULL "
         "AND departure_movement_area_actual_time IS NOT NULL AND departure_stand_actual_time IS NOT NULL")

@@ -131,6 +131,17 @@ def q_occupancy_totals(spark, sf):
                                      "total_departures_on_surface", "total_flights_on_surface")
 
 
+def q_occupancy_two_airports(spark, sf):
+    """One job for two airports: every key and window is per ``airport_icao``."""
+    from dataclasses import replace
+    p = _params()
+    p = replace(p, window=replace(p.window, airports=("KDFW", "KCLT")))
+    cleaned = materialize(jobs.cleaned_flights(_ingested(spark, sf, p)))
+    return occupancy.counts_at_pushback(cleaned).select(
+        "airport_icao", "gufi", "dep_stand_AMA_count", "dep_AMA_runway_count", "total_arrivals_on_surface",
+        "total_flights_on_surface")
+
+
 # ------------------------------------------------------------------ filters
 
 _KEYCOLS = ("airport_icao", "gufi")
@@ -359,6 +370,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "occupancy_arr_ramp": q_occupancy_arr_ramp,
     "occupancy_arr_ama": q_occupancy_arr_ama,
     "occupancy_totals": q_occupancy_totals,
+    "occupancy_two_airports": q_occupancy_two_airports,
     "departures_non_null": q_departures_non_null,
     "require_stand_runway": q_require_stand_runway,
     "niqr_band": q_niqr_band,
