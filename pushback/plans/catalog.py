@@ -24,7 +24,6 @@ from pushback.operators import quality
 from pushback.plans import jobs
 from pushback.plans.config import METRICS, PipelineParams
 from pushback.session import ensure_checkpoint_dir, materialize
-from pushback.sources import flight_tables as ft
 
 RAMP = "actual_departure_ramp_taxi_time"
 FULL = "actual_departure_full_taxi_time"
