@@ -444,6 +444,11 @@ FROM (SELECT airport_icao, min(departure_runway_actual_time) AS data_start,
     q["kfold_split"] = with_ctes(
         f"SELECT airport_icao, gufi, CASE WHEN {fold} = 0 THEN 'test' ELSE 'train' END AS \"group\", "
         + ", ".join(f"{fold} = {k + 1} AS test_{k}" for k in range(4)) + f" {dep}")
+    efold = f"CAST((row_number() OVER (ORDER BY {u('gufi', 'fold')}, gufi) - 1) % 5 AS INTEGER)"
+    q["kfold_exact_split"] = with_ctes(
+        f"SELECT airport_icao, gufi, CASE WHEN f = 0 THEN 'test' ELSE 'train' END AS \"group\", "
+        + ", ".join(f"f = {k + 1} AS test_{k}" for k in range(4))
+        + f" FROM (SELECT airport_icao, gufi, {efold} AS f {dep})")
     q["unimpeded_flag"] = with_ctes(
         f"SELECT airport_icao, gufi, {r6(AMA)}, {r6('fraction_speed_gte_threshold')}, unimpeded_AMA FROM ama")
     q["time_bins"] = with_ctes(

@@ -12,7 +12,7 @@ import logging
 import random
 from typing import Any, Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pushback.functions.hashing import uniform01
@@ -43,14 +43,39 @@ def montecarlo_split(df: DataFrame, test_size: float, seed: int, n_cv: int, key:
                              for k in range(n_cv - 1)])
 
 
-def kfold_split(df: DataFrame, seed: int, n_cv: int, key: str = "gufi") -> DataFrame:
+def rank_by_uniform(df: DataFrame, u: str, key: str, buckets: int | None = None) -> DataFrame:
+    """Add ``_rank``: 0-based position of each row in the global order ``(u, key)``.
+
+    ``u`` is uniform on [0, 1), so ``floor(u * buckets)`` is a range
+    partitioning that needs no sampling and gives every bucket about the same
+    number of rows.  Two levels: a tiny table of per-bucket counts gives each
+    bucket its offset (one row per bucket, broadcast), and a row number inside
+    each bucket completes the rank.  No one-partition window over the rows.
+    """
+    n = buckets or 4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    b = df.withColumn("_b", F.floor(F.col(u) * F.lit(n)).cast("int"))
+    counts = b.groupBy("_b").agg(F.count(F.lit(1)).alias("_n"))
+    offsets = counts.select("_b", F.coalesce(F.sum("_n").over(
+        Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"))
+    within = Window.partitionBy("_b").orderBy(u, key)
+    return (b.join(F.broadcast(offsets), "_b")
+            .withColumn("_rank", F.col("_off") + F.row_number().over(within) - 1).drop("_b", "_off"))
+
+
+def kfold_split(df: DataFrame, seed: int, n_cv: int, key: str = "gufi", exact: bool = False) -> DataFrame:
     """Shuffled k-fold: fold 0 is the main test group, fold k+1 is ``test_k``.
 
-    Folds come from ``floor(u * n_cv)`` of the key hash, so their sizes are
-    equal in expectation rather than exactly.
+    By default folds come from ``floor(u * n_cv)`` of the key hash, so their
+    sizes are equal in expectation.  ``exact=True`` ranks rows by ``(u, key)``
+    and deals them round-robin (``rank % n_cv``): fold sizes then differ by at
+    most one row, like a shuffled k-fold.
     """
-    fold = F.floor(uniform01(key, seed, "fold") * F.lit(n_cv)).cast("int")
-    out = df.withColumn("_fold", fold)
+    if exact:
+        ranked = rank_by_uniform(df.withColumn("_u", uniform01(key, seed, "fold")), "_u", key)
+        out = ranked.withColumn("_fold", (F.col("_rank") % F.lit(n_cv)).cast("int")).drop("_u", "_rank")
+    else:
+        fold = F.floor(uniform01(key, seed, "fold") * F.lit(n_cv)).cast("int")
+        out = df.withColumn("_fold", fold)
     out = out.withColumn("group", _label(F.col("_fold") == 0))
     out = out.select("*", *[(F.col("_fold") == k + 1).alias(f"test_{k}") for k in range(n_cv - 1)])
     return out.drop("_fold")
@@ -73,7 +98,7 @@ def add_train_test_group(df: DataFrame, test_size: float, random_seed, params: M
             if n_cv:
                 if abs(n_cv * test_size - 1) > 0.01:
                     log.warning("test_size %s inconsistent with %s folds, using n_cv", test_size, n_cv)
-                return kfold_split(df, seed, n_cv, key)
+                return kfold_split(df, seed, n_cv, key, exact=bool(cv.get("exact", False)))
             log.warning("kfold without n_cv: single split")
         elif algo == "montecarlo":
             if n_cv:

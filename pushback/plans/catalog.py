@@ -203,6 +203,11 @@ def q_kfold_split(spark, sf):
                                       {"cross_val": {"algo": "kfold", "n_cv": 5}})
 
 
+def q_kfold_exact_split(spark, sf):
+    return split.add_train_test_group(_departures(spark, sf), 0.2, 1234,
+                                      {"cross_val": {"algo": "kfold", "n_cv": 5, "exact": True}})
+
+
 # ------------------------------------------------------------------ features
 
 def q_unimpeded_flag(spark, sf):
@@ -380,6 +385,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "hash_split": q_hash_split,
     "montecarlo_split": q_montecarlo_split,
     "kfold_split": q_kfold_split,
+    "kfold_exact_split": q_kfold_exact_split,
     "unimpeded_flag": q_unimpeded_flag,
     "time_bins": q_time_bins,
     "stand_features": q_stand_features,
