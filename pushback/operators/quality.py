@@ -13,7 +13,6 @@ from typing import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from pushback.operators import filters
 
 
 def step_counts(steps: Sequence[tuple[str, DataFrame]]) -> DataFrame:
@@ -33,10 +32,7 @@ def step_counts(steps: Sequence[tuple[str, DataFrame]]) -> DataFrame:
 
 def ramp_step_quality(core: DataFrame, p) -> DataFrame:
     """Quality table of the unimpeded ramp pipeline."""
-    s0 = core
-    s1 = filters.require_stand_and_runway(s0, p.features_core, p.freight_airlines)
-    s2 = filters.taxi_time_filter(s1, "ramp", p.niqr["ramp"])
-    s3 = filters.surface_count_filter(s2, "ramp", p.upperlimit_counts)
-    s4 = filters.non_null(s3, p.non_null.get("ramp"))
-    return step_counts([("input", s0), ("require_stand_runway", s1), ("taxi_time_band", s2),
-                        ("surface_count_limits", s3), ("non_null_times", s4)])
+    from pushback.plans.jobs import variant_steps
+    steps = variant_steps(core, p, "unimp_ramp")
+    names = ["input", "require_stand_runway", "taxi_time_band", "surface_count_limits", "non_null_times"]
+    return step_counts([(n, df) for n, (_, df) in zip(names, steps)])

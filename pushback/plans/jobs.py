@@ -81,43 +81,65 @@ def core_table(ing: Ingested, p: PipelineParams, with_estimates: bool = True,
     return materialize(df) if checkpoint else df
 
 
+def variant_steps(core: DataFrame, p: PipelineParams, variant: str,
+                  fractions: DataFrame | None = None) -> list[tuple[str, DataFrame]]:
+    """The named filter steps of one variant's feature table, in order (input first).
+
+    The last entry is the feature table; every entry can be counted for the
+    step-quality table.
+    """
+    a = p.approx_quantiles
+    steps: list[tuple[str, DataFrame]] = [("input", core)]
+
+    def add(name, df):
+        steps.append((name, df))
+        return df
+
+    df = add("require_stand_runway", filters.require_stand_and_runway(core, p.features_core, p.freight_airlines))
+    if variant == "unimp_ramp":
+        df = add("taxi_time_band_ramp", filters.taxi_time_filter(df, "ramp", p.niqr["ramp"], a))
+        df = add("surface_count_limits_ramp", filters.surface_count_filter(df, "ramp", p.upperlimit_counts, a))
+        add("non_null_times", filters.non_null(df, p.non_null.get("ramp")))
+    elif variant in ("unimp_full", "unimp_ama"):
+        area = "full" if variant == "unimp_full" else "ama"
+        df = add(f"taxi_time_band_{area}", filters.taxi_time_filter(df, area, p.niqr[area], a))
+        df = add("non_null_times", filters.non_null(df, p.non_null.get(area)))
+        df = add("speed_fraction_join", filters.join_speed_fraction(df, fractions))
+        lim_area = "full" if area == "full" else "AMA"
+        df = add(f"surface_count_limits_{area}",
+                 filters.surface_count_filter(df, lim_area, p.upperlimit_counts, a))
+        add("unimpeded_flag", filters.unimpeded_flag(df, p.unimpeded_fraction_gte))
+    elif variant == "imp_full":
+        df = add("taxi_time_band_ama", filters.taxi_time_filter(df, "ama", p.niqr["ama"], a))
+        df = add("taxi_time_band_full", filters.taxi_time_filter(df, "full", p.niqr["full"], a))
+        add("taxi_time_band_ramp", filters.taxi_time_filter(df, "ramp", p.niqr["ramp"], a))
+    elif variant in ("imp_ramp", "imp_ama"):
+        area = variant.split("_")[1]
+        add(f"taxi_time_band_{area}", filters.taxi_time_filter(df, area, p.niqr[area], a))
+    else:
+        raise ValueError(f"unknown variant {variant}")
+    return steps
+
+
 def unimp_ramp_table(core: DataFrame, p: PipelineParams) -> DataFrame:
-    df = filters.require_stand_and_runway(core, p.features_core, p.freight_airlines)
-    df = filters.taxi_time_filter(df, "ramp", p.niqr["ramp"], p.approx_quantiles)
-    df = filters.surface_count_filter(df, "ramp", p.upperlimit_counts, p.approx_quantiles)
-    return filters.non_null(df, p.non_null.get("ramp"))
+    return variant_steps(core, p, "unimp_ramp")[-1][1]
 
 
 def unimp_full_table(core: DataFrame, fractions: DataFrame, p: PipelineParams) -> DataFrame:
-    df = filters.require_stand_and_runway(core, p.features_core, p.freight_airlines)
-    df = filters.taxi_time_filter(df, "full", p.niqr["full"], p.approx_quantiles)
-    df = filters.non_null(df, p.non_null.get("full"))
-    df = filters.join_speed_fraction(df, fractions)
-    df = filters.surface_count_filter(df, "full", p.upperlimit_counts, p.approx_quantiles)
-    return filters.unimpeded_flag(df, p.unimpeded_fraction_gte)
+    return variant_steps(core, p, "unimp_full", fractions)[-1][1]
 
 
 def unimp_ama_table(core: DataFrame, fractions: DataFrame, p: PipelineParams) -> DataFrame:
-    df = filters.require_stand_and_runway(core, p.features_core, p.freight_airlines)
-    df = filters.taxi_time_filter(df, "ama", p.niqr["ama"], p.approx_quantiles)
-    df = filters.non_null(df, p.non_null.get("ama"))
-    df = filters.join_speed_fraction(df, fractions)
-    df = filters.surface_count_filter(df, "AMA", p.upperlimit_counts, p.approx_quantiles)
-    return filters.unimpeded_flag(df, p.unimpeded_fraction_gte)
+    return variant_steps(core, p, "unimp_ama", fractions)[-1][1]
 
 
 def imp_full_table(core: DataFrame, p: PipelineParams) -> DataFrame:
-    df = filters.require_stand_and_runway(core, p.features_core, p.freight_airlines)
-    df = filters.taxi_time_filter(df, "ama", p.niqr["ama"], p.approx_quantiles)
-    df = filters.taxi_time_filter(df, "full", p.niqr["full"], p.approx_quantiles)
-    return filters.taxi_time_filter(df, "ramp", p.niqr["ramp"], p.approx_quantiles)
+    return variant_steps(core, p, "imp_full")[-1][1]
 
 
 def imp_ramp_table(core: DataFrame, p: PipelineParams) -> DataFrame:
-    df = filters.require_stand_and_runway(core, p.features_core, p.freight_airlines)
-    return filters.taxi_time_filter(df, "ramp", p.niqr["ramp"], p.approx_quantiles)
+    return variant_steps(core, p, "imp_ramp")[-1][1]
 
 
 def imp_ama_table(core: DataFrame, p: PipelineParams) -> DataFrame:
-    df = filters.require_stand_and_runway(core, p.features_core, p.freight_airlines)
-    return filters.taxi_time_filter(df, "ama", p.niqr["ama"], p.approx_quantiles)
+    return variant_steps(core, p, "imp_ama")[-1][1]
