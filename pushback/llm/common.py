@@ -6,6 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -36,7 +37,7 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, max_bytes: int = SLIC
         if not batch.num_rows:
             continue
         values = batch.column(column)
-        lengths = np.asarray(pa.compute.fill_null(pa.compute.binary_length(values), 0).cast(pa.int64()))
+        lengths = np.asarray(pc.fill_null(pc.binary_length(values), 0).cast(pa.int64()))
         ends = np.cumsum(lengths)
         start = 0
         while start < batch.num_rows:
