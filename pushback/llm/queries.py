@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from . import chat_format, decontaminate, language_id, license_scan
+from . import chat_format, decontaminate, language_id, license_scan, pack
 
 QUERIES = {
     "op2_chat_format": chat_format.op2_chat_format,
+    "op4_pack": pack.op4_pack,
     "op5_license_scan": license_scan.op5_license_scan,
     "op6_language_id": language_id.op6_language_id,
     "op10_decontaminate": decontaminate.op10_decontaminate,
