@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from . import chat_format, decontaminate, language_id, license_scan, pack
+from . import chat_format, decontaminate, language_id, license_scan, pack, pii
 
 QUERIES = {
     "op2_chat_format": chat_format.op2_chat_format,
     "op4_pack": pack.op4_pack,
     "op5_license_scan": license_scan.op5_license_scan,
     "op6_language_id": language_id.op6_language_id,
+    "op9_pii": pii.op9_pii,
     "op10_decontaminate": decontaminate.op10_decontaminate,
 }
 
