@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from . import chat_format, decontaminate, embedding_dedup, language_id, license_scan, pack, pii
+from . import chat_format, decontaminate, embedding_dedup, language_id, license_scan, minhash_dedup, pack, pii
 
 QUERIES = {
     "op2_chat_format": chat_format.op2_chat_format,
     "op4_pack": pack.op4_pack,
     "op5_license_scan": license_scan.op5_license_scan,
     "op6_language_id": language_id.op6_language_id,
+    "op7_minhash_dedup": minhash_dedup.op7_minhash_dedup,
     "op8_embedding_dedup": embedding_dedup.op8_embedding_dedup,
     "op9_pii": pii.op9_pii,
     "op10_decontaminate": decontaminate.op10_decontaminate,
@@ -17,5 +18,6 @@ QUERIES = {
 ORACLE_SQL = {
     "op2_chat_format": chat_format.ORACLE,
     "op5_license_scan": license_scan.ORACLE,
+    "op7_minhash_dedup": minhash_dedup.ORACLE,
     "op8_embedding_dedup": embedding_dedup.ORACLE,
 }
