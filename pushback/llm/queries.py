@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from . import chat_format, decontaminate, embedding_dedup, language_id, license_scan, minhash_dedup, pack, pii
+from . import chat_format, decontaminate, embedding_dedup, language_id, license_scan, minhash_dedup, pack, pii, substring_dedup
 
 QUERIES = {
+    "op1_substring_dedup": substring_dedup.op1_substring_dedup,
     "op2_chat_format": chat_format.op2_chat_format,
     "op4_pack": pack.op4_pack,
     "op5_license_scan": license_scan.op5_license_scan,
@@ -16,6 +17,7 @@ QUERIES = {
 }
 
 ORACLE_SQL = {
+    "op1_substring_dedup": substring_dedup.ORACLE,
     "op2_chat_format": chat_format.ORACLE,
     "op5_license_scan": license_scan.ORACLE,
     "op7_minhash_dedup": minhash_dedup.ORACLE,
