@@ -1,8 +1,90 @@
-"""Corpus pipeline (stages are added as their operators are built)."""
+"""Corpus pipeline: documents in, packed training sequences out.
 
-STAGES = []
+Every stage takes (spark, docs, sf_dir) with the columns of ``documents`` and
+returns the documents that it keeps, with all their columns; the last returns
+the pieces of the packed sequences.  ``run`` writes each stage's result to the
+shared folder and reads it back for the next.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from pushback.llm import decontaminate, language_id, minhash_dedup, pack, pii
+from pushback.llm.common import row_key, table, written
+
+#: A text that the best language model codes with more bits a byte is no prose of a known language.
+MAX_BITS_PER_BYTE = 6.0
+
+
+def _keyed(docs: DataFrame) -> DataFrame:
+    return docs.withColumn("__stage_row", row_key("doc_id", "text"))
+
+
+def _without(docs: DataFrame, found: DataFrame) -> DataFrame:
+    """``docs`` without the rows whose id and text are in ``found`` (doc_id, doc_row)."""
+    bad = found.select(F.col("doc_id").alias("__stage_id"), F.col("doc_row").alias("__stage_bad")).distinct()
+    keyed = _keyed(docs)
+    same = keyed["doc_id"].eqNullSafe(bad["__stage_id"]) & (keyed["__stage_row"] == bad["__stage_bad"])
+    return keyed.join(bad, same, "left_anti").drop("__stage_row")
+
+
+def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Language ID: texts without a language, or that no language's model can code, go."""
+    model = language_id.train(docs.select("doc_id", "lang", "text"))
+    judged = language_id.predict(docs.withColumn("__stage_text", F.col("text")), model, "__stage_text")
+    keep = (F.col("lang_pred") != language_id.UNDETERMINED) & (F.col("bits_per_byte") <= MAX_BITS_PER_BYTE)
+    return judged.where(keep).select(*docs.columns)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """MinHash: of each group of near-duplicates (five-word shingles, 0.8), the document with the smallest id stays.
+
+    Rows that repeat a kept id and text are copies too: one stays.
+    """
+    groups = minhash_dedup.near_duplicates(docs.select("doc_id", "text"), k=5)
+    gone = groups.where("NOT kept").select(F.col("doc_id").alias("__stage_id")).distinct()
+    kept = docs.join(gone, F.col("doc_id") == F.col("__stage_id"), "left_anti")
+    repeated = kept.groupBy("doc_id").count().where("count > 1 AND doc_id IS NOT NULL").select(F.col("doc_id").alias("__stage_id"))
+    repeated = written(repeated, "repeated")  # mostly empty: known to be small, Spark broadcasts it
+    alone = kept.join(repeated, F.col("doc_id") == F.col("__stage_id"), "left_anti")
+    first = kept.join(repeated, F.col("doc_id") == F.col("__stage_id"), "left_semi").dropDuplicates(["doc_id"])
+    return alone.unionByName(first)
+
+
+def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Decontamination: documents that hold a copy of a benchmark item go."""
+    found = decontaminate.contaminated(docs.select("doc_id", "text"), table(spark, sf_dir, "benchmark"))
+    return _without(docs, written(found.select("doc_id", "doc_row"), "found"))
+
+
+def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """PII: personal data is replaced by its kind; ``n_chars`` follows the new text."""
+    clean = pii.sanitise(docs)
+    if "n_chars" in docs.columns:
+        clean = clean.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+    return clean
+
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Packing: all kept documents as pieces of training sequences."""
+    return pack.pack(docs.select("doc_id", "text"), pack.default_tokenizer())
+
+
+STAGES = [
+    ("language_id", language),
+    ("near_duplicates", near_duplicates),
+    ("decontamination", benchmark),
+    ("pii", personal_data),
+    ("packing", packing),
+]
+#: Trained models, alignments and a tokenizer: no SQL; the tests hold the stages against brute force.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    for name, stage in STAGES:
+        docs = written(stage(spark, docs, sf_dir), f"stage-{name}")
+    return docs

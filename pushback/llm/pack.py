@@ -22,6 +22,7 @@ table gives an empty result; other columns are ignored.
 from __future__ import annotations
 
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -35,7 +36,7 @@ WINDOW, GRANULARITY, DEPTH, END_ID = 2048, 8, 3, 1
 #: Rows of a bin in one bucket of the two-level rank, about.
 BUCKET_ROWS = 50_000
 #: Words whose ids a worker remembers; beyond it the memory starts anew.
-CACHE_WORDS = 400_000
+CACHE_WORDS = 1_000_000
 
 _PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 
@@ -50,15 +51,21 @@ class WordTokenizer:
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
-        split = [t.split() for t in texts]
-        new = list({w for words in split for w in words if w not in self.known})
+        # case is dropped by the tokenizer, but its special tokens are matched before that
+        split = [(t if b"<|" in t else t.lower()).split() for t in texts]
+        new = {w for words in split for w in words}.difference(self.known)
         if len(self.known) + len(new) > CACHE_WORDS:
             self.known.clear()
-            new = list({w for words in split for w in words})
-        encoded = self.tokenizer.encode_batch([w.decode("utf-8", "replace") for w in new], add_special_tokens=False)
-        self.known.update((w, np.array(e.ids, "<u4").tobytes()) for w, e in zip(new, encoded))
-        get = self.known.__getitem__
-        return [b"".join(map(get, words)) for words in split]
+            new = {w for words in split for w in words}
+        # a comma or full stop after a letter or digit is a token of its own
+        cores = {w: core for w in new if (core := w.rstrip(b".,")) != w and core[-1:].isalnum()}
+        ends = {w[len(core):] for w, core in cores.items()}
+        alone = list((new.difference(cores) | ends | set(cores.values())).difference(self.known))
+        encoded = self.tokenizer.encode_batch_fast([w.decode("utf-8", "replace") for w in alone], add_special_tokens=False)
+        self.known.update((w, array("I", e.ids).tobytes()) for w, e in zip(alone, encoded))
+        known = self.known
+        known.update((w, known[core] + known[w[len(core):]]) for w, core in cores.items())
+        return [b"".join(map(known.__getitem__, words)) for words in split]
 
 
 _TOKENIZERS: dict[str, WordTokenizer] = {}
@@ -72,7 +79,7 @@ def _cut(batches: Iterator[pa.RecordBatch], path: str, window: int) -> Iterator[
         _TOKENIZERS[path] = WordTokenizer(path)
     tokenizer = _TOKENIZERS[path]
     end = np.array([END_ID], "<u4").tobytes()
-    for batch in slices(batches, "text", 1 << 20):
+    for batch in slices(batches, "text", 2 << 20):
         rows = []
         texts = [t or b"" for t in batch.column("text").to_pylist()]
         for doc_id, ids in zip(batch.column("doc_id").to_pylist(), tokenizer.encode(texts)):

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from . import chat_format, decontaminate, embedding_dedup, language_id, license_scan, minhash_dedup, pack, pii, substring_dedup
+from . import chat_format, decontaminate, embedding_dedup, language_id, license_scan, lm_score, minhash_dedup, pack, pii, substring_dedup
 
 QUERIES = {
     "op1_substring_dedup": substring_dedup.op1_substring_dedup,
     "op2_chat_format": chat_format.op2_chat_format,
+    "op3_lm_score": lm_score.op3_lm_score,
     "op4_pack": pack.op4_pack,
     "op5_license_scan": license_scan.op5_license_scan,
     "op6_language_id": language_id.op6_language_id,
