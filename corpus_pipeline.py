@@ -31,8 +31,13 @@ def _without(docs: DataFrame, found: DataFrame) -> DataFrame:
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Language ID: texts without a language, or that no language's model can code, go."""
+    """Language ID: texts without a language, or that no language's model can code, go.
+
+    Without any labelled row there is no model, and nothing is rejected.
+    """
     model = language_id.train(docs.select("doc_id", "lang", "text"))
+    if not model.languages:
+        return docs
     judged = language_id.predict(docs.withColumn("__stage_text", F.col("text")), model, "__stage_text")
     keep = (F.col("lang_pred") != language_id.UNDETERMINED) & (F.col("bits_per_byte") <= MAX_BITS_PER_BYTE)
     return judged.where(keep).select(*docs.columns)
