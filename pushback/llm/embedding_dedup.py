@@ -139,7 +139,8 @@ def _verify(group: pd.DataFrame, threshold: float) -> pd.DataFrame:
                 if a != b:
                     root[max(a, b)] = min(a, b)
                     out.append((u, v, 0))
-    return pd.DataFrame(out, columns=["u", "v", "n"]).astype({"u": "Int64", "v": "Int64", "n": "Int64"})
+    # as nullable integers from the start: a float column would round the 64-bit names
+    return pd.DataFrame({name: pd.array([r[i] for r in out], "Int64") for i, name in enumerate(("u", "v", "n"))})
 
 
 def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, margin: float = MARGIN, block: int = BLOCK) -> DataFrame:
