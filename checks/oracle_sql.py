@@ -90,18 +90,20 @@ SELECT gufi, isarrival, isdeparture, acid, departure_stand_initial_time, departu
 FROM estimates_src
 WHERE (isdeparture AND departure_runway_actual_time BETWEEN {S} AND {E})
    OR (isarrival AND arrival_stand_actual_time BETWEEN {S} AND {E})"""))
-    c.append(("sf", f"""
-SELECT mall.gufi AS gufi,
-       AVG(CAST(CAST(mall.position_speed >= 4.0 AS INTEGER) AS DOUBLE)) AS fraction_speed_gte_threshold
-FROM positions_src mall INNER JOIN flights_src msum ON mall.gufi = msum.gufi
-WHERE msum.departure_aerodrome_icao_name = '{AIRPORT}'
-  AND msum.departure_runway_actual_time BETWEEN {S} AND {E}
-  AND mall.system_id = 'ASDEX'
-  AND mall.timestamp > {S} - INTERVAL 1 HOUR
-  AND mall.timestamp < {E} + INTERVAL 1 HOUR
-  AND mall.timestamp < msum.departure_runway_actual_time
-  AND mall.timestamp > msum.departure_movement_area_actual_time
-GROUP BY mall.gufi"""))
+    # departures with the bounds of their taxi-out first; then their positions inside the bounds
+    c.append(("sf_flight", f"""
+SELECT gufi, departure_movement_area_actual_time AS taxi_from, departure_runway_actual_time AS taxi_to
+FROM flights_src
+WHERE departure_aerodrome_icao_name IN (SELECT ap FROM (VALUES {aps}) v(ap))
+  AND departure_runway_actual_time >= {S} AND departure_runway_actual_time <= {E}"""))
+    c.append(("sf_seen", f"""
+SELECT gufi, "timestamp" AS seen, CASE WHEN position_speed >= 4.0 THEN 1.0 WHEN position_speed < 4.0 THEN 0.0 END AS fast
+FROM positions_src
+WHERE system_id = 'ASDEX' AND {S} - "timestamp" < INTERVAL 1 HOUR AND "timestamp" - {E} < INTERVAL 1 HOUR"""))
+    c.append(("sf", """
+SELECT f.gufi, sum(s.fast) / count(s.fast) AS fraction_speed_gte_threshold
+FROM sf_flight f, sf_seen s WHERE s.gufi = f.gufi AND s.seen > f.taxi_from AND s.seen < f.taxi_to
+GROUP BY f.gufi"""))
     c.append(("rwf", """
 SELECT r.*, departure_runway_actual IS NOT NULL AS r_isdeparture, arrival_runway_actual IS NOT NULL AS r_isarrival
 FROM rw r"""))
@@ -115,13 +117,14 @@ FROM fs LEFT JOIN rwf r
   ON fs.airport_icao = r.airport_icao AND fs.gufi = r.gufi
  AND fs.isarrival = r.r_isarrival AND fs.isdeparture = r.r_isdeparture"""))
     c.append(("j2", f"""
-SELECT * REPLACE (
+SELECT * FROM fs WHERE airport_icao NOT IN (SELECT airport_icao FROM rw)
+UNION ALL SELECT * REPLACE (
   floor({secs('departure_movement_area_actual_time', 'departure_runway_actual_time')})
     AS actual_departure_ama_taxi_time,
   floor({secs('departure_stand_actual_time', 'departure_runway_actual_time')}) AS actual_departure_full_taxi_time,
   regexp_replace(regexp_replace(arrival_runway_actual, '\\.0$', ''), '^0+', '') AS arrival_runway_actual,
   regexp_replace(regexp_replace(departure_runway_actual, '\\.0$', ''), '^0+', '') AS departure_runway_actual)
-FROM j2a"""))
+FROM j2a WHERE airport_icao IN (SELECT airport_icao FROM rw)"""))
     est_join = " AND ".join(f"x.{k} IS NOT DISTINCT FROM e.{k}" for k in
                             ["acid", "isarrival", "isdeparture", "departure_stand_initial_time",
                              "departure_aerodrome_icao_name", "arrival_aerodrome_icao_name"])
@@ -202,10 +205,10 @@ WHERE w.departure_runway_actual_time > {S} AND w.departure_runway_actual_time <=
     c.append(("r1", "SELECT * FROM core WHERE departure_stand_actual IS NOT NULL AND departure_runway_actual IS NOT NULL"))
     c += _iqr_band("r2", "r1", RAMP, 3.0)
     c.append(("r3", f"""
-SELECT * FROM r2 WHERE
-  dep_stand_AMA_count < (SELECT quantile_cont(dep_stand_AMA_count, 0.3) FROM r2)
-  AND dep_AMA_runway_count < (SELECT quantile_cont(dep_AMA_runway_count, 0.4) FROM r2)
-  AND arr_runway_AMA_count < (SELECT quantile_cont(arr_runway_AMA_count, 0.6) FROM r2)"""))
+SELECT r2.* FROM r2 JOIN (
+  SELECT airport_icao, quantile_cont(dep_stand_AMA_count, 0.3) AS a, quantile_cont(dep_AMA_runway_count, 0.4) AS b,
+         quantile_cont(arr_runway_AMA_count, 0.6) AS c FROM r2 GROUP BY airport_icao) q USING (airport_icao)
+WHERE dep_stand_AMA_count < a AND dep_AMA_runway_count < b AND arr_runway_AMA_count < c"""))
     c.append(("ramp", """
 SELECT * FROM r3 WHERE departure_runway_actual_time IS NOT NULL
   AND departure_movement_area_actual_time IS NOT NULL AND departure_stand_actual_time IS NOT NULL"""))
@@ -241,9 +244,16 @@ SELECT terminal, {f} FROM (
     return c
 
 
-def _baseline_ctes(b: str, src: str, agg: str) -> list[tuple[str, str]]:
-    """Baseline CTEs ``{b}t, {b}train, {b}chk, {b}groups, {b}pred`` over table ``src``."""
-    agg_expr = f"AVG({RAMP})" if agg == "AVG" else f"quantile_cont({RAMP}, 0.5)"
+def _baseline_ctes(b: str, src: str, agg: str, y: str = RAMP, flag: str = "true") -> list[tuple[str, str]]:
+    """Baseline CTEs ``{b}t, {b}train, {b}chk, {b}groups, {b}pred`` over table ``src``, all per airport.
+
+    ``flag`` restricts the rows that values are fitted on, not the vocabulary.
+    """
+    agg_expr = f"AVG({y})" if agg == "AVG" else f"quantile_cont({y}, 0.5)"
+
+    def known(col: str) -> str:
+        return (f"(x.airport_icao, x.{col}) IN (SELECT (airport_icao, {col}) FROM {b}train WHERE NOT {missing(col)})")
+
     return [
         (f"{b}t", f"SELECT *, NULLIF(regexp_extract(departure_stand_actual, '^([A-K])[0-9]+', 1), '') AS terminal "
                   f"FROM {src}"),
@@ -251,22 +261,21 @@ def _baseline_ctes(b: str, src: str, agg: str) -> list[tuple[str, str]]:
         (f"{b}chk", f"""
 SELECT x.*, (
   {missing('x.departure_stand_actual')} OR {missing('x.departure_runway_actual')}
-  OR x.departure_stand_actual NOT IN (SELECT departure_stand_actual FROM {b}train
-                                      WHERE NOT {missing('departure_stand_actual')})
-  OR x.departure_runway_actual NOT IN (SELECT departure_runway_actual FROM {b}train
-                                       WHERE NOT {missing('departure_runway_actual')})
+  OR NOT {known('departure_stand_actual')} OR NOT {known('departure_runway_actual')}
 ) AS missing_core_features_baseline
 FROM {b}t x"""),
         (f"{b}groups", f"""
-SELECT departure_runway_actual, terminal, {agg_expr} AS predicted FROM {b}chk
-WHERE "group" = 'train' AND NOT missing_core_features_baseline AND NOT COALESCE({RAMP} < 0, false)
+SELECT airport_icao, departure_runway_actual, terminal, {agg_expr} AS predicted FROM {b}chk
+WHERE "group" = 'train' AND {flag} AND NOT missing_core_features_baseline AND NOT COALESCE({y} < 0, false)
   AND departure_runway_actual IS NOT NULL AND terminal IS NOT NULL
-GROUP BY departure_runway_actual, terminal"""),
+GROUP BY airport_icao, departure_runway_actual, terminal"""),
+        (f"{b}gdef", f"SELECT airport_icao, median(predicted) AS group_default FROM {b}groups GROUP BY airport_icao"),
+        (f"{b}adef", f"SELECT airport_icao, median({y}) AS default_answer FROM {b}train WHERE {flag} GROUP BY airport_icao"),
         (f"{b}pred0", f"""
-SELECT x.*, COALESCE(g.predicted, (SELECT median(predicted) FROM {b}groups)) AS p0,
-       (SELECT median({RAMP}) FROM {b}train) AS default_answer
+SELECT x.*, COALESCE(g.predicted, d.group_default) AS p0, a.default_answer
 FROM {b}chk x LEFT JOIN {b}groups g
-  ON x.departure_runway_actual = g.departure_runway_actual AND x.terminal = g.terminal"""),
+  ON x.airport_icao = g.airport_icao AND x.departure_runway_actual = g.departure_runway_actual AND x.terminal = g.terminal
+LEFT JOIN {b}gdef d ON d.airport_icao = x.airport_icao LEFT JOIN {b}adef a ON a.airport_icao = x.airport_icao"""),
         (f"{b}pred", f"""
 SELECT * EXCLUDE (p0, default_answer),
   CASE WHEN missing_core_features_baseline OR p0 < 0 OR p0 IS NULL THEN default_answer ELSE p0 END
@@ -278,17 +287,18 @@ FROM {b}pred0"""),
 def _iqr_band(name: str, src: str, col: str, n: float) -> list[tuple[str, str]]:
     pos = f"{name}_pos"
     return [(pos, f"SELECT * FROM {src} WHERE {col} > 0.0"),
-            (f"{name}_q", f"SELECT quantile_cont({col}, 0.25) AS q1, quantile_cont({col}, 0.5) AS q2, "
-                          f"quantile_cont({col}, 0.75) AS q3 FROM {pos}"),
-            (name, f"SELECT p.* FROM {pos} p, {name}_q q WHERE p.{col} > q.q2 - {n} * (q.q3 - q.q1) "
-                   f"AND p.{col} < q.q2 + {n} * (q.q3 - q.q1)")]
+            (f"{name}_q", f"SELECT airport_icao, quantile_cont({col}, 0.25) AS q1, quantile_cont({col}, 0.5) AS q2, "
+                          f"quantile_cont({col}, 0.75) AS q3 FROM {pos} GROUP BY airport_icao"),
+            (name, f"SELECT p.* FROM {pos} p JOIN {name}_q q USING (airport_icao) "
+                   f"WHERE p.{col} > q.q2 - {n} * (q.q3 - q.q1) AND p.{col} < q.q2 + {n} * (q.q3 - q.q1)")]
 
 
 def _pct_band(name: str, src: str, col: str, lo: float, hi: float) -> list[tuple[str, str]]:
     pos = f"{name}_pos"
     return [(pos, f"SELECT * FROM {src} WHERE {col} > 0.0"),
-            (f"{name}_q", f"SELECT quantile_cont({col}, {lo}) AS lo, quantile_cont({col}, {hi}) AS hi FROM {pos}"),
-            (name, f"SELECT p.* FROM {pos} p, {name}_q q WHERE p.{col} > q.lo AND p.{col} < q.hi")]
+            (f"{name}_q", f"SELECT airport_icao, quantile_cont({col}, {lo}) AS lo, quantile_cont({col}, {hi}) AS hi "
+                          f"FROM {pos} GROUP BY airport_icao"),
+            (name, f"SELECT p.* FROM {pos} p JOIN {name}_q q USING (airport_icao) WHERE p.{col} > q.lo AND p.{col} < q.hi")]
 
 
 def with_ctes(final: str, extra: list[tuple[str, str]] | None = None,
@@ -393,6 +403,30 @@ def oracle_sql() -> dict[str, str]:
             f"x.{k} IS NOT DISTINCT FROM e.{k}" for k in
             ["acid", "isarrival", "isdeparture", "departure_stand_initial_time", "departure_aerodrome_icao_name",
              "arrival_aerodrome_icao_name"]))
+    both = ("KDFW", "KCLT")
+    q["csv_roundtrip"] = q["chunked_parquet_read"] = q["flight_summary"]
+    q["two_airport_write"] = with_ctes(f"SELECT {_replace_round(FS_DOUBLES)} FROM fs", airports=both)
+    q["runway_override_two_airports"] = with_ctes(f"SELECT {_replace_round(FS_DOUBLES)} FROM j2", airports=both)
+    q["niqr_band_two_airports"] = with_ctes(f"SELECT airport_icao, gufi, {r6(RAMP)} FROM nb",
+                                            _iqr_band("nb", "core", RAMP, 3.0), both)
+    q["percentile_band_two_airports"] = with_ctes(f"SELECT airport_icao, gufi, {r6(FULL)} FROM pb",
+                                                  _pct_band("pb", "core", FULL, 0.0, 1.0), both)
+    q["count_limits_two_airports"] = with_ctes("""
+SELECT airport_icao, gufi, dep_stand_AMA_count, dep_AMA_runway_count, arr_runway_AMA_count FROM core JOIN (
+  SELECT airport_icao, quantile_cont(dep_stand_AMA_count, 0.3) AS a, quantile_cont(dep_AMA_runway_count, 0.4) AS b,
+         quantile_cont(arr_runway_AMA_count, 0.6) AS c FROM core GROUP BY airport_icao) USING (airport_icao)
+WHERE dep_stand_AMA_count < a AND dep_AMA_runway_count < b AND arr_runway_AMA_count < c""", airports=both)
+    q["baseline_two_airports"] = with_ctes(
+        "SELECT airport_icao, gufi, \"group\", round(predicted_baseline, 6) AS predicted_baseline, "
+        "missing_core_features_baseline FROM tbpred", _baseline_ctes("tb", "core", "MEDIAN"), both)
+    q["baseline_predict_unimp_ama"] = with_ctes(
+        "SELECT airport_icao, gufi, \"group\", round(predicted_baseline, 6) AS predicted_baseline, "
+        "missing_core_features_baseline FROM abpred", _baseline_ctes("ab", "ama", "MEDIAN", AMA, "unimpeded_AMA"))
+    q["total_taxi_time"] = with_ctes(
+        f"SELECT airport_icao, gufi, round({secs('departure_stand_actual_time', 'departure_runway_actual_time')}, 6) "
+        "AS actual_departure_total_taxi_time FROM core")
+    q["group_sizes"] = with_ctes("""
+SELECT "group", count(*) AS n FROM core GROUP BY 1 UNION ALL SELECT 'total', count(*) FROM core""")
     q["dedup_first"] = with_ctes(
         "SELECT " + _replace_round(FS_DOUBLES + ["undelayed_departure_ramp_transit_time",
                                                  "undelayed_departure_ama_transit_time",
@@ -584,6 +618,10 @@ def generic_oracle_sql() -> dict[str, str]:
                   "FROM epred0"),
     ]
     mc, mf = _metrics_sql("(SELECT * FROM epred WHERE NOT miss)", "value", "predicted_baseline")
+    q["lineitem_price_quantiles"] = (
+        "SELECT l_returnflag, round(quantile_cont(l_extendedprice, 0.01), 6) AS p01, "
+        "round(quantile_cont(l_extendedprice, 0.5), 6) AS p50, round(quantile_cont(l_extendedprice, 0.99), 6) AS p99, "
+        "round(quantile_cont(l_discount - 0.05, 0.25), 6) AS discount_p25 FROM lineitem GROUP BY l_returnflag")
     q["events_baseline_metrics"] = "WITH " + ",\n".join(f"{n} AS ({b})" for n, b in ctes + mc) + "\n" + mf
     q["lineitem_iqr_band"] = (
         "WITH pos AS (SELECT l_orderkey, l_linenumber, l_extendedprice FROM lineitem WHERE l_extendedprice > 0.0), "

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pushback.functions.codes import clean_runway
@@ -21,6 +21,18 @@ def _key(df: DataFrame, cols) -> list[str]:
     return [c for c in cols if c in df.columns]
 
 
+def _observed(flights: DataFrame, runways: DataFrame, check_empty: bool) -> DataFrame:
+    """``flights`` with ``__observed``: whether the flight's airport has any runway row."""
+    if not check_empty:
+        return flights.withColumn("__observed", F.lit(True))
+    if "airport_icao" not in flights.columns or "airport_icao" not in runways.columns:
+        return flights.crossJoin(F.broadcast(runways.agg((F.count(F.lit(1)) > 0).alias("__observed"))))
+    # one row per airport of the job
+    seen = runways.select(F.col("airport_icao").alias("__airport")).distinct()
+    joined = flights.join(F.broadcast(seen), F.col("airport_icao") == F.col("__airport"), "left")
+    return joined.withColumn("__observed", F.col("__airport").isNotNull()).drop("__airport")
+
+
 def replace_runway_actuals(flights: DataFrame, runways: DataFrame,
                            check_empty: bool = True) -> DataFrame:
     """Override runway codes/times with observed runway use.
@@ -29,31 +41,29 @@ def replace_runway_actuals(flights: DataFrame, runways: DataFrame,
     left-joined on ``(airport_icao, gufi, isarrival, isdeparture)`` and every
     non-key value wins where it is present.  Then the AMA and full durations
     are recomputed in whole seconds and runway codes are cleaned (``17.0`` ->
-    ``17``, ``018`` -> ``18``).  An empty runway table leaves the flights
-    untouched, as in the reference; that test is one cheap ``isEmpty`` job.
+    ``17``, ``018`` -> ``18``).  With ``check_empty`` the flights of an airport
+    without any runway row stay untouched, whatever other airports have.
     """
-    if check_empty and runways.isEmpty():
-        return flights
     rw = (runways
           .withColumn("isdeparture", F.col("departure_runway_actual").isNotNull())
           .withColumn("isarrival", F.col("arrival_runway_actual").isNotNull()))
-    on = _key(flights, ("airport_icao",)) + list(RUNWAY_ON)
-    on = [c for c in on if c in rw.columns]
+    on = [c for c in [*_key(flights, ("airport_icao",)), *RUNWAY_ON] if c in rw.columns]
     updates = [c for c in rw.columns if c not in on]
     rw = rw.select(*on, *[F.col(c).alias(f"{c}__new") for c in updates])
-    merged = flights.join(rw, on=on, how="left")
-    for c in updates:
-        merged = merged.withColumn(c, F.coalesce(F.col(f"{c}__new"), F.col(c))) if c in flights.columns \
-            else merged.withColumn(c, F.col(f"{c}__new"))
-    merged = merged.drop(*[f"{c}__new" for c in updates])
-    merged = (merged
-              .withColumn("actual_departure_ama_taxi_time",
-                          whole_seconds_between("departure_movement_area_actual_time",
-                                                "departure_runway_actual_time"))
-              .withColumn("actual_departure_full_taxi_time",
-                          whole_seconds_between("departure_stand_actual_time", "departure_runway_actual_time"))
-              .withColumn("arrival_runway_actual", clean_runway("arrival_runway_actual"))
-              .withColumn("departure_runway_actual", clean_runway("departure_runway_actual")))
+    merged = _observed(flights, runways, check_empty).join(rw, on=on, how="left")
+    known = [c for c in updates if c in flights.columns]
+    merged = merged.withColumns({c: F.coalesce(F.col(f"{c}__new"), F.col(c)) for c in known})
+    def seconds(start: str, end: str) -> Column | None:
+        return whole_seconds_between(start, end) if {start, end} <= set(flights.columns) else None
+
+    derived = {
+        "actual_departure_ama_taxi_time": seconds("departure_movement_area_actual_time", "departure_runway_actual_time"),
+        "actual_departure_full_taxi_time": seconds("departure_stand_actual_time", "departure_runway_actual_time"),
+        "arrival_runway_actual": clean_runway("arrival_runway_actual"),
+        "departure_runway_actual": clean_runway("departure_runway_actual"),
+    }
+    merged = merged.withColumns({c: F.when(F.col("__observed"), e).otherwise(F.col(c)) for c, e in derived.items()
+                                 if c in flights.columns and e is not None})
     return merged.select(*flights.columns)
 
 

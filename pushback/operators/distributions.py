@@ -22,16 +22,19 @@ from pushback.operators import filters
 
 def training_rows_per_terminal(df: DataFrame, min_flights: int = 50,
                                stand: str = "departure_stand_actual",
-                               binned: Sequence[str] = ()) -> DataFrame:
+                               binned: Sequence[str] = (), training_only: bool = True) -> DataFrame:
     """Terminal from the stand, one-digit gates zero-padded, busy terminals only,
     then the training rows (unimpeded ones when the flag exists).
 
-    ``binned`` time columns are replaced by their hour of day.
+    ``binned`` time columns are replaced by their hour of day.  Without
+    ``training_only`` the rows of all split groups stay.
     """
     out = df.withColumn("terminal", terminal_of_stand(stand)).withColumn(stand, zero_pad_gate(stand))
     for c in binned:
         out = out.withColumn(c, hour_bin(c))
     out = filters.busy_values(out, "terminal", min_flights)
+    if not training_only:
+        return out
     sel = F.col("group") == "train"
     if "unimpeded_AMA" in out.columns:
         sel = sel & F.coalesce(F.col("unimpeded_AMA"), F.lit(False))

@@ -1,22 +1,24 @@
 """Row filters of the feature pipelines.
 
-Statistics that a filter needs (median, quartiles, percentiles) are computed
-by one aggregate over the rows present at that step; the single result row is
-cross-joined back (one row, size known), so nothing goes through the driver
-and the whole step stays one lazy plan.  ``F.percentile`` is exact with
-linear interpolation like pandas ``quantile``; pass ``approx=True`` for
-``percentile_approx`` on huge continuous columns.
+Statistics that a filter needs (median, quartiles, percentiles) are taken over
+the rows present at that step, per airport where the table has one, and joined
+back: one row per airport of the job, so the broadcast is bounded by the job's
+list of airports.  Nothing goes through the driver and the whole step stays one
+lazy plan.  Quantiles are exact, with linear interpolation like pandas
+``quantile``, and no task holds a group's values (see ``quantiles``).
 """
 
 from __future__ import annotations
 
 import logging
 from functools import reduce
-from typing import Mapping, Sequence, Union
+from typing import Callable, Mapping, Sequence, Union
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from pushback.operators.quantiles import exact_quantiles
+
 log = logging.getLogger(__name__)
 
 TARGETS = {
@@ -31,15 +33,17 @@ def _all(conds: Sequence[Column]) -> Column:
     return reduce(lambda a, b: a & b, conds) if conds else F.lit(True)
 
 
-def _pct(col: str, p, approx: bool) -> Column:
-    if approx:
-        return F.percentile_approx(F.col(col), p, 10000)
-    return F.percentile(F.col(col), p)
+def airports_of(df: DataFrame) -> list[str]:
+    """The columns that keep airports apart: statistics of one airport never use another's rows."""
+    return [c for c in ("airport_icao",) if c in df.columns]
 
 
-def _with_stats(df: DataFrame, stats: DataFrame) -> DataFrame:
-    """Attach a one-row statistics table to every row (broadcast nested loop of 1 row)."""
-    return df.crossJoin(F.broadcast(stats))
+def _with_stats(df: DataFrame, stats: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Attach a statistics table of one row per ``by`` (one row in all without it)."""
+    if not by:
+        return df.crossJoin(F.broadcast(stats))
+    names = [c for c in stats.columns if c not in by]
+    return df.join(F.broadcast(stats), list(by), "left").select(*df.columns, *names)
 
 
 def only_departures(df: DataFrame) -> DataFrame:
@@ -72,75 +76,73 @@ def require_stand_and_runway(df: DataFrame, features_core: Sequence[str],
 Band = Union[float, int, Sequence[float]]
 
 
-def taxi_time_band(df: DataFrame, target: str, niqr: Band, approx: bool = False) -> DataFrame:
-    """Positive target, then inside ``median ± niqr·IQR`` or between two percentiles.
+def _band_limits(band: Band) -> tuple[list[float], Callable[[Column], tuple[Column, Column]]] | None:
+    """What a band needs: the quantiles to take, and (low, high) from them.  None: there is no band to apply."""
+    if isinstance(band, float):
+        def around_median(q: Column) -> tuple[Column, Column]:
+            reach = F.lit(band) * (q[2] - q[0])
+            return q[1] - reach, q[1] + reach
+        return [0.25, 0.5, 0.75], around_median
+    if isinstance(band, (list, tuple)) and len(band) == 2:
+        return [float(p) for p in band], lambda q: (q[0], q[1])
+    return None
+
+
+def taxi_time_band(df: DataFrame, target: str, niqr: Band) -> DataFrame:
+    """Positive target, then inside ``median ± niqr·IQR`` or between two percentiles, per airport.
 
     ``-1`` or a missing target column skips everything.  A float keeps
     ``median - n·IQR < t < median + n·IQR``; a two-element list keeps
     ``p_lo < t < p_hi`` (so ``[0, 1]`` drops the minimum and maximum rows).
-    Statistics are taken after the ``> 0`` step.  An integer other than -1
-    is treated like the reference does: only the ``> 0`` step applies and an
-    error is logged.
+    Statistics are taken after the ``> 0`` step.  Any other setting leaves the
+    ``> 0`` step alone and is reported.
     """
-    if isinstance(niqr, (int, float)) and not isinstance(niqr, bool) and niqr == -1:
-        return df
-    if target not in df.columns:
+    if niqr == -1 or target not in df.columns:
         return df
     pos = df.where(F.col(target) > 0.0)
-    if isinstance(niqr, float):
-        stats = pos.agg(_pct(target, [0.25, 0.5, 0.75], approx).alias("_q"))
-        lo = F.col("_q")[1] - F.lit(niqr) * (F.col("_q")[2] - F.col("_q")[0])
-        hi = F.col("_q")[1] + F.lit(niqr) * (F.col("_q")[2] - F.col("_q")[0])
-        return _with_stats(pos, stats).where((F.col(target) > lo) & (F.col(target) < hi)).drop("_q")
-    if isinstance(niqr, (list, tuple)):
-        if len(niqr) != 2:
-            log.error("a list band needs two elements: low and high percentile")
-            return pos
-        stats = pos.agg(_pct(target, [float(niqr[0]), float(niqr[1])], approx).alias("_q"))
-        return (_with_stats(pos, stats)
-                .where((F.col(target) > F.col("_q")[0]) & (F.col(target) < F.col("_q")[1])).drop("_q"))
-    log.error("band must be a float or a two-element list")
-    return pos
-
-
-def taxi_time_filter(df: DataFrame, area: str, niqr: Band, approx: bool = False) -> DataFrame:
+    limits = _band_limits(niqr)
+    if limits is None:
+        log.error("%s: %r is no band (a float, or low and high percentile); only values above zero are kept", target, niqr)
+        return pos
+    ps, ends = limits
+    by = airports_of(df)
+    lo, hi = ends(F.col("_q"))
+    stats = exact_quantiles(pos, {"_q": (F.col(target), ps)}, by)
+    return _with_stats(pos, stats, by).where((F.col(target) > lo) & (F.col(target) < hi)).drop("_q")
+
+
+def taxi_time_filter(df: DataFrame, area: str, niqr: Band) -> DataFrame:
     """Wrapper per target area: ``ramp``, ``full`` or ``ama``."""
-    return taxi_time_band(df, TARGETS[area], niqr, approx)
+    return taxi_time_band(df, TARGETS[area], niqr)
 
 
 # The band and the limits are generic: any numeric column.
 value_band = taxi_time_band
 
 
-def surface_count_limits(df: DataFrame, limits: Mapping[str, float] | None, approx: bool = False) -> DataFrame:
+def surface_count_limits(df: DataFrame, limits: Mapping[str, float] | None) -> DataFrame:
     """Upper limits on surface counts, strict ``<``.
 
-    A limit below 1 is a percentile of the column, otherwise an absolute
-    count.  Every percentile is taken on the *unfiltered* input.  Any limit
-    <= 0 disables the whole filter.  Rows with a NULL count are dropped.
+    A limit below 1 is a percentile of the column within the airport, otherwise
+    an absolute count.  Every percentile is taken on the *unfiltered* input.
+    Any limit <= 0 disables the whole filter.  Rows with a NULL count are dropped.
     """
-    if not limits:
-        return df
-    if any(v <= 0 for v in limits.values()):
+    if not limits or any(v <= 0 for v in limits.values()):
         return df
     pct = {k: v for k, v in limits.items() if v < 1.0}
-    conds = []
+    out, by = df, airports_of(df)
     if pct:
-        stats = df.agg(*[_pct(k, float(v), approx).alias(f"_lim_{k}") for k, v in pct.items()])
-        df = _with_stats(df, stats)
-    for k, v in limits.items():
-        lim = F.col(f"_lim_{k}") if k in pct else F.lit(float(v))
-        conds.append(F.col(k) < lim)
-    out = df.where(_all(conds))
-    return out.drop(*[f"_lim_{k}" for k in pct])
+        stats = exact_quantiles(df, {f"_lim_{k}": (F.col(k), [v]) for k, v in pct.items()}, by)
+        out = _with_stats(df, stats, by)
+    conds = [F.col(k) < (F.col(f"_lim_{k}")[0] if k in pct else F.lit(float(v))) for k, v in limits.items()]
+    return out.where(_all(conds)).drop(*[f"_lim_{k}" for k in pct])
 
 
-def surface_count_filter(df: DataFrame, area: str, upperlimit_counts: Mapping | None,
-                         approx: bool = False) -> DataFrame:
+def surface_count_filter(df: DataFrame, area: str, upperlimit_counts: Mapping | None) -> DataFrame:
     """Per-area wrapper; no-op when the area is not configured."""
     if not upperlimit_counts or not upperlimit_counts.get(area):
         return df
-    return surface_count_limits(df, upperlimit_counts[area], approx)
+    return surface_count_limits(df, upperlimit_counts[area])
 
 
 def date_range(df: DataFrame, start: str, end: str, ref: str = "departure_runway_actual_time") -> DataFrame:

@@ -98,48 +98,51 @@ def open_interval_counts(intervals: DataFrame, probes: DataFrame, series: tuple[
     ``intervals``: ``*by, series, t_in, t_out``; ``probes``: ``*by, probe_key, ts``.
     Returns ``*by, probe_key, ts`` and one count column per series; a count
     is NULL when the probe precedes the first interval of that series within
-    ``by``.  Counts include intervals starting at the probe instant and
-    exclude those ending at it.  Plan: +1/-1 events, per-``(by, bucket)``
-    totals with a running carry, running sums inside each bucket.
+    ``by``, or when the probe's group or time is NULL.  Counts include
+    intervals starting at the probe instant and exclude those ending at it.
+
+    Plan: +1/-1 events are summed per distinct instant (with partial
+    aggregation, so any number of events at one instant is one row),
+    per-``(by, bucket)`` totals give a running carry, running sums go over the
+    instants of a bucket, and the probes look their instant up.
     """
     by = list(by)
+    n = len(series)
     ev = intervals.select(*by, "series", F.explode(F.array(
         F.struct(F.col("t_in").alias("ts"), F.lit(1).alias("sign")),
         F.struct(F.col("t_out").alias("ts"), F.lit(-1).alias("sign")))).alias("e"))
-    ev = ev.select(*by, F.col("e.ts").alias("ts"), F.lit(0).alias("kind"),
-                   F.lit(None).cast(probes.schema[probe_key].dataType).alias(probe_key),
+    ev = ev.select(*by, F.col("e.ts").alias("ts"),
                    *[F.when(F.col("series") == s, F.col("e.sign")).otherwise(F.lit(0)).cast("long").alias(f"d_{i}")
+                     for i, s in enumerate(series)],
+                   *[F.when((F.col("series") == s) & (F.col("e.sign") > 0), F.col("e.ts")).alias(f"f_{i}")
                      for i, s in enumerate(series)])
-    pr = probes.select(*by, "ts", F.lit(1).alias("kind"), probe_key,
-                       *[F.lit(0).cast("long").alias(f"d_{i}") for i in range(len(series))])
-    rows = ev.unionByName(pr).withColumn("bucket", F.date_trunc(bucket, F.col("ts")))
-    n = len(series)
-
-    # Level 1: per-bucket delta totals and first start per series.  Probes are
-    # included so every bucket holding a probe has a row.  Tiny table
-    # (groups x buckets); partial aggregation happens before the shuffle.
-    per_bucket = rows.groupBy(*by, "bucket").agg(
-        *[F.sum(f"d_{i}").alias(f"b_{i}") for i in range(n)],
-        *[F.min(F.when(F.col(f"d_{i}") > 0, F.col("ts"))).alias(f"f_{i}") for i in range(n)])
+    pr = probes.select(*by, "ts", *[F.lit(0).cast("long").alias(f"d_{i}") for i in range(n)],
+                       *[F.lit(None).cast(probes.schema["ts"].dataType).alias(f"f_{i}") for i in range(n)])
+    instants = ev.unionByName(pr).groupBy(*by, "ts").agg(
+        *[F.sum(f"d_{i}").alias(f"d_{i}") for i in range(n)], *[F.min(f"f_{i}").alias(f"f_{i}") for i in range(n)])
+    instants = instants.withColumn("bucket", F.date_trunc(bucket, F.col("ts")))
+
+    # Level 1: per-bucket delta totals and first start per series: a small table (groups x buckets).
+    per_bucket = instants.groupBy(*by, "bucket").agg(
+        *[F.sum(f"d_{i}").alias(f"b_{i}") for i in range(n)], *[F.min(f"f_{i}").alias(f"f_{i}") for i in range(n)])
     before = Window.partitionBy(*by).orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     whole = Window.partitionBy(*by)
     carry = per_bucket.select(
         *by, "bucket",
         *[F.coalesce(F.sum(f"b_{i}").over(before), F.lit(0)).alias(f"c_{i}") for i in range(n)],
-        *[F.min(f"f_{i}").over(whole).alias(f"f_{i}") for i in range(n)])
+        *[F.min(f"f_{i}").over(whole).alias(f"first_{i}") for i in range(n)])
 
-    # Level 2: running sum inside each (group, bucket); events before probes
-    # at the same instant.
-    w_run = (Window.partitionBy(*by, "bucket").orderBy("ts", "kind")
+    # Level 2: running sum over the instants of each (group, bucket).
+    w_run = (Window.partitionBy(*by, "bucket").orderBy("ts")
              .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    run = rows.join(carry, [*by, "bucket"]).select(
-        *by, probe_key, "ts", "kind",
-        *[(F.sum(f"d_{i}").over(w_run) + F.col(f"c_{i}")).alias(f"n_{i}") for i in range(n)],
-        *[F.col(f"f_{i}") for i in range(n)])
-    return run.where("kind = 1").select(
-        *by, probe_key, "ts",
-        *[F.when(F.col("ts") >= F.col(f"f_{i}"), F.col(f"n_{i}")).alias(s) for i, s in enumerate(series)],
-        *[F.col(f"f_{i}").alias(f"__first_{s}") for i, s in enumerate(series)])
+    run = instants.join(carry, [*by, "bucket"]).select(
+        *by, "ts", *[(F.sum(f"d_{i}").over(w_run) + F.col(f"c_{i}")).alias(f"n_{i}") for i in range(n)],
+        *[F.col(f"first_{i}") for i in range(n)])
+    found = run.select(
+        *by, "ts", *[F.when(F.col("ts") >= F.col(f"first_{i}"), F.col(f"n_{i}")).alias(s) for i, s in enumerate(series)],
+        *[F.col(f"first_{i}").alias(f"__first_{s}") for i, s in enumerate(series)])
+    return probes.select(*by, probe_key, "ts").join(found, [*by, "ts"], "left").select(
+        *by, probe_key, "ts", *series, *[f"__first_{s}" for s in series])
 
 
 def counts_at_pushback(flights: DataFrame, timeout_seconds: int = 3600, bucket: str = "hour",

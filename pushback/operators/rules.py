@@ -9,9 +9,11 @@ For each core feature:
 After prediction, ``Negative prediction`` flags values below zero.  Rows
 failing any rule get the default answer (train median of the target).
 
-The training vocabulary is a DataFrame (``feature, value``) joined back with
-a left join, not a Python list: it never goes through the driver.  It is small
-(one row per category) so the planner broadcasts it.
+The training vocabulary is a DataFrame (``feature, value``, and the airport
+where the rows have one) joined back with a left join, not a Python list: it
+never goes through the driver.  It holds one row per category; it is learnt
+from all training rows of an airport, whatever flag restricts the rows that a
+model is fitted on.
 """
 
 from __future__ import annotations
@@ -21,24 +23,30 @@ from typing import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from pushback.operators.filters import airports_of
 
-def is_missing(c: Column) -> Column:
-    """NULL, NaN or blank text."""
-    as_text = c.cast("string")
-    return c.isNull() | (F.trim(as_text) == "") | (F.lower(as_text) == "nan")
+
+def is_missing(df: DataFrame, name: str) -> Column:
+    """NULL, NaN (of a number) or blank text; the text ``nan`` is a category like any other."""
+    c = F.col(name)
+    missing = c.isNull() | (F.trim(c.cast("string")) == "")
+    return missing | F.isnan(c) if isinstance(df.schema[name].dataType, (T.FloatType, T.DoubleType)) else missing
 
 
 def vocabulary(train: DataFrame, features: Sequence[str],
                exclusions: Mapping[str, Sequence] | None = None) -> DataFrame:
-    """Distinct non-missing training values per feature minus the exclusions.
+    """Distinct non-missing training values per feature (and airport) minus the exclusions.
 
-    Returns a long table ``(feature, value)`` with values as text.
+    Returns a long table ``(airport_icao, feature, value)`` with values as
+    text; without the airport where ``train`` has none.
     """
     exclusions = exclusions or {}
+    by = airports_of(train)
     parts = []
     for f in features:
-        v = train.where(~is_missing(F.col(f))).select(F.lit(f).alias("feature"),
+        v = train.where(~is_missing(train, f)).select(*by, F.lit(f).alias("feature"),
                                                       F.col(f).cast("string").alias("value")).distinct()
         ex = [str(x) for x in exclusions.get(f, [])]
         if ex:
@@ -54,14 +62,16 @@ def add_rule_columns(df: DataFrame, features_core: Sequence[str], known_features
     ``known_features`` are the core features that must take a training value.
     """
     out = df
+    by = airports_of(vocab) if vocab is not None else []
     reasons = []
     for f in features_core:
-        miss = is_missing(F.col(f))
+        miss = is_missing(df, f)
         if f in known_features and vocab is not None:
             flag = f"__known_{f}"
-            voc = vocab.where(F.col("feature") == f).select(F.col("value").alias(f"__v_{f}"),
-                                                           F.lit(True).alias(flag))
-            out = out.join(voc, F.col(f).cast("string") == F.col(f"__v_{f}"), "left").drop(f"__v_{f}")
+            voc = vocab.where(F.col("feature") == f).select(
+                *[F.col(c).alias(f"__by_{c}") for c in by], F.col("value").alias(f"__v_{f}"), F.lit(True).alias(flag))
+            same = reduce(Column.__and__, (F.col(c) == F.col(f"__by_{c}") for c in by), F.col(f).cast("string") == F.col(f"__v_{f}"))
+            out = out.join(voc, same, "left").drop(f"__v_{f}", *[f"__by_{c}" for c in by])
             reasons.append(F.when(~miss & F.col(flag).isNull(), F.lit(f"Unknown {f}")))
         reasons.append(F.when(miss, F.lit(f"Missing {f}")))
     msg = F.array_compact(F.array(*reasons)) if reasons else F.array().cast("array<string>")

@@ -8,6 +8,9 @@ value with an independent SQL engine.
 
 from __future__ import annotations
 
+import uuid
+from dataclasses import replace
+from functools import reduce
 from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -24,6 +27,8 @@ from pushback.operators import quality
 from pushback.plans import jobs
 from pushback.plans.config import METRICS, PipelineParams
 from pushback.session import ensure_checkpoint_dir, materialize
+from pushback.sources import flight_tables as ft
+from pushback.sources import readers, sinks
 
 RAMP = "actual_departure_ramp_taxi_time"
 FULL = "actual_departure_full_taxi_time"
@@ -51,6 +56,11 @@ def _cleaned(spark, sf) -> DataFrame:
     return materialize(jobs.cleaned_flights(_ingested(spark, sf)))
 
 
+def _flights_once(spark, sf) -> DataFrame:
+    """The cleaned flights for a single use: not written, so only the columns used are computed."""
+    return jobs.cleaned_flights(_ingested(spark, sf))
+
+
 def _core(spark, sf, p: PipelineParams | None = None) -> DataFrame:
     p = p or _params()
     return jobs.core_table(_ingested(spark, sf, p), p)
@@ -83,6 +93,41 @@ def q_external_estimates(spark, sf):
     return rounded(_ingested(spark, sf).estimates)
 
 
+# ------------------------------------------------------------------ readers and sinks
+
+def _scratch(spark, kind: str) -> str:
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{kind}-{uuid.uuid4().hex}"
+
+
+def q_csv_roundtrip(spark, sf):
+    """The flight summary written as CSV with its columns in reverse order, and read back by name."""
+    path = _scratch(spark, "csv")
+    flights = _ingested(spark, sf).flights
+    flights.select(*reversed(flights.columns)).write.option("header", True).option(
+        "timestampNTZFormat", "yyyy-MM-dd HH:mm:ss.SSSSSS").csv(path)
+    return rounded(readers.read_typed_csv(spark, path, readers.FLIGHT_SUMMARY_SCHEMA))
+
+
+def q_two_airport_write(spark, sf):
+    """The summaries of two airports, written one after the other to one table."""
+    root = _scratch(spark, "tables")
+    for airport in ("KDFW", "KCLT"):
+        p = _params()
+        path = sinks.write_feature_table(_ingested(spark, sf, replace(
+            p, window=replace(p.window, airports=(airport,)))).flights, root, "flights")
+    return rounded(spark.read.schema(readers.FLIGHT_SUMMARY_SCHEMA).parquet(path))
+
+
+def q_chunked_parquet_read(spark, sf):
+    """The flight source read in three-day chunks over the four times by which a flight qualifies."""
+    path, w = _scratch(spark, "source"), _params().window
+    jobs.adapter_sources(spark, sf).flights.write.parquet(path)
+    times = ["departure_runway_actual_time", "arrival_stand_actual_time", "arrival_runway_actual_time",
+             "arrival_movement_area_actual_time"]
+    chunks = readers.read_parquet_chunked(spark, path, times, w.start, w.end, 3)
+    return rounded(ft.flight_summary(reduce(DataFrame.unionByName, chunks), w))
+
+
 # ------------------------------------------------------------------ cleaning
 
 def q_runway_override(spark, sf):
@@ -100,7 +145,7 @@ def q_estimate_join(spark, sf):
 
 
 def q_dedup_first(spark, sf):
-    return rounded(_cleaned(spark, sf))
+    return rounded(_flights_once(spark, sf))
 
 
 # ------------------------------------------------------------------ occupancy
@@ -130,11 +175,14 @@ def q_occupancy_totals(spark, sf):
                                      "total_departures_on_surface", "total_flights_on_surface")
 
 
-def q_occupancy_two_airports(spark, sf):
-    """One job for two airports: every key and window is per ``airport_icao``."""
-    from dataclasses import replace
+def _two_airports() -> PipelineParams:
+    """One job for two airports: every key, window and statistic is per ``airport_icao``."""
     p = _params()
-    p = replace(p, window=replace(p.window, airports=("KDFW", "KCLT")))
+    return replace(p, window=replace(p.window, airports=("KDFW", "KCLT")))
+
+
+def q_occupancy_two_airports(spark, sf):
+    p = _two_airports()
     cleaned = materialize(jobs.cleaned_flights(_ingested(spark, sf, p)))
     return occupancy.counts_at_pushback(cleaned).select(
         "airport_icao", "gufi", "dep_stand_AMA_count", "dep_AMA_runway_count", "total_arrivals_on_surface",
@@ -148,12 +196,12 @@ _KEYCOLS = ("airport_icao", "gufi")
 
 def q_departures_non_null(spark, sf):
     p = _params()
-    df = filters.non_null(filters.only_departures(_cleaned(spark, sf)), p.non_null["ramp"])
+    df = filters.non_null(filters.only_departures(_flights_once(spark, sf)), p.non_null["ramp"])
     return df.select(*_KEYCOLS)
 
 
 def q_require_stand_runway(spark, sf):
-    df = filters.only_departures(_cleaned(spark, sf))
+    df = filters.only_departures(_flights_once(spark, sf))
     out = filters.require_stand_and_runway(df, ["departure_runway_actual"], ["FDX"])
     return out.select(*_KEYCOLS, "carrier", "departure_stand_actual", "departure_runway_actual")
 
@@ -172,21 +220,65 @@ def q_count_limits(spark, sf):
     return out.select(*_KEYCOLS, *p.upperlimit_counts["ramp"].keys())
 
 
+def q_runway_override_two_airports(spark, sf):
+    ing = _ingested(spark, sf, _two_airports())
+    return rounded(clean.replace_runway_actuals(ing.flights, ing.runways))
+
+
+def q_niqr_band_two_airports(spark, sf):
+    return rounded(filters.taxi_time_filter(_core(spark, sf, _two_airports()), "ramp", 3.0).select(*_KEYCOLS, RAMP))
+
+
+def q_percentile_band_two_airports(spark, sf):
+    return rounded(filters.taxi_time_filter(_core(spark, sf, _two_airports()), "full", [0, 1]).select(*_KEYCOLS, FULL))
+
+
+def q_count_limits_two_airports(spark, sf):
+    p = _two_airports()
+    out = filters.surface_count_filter(_core(spark, sf, p), "ramp", p.upperlimit_counts)
+    return out.select(*_KEYCOLS, *p.upperlimit_counts["ramp"].keys())
+
+
+def _baseline_columns(table: DataFrame, cfg: bl.BaselineConfig) -> DataFrame:
+    out = bl.predict_baseline(bl.fit_baseline(table, cfg), table)
+    return rounded(out.select(*_KEYCOLS, "group", "predicted_baseline", "missing_core_features_baseline"))
+
+
+def q_baseline_two_airports(spark, sf):
+    return _baseline_columns(_core(spark, sf, _two_airports()), bl.BaselineConfig(target=RAMP))
+
+
+def q_baseline_predict_unimp_ama(spark, sf):
+    """Values fitted on unimpeded training rows, vocabulary from all training rows."""
+    p = _params()
+    ing = _ingested(spark, sf, p)
+    table = materialize(jobs.unimp_ama_table(jobs.core_table(ing, p), ing.fractions, p))
+    return _baseline_columns(table, bl.BaselineConfig(target=AMA, train_flag="unimpeded_AMA"))
+
+
+def q_total_taxi_time(spark, sf):
+    return rounded(_core(spark, sf).select(*_KEYCOLS, "actual_departure_total_taxi_time"))
+
+
+def q_group_sizes(spark, sf):
+    return split.group_sizes(_core(spark, sf))
+
+
 def q_date_range(spark, sf):
     p = _params()
-    out = filters.date_range(_cleaned(spark, sf), p.window.start, p.window.end)
+    out = filters.date_range(_flights_once(spark, sf), p.window.start, p.window.end)
     return out.select(*_KEYCOLS, "departure_runway_actual_time")
 
 
 def q_coverage_report(spark, sf):
     p = _params()
-    return filters.coverage_report(_cleaned(spark, sf), p.window.start, p.window.end)
+    return filters.coverage_report(_flights_once(spark, sf), p.window.start, p.window.end)
 
 
 # ------------------------------------------------------------------ splits
 
 def _departures(spark, sf) -> DataFrame:
-    return filters.only_departures(_cleaned(spark, sf)).select(*_KEYCOLS)
+    return filters.only_departures(_flights_once(spark, sf)).select(*_KEYCOLS)
 
 
 def q_hash_split(spark, sf):
@@ -225,7 +317,7 @@ def q_time_bins(spark, sf):
 
 
 def _departures_full(spark, sf) -> DataFrame:
-    return filters.only_departures(_cleaned(spark, sf))
+    return filters.only_departures(_flights_once(spark, sf))
 
 
 def q_stand_features(spark, sf):
@@ -366,6 +458,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "runway_actuals": q_runway_actuals,
     "speed_fraction": q_speed_fraction,
     "external_estimates": q_external_estimates,
+    "csv_roundtrip": q_csv_roundtrip,
+    "two_airport_write": q_two_airport_write,
+    "chunked_parquet_read": q_chunked_parquet_read,
     "runway_override": q_runway_override,
     "estimate_join": q_estimate_join,
     "dedup_first": q_dedup_first,
@@ -380,6 +475,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "niqr_band": q_niqr_band,
     "percentile_band": q_percentile_band,
     "count_limits": q_count_limits,
+    "runway_override_two_airports": q_runway_override_two_airports,
+    "niqr_band_two_airports": q_niqr_band_two_airports,
+    "percentile_band_two_airports": q_percentile_band_two_airports,
+    "count_limits_two_airports": q_count_limits_two_airports,
+    "baseline_two_airports": q_baseline_two_airports,
+    "baseline_predict_unimp_ama": q_baseline_predict_unimp_ama,
+    "total_taxi_time": q_total_taxi_time,
+    "group_sizes": q_group_sizes,
     "date_range": q_date_range,
     "coverage_report": q_coverage_report,
     "hash_split": q_hash_split,

@@ -42,5 +42,3 @@ class PipelineParams:
     occupancy_bucket: str = "hour"
     occupancy_infer_times: bool = True
     occupancy_timeout_flights: bool = True
-    # percentile_approx instead of exact percentiles (for huge continuous columns)
-    approx_quantiles: bool = False

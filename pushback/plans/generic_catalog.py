@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from pushback.operators import baseline as bl
 from pushback.operators import filters, metrics, occupancy, split
+from pushback.operators.quantiles import exact_quantiles
 from pushback.plans.catalog import rounded
 
 # The event types of the driver's events table.
@@ -64,6 +65,15 @@ def q_events_baseline_metrics(spark, sf):
     return rounded(metrics.metrics_by(pred, "value", "predicted_baseline", metrics.METRIC_NAMES, ["group"]))
 
 
+def q_lineitem_price_quantiles(spark, sf):
+    """Exact quantiles of a continuous column per return flag."""
+    li = _t(spark, sf, "lineitem")
+    out = exact_quantiles(li, {"price": (F.col("l_extendedprice"), [0.01, 0.5, 0.99]),
+                               "discount": (F.col("l_discount") - 0.05, [0.25])}, ["l_returnflag"])
+    return rounded(out.select("l_returnflag", *[F.col("price")[i].alias(n) for i, n in enumerate(("p01", "p50", "p99"))],
+                              F.col("discount")[0].alias("discount_p25")))
+
+
 def q_lineitem_iqr_band(spark, sf):
     li = _t(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_extendedprice")
     return filters.value_band(li, "l_extendedprice", 1.5)
@@ -84,6 +94,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "events_open_intervals": q_events_open_intervals,
     "lineitem_in_transit": q_lineitem_in_transit,
     "events_baseline_metrics": q_events_baseline_metrics,
+    "lineitem_price_quantiles": q_lineitem_price_quantiles,
     "lineitem_iqr_band": q_lineitem_iqr_band,
     "lineitem_percentile_band": q_lineitem_percentile_band,
     "lineitem_count_limits": q_lineitem_count_limits,

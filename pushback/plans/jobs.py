@@ -7,6 +7,7 @@ filters so arrivals and edge flights are still counted.
 
 from __future__ import annotations
 
+import logging
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,9 +15,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pushback.operators import clean, filters, occupancy, split
 from pushback.plans.config import PipelineParams
 from pushback.session import materialize
-from pushback.sources import adapter
+from pushback.sources import adapter, readers
 from pushback.sources import flight_tables as ft
 
+log = logging.getLogger(__name__)
+
 
 @dataclass
 class RawSources:
@@ -33,6 +36,19 @@ def adapter_sources(spark: SparkSession, sf_dir: str) -> RawSources:
                       adapter.positions(spark, sf_dir), adapter.estimates(spark, sf_dir))
 
 
+def parquet_sources(spark: SparkSession, root: str) -> RawSources:
+    """Source tables in ``<root>/flights``, ``runways``, ``positions`` and ``estimates``.
+
+    Runway use and estimates may be absent: flights then keep their own
+    runways, and have no estimates.
+    """
+    root = root.rstrip("/")
+    return RawSources(spark.read.parquet(f"{root}/flights"),
+                      readers.read_or_empty(spark, f"{root}/runways", readers.RAW_RUNWAYS_SCHEMA),
+                      spark.read.parquet(f"{root}/positions"),
+                      readers.read_or_empty(spark, f"{root}/estimates", readers.ESTIMATES_SCHEMA))
+
+
 @dataclass
 class Ingested:
     flights: DataFrame
@@ -60,18 +76,32 @@ def cleaned_flights(ing: Ingested, with_estimates: bool = True, check_empty_runw
     return clean.keep_first_per_flight(df)
 
 
+def check_coverage(flights: DataFrame, p: PipelineParams) -> None:
+    """Stop if no flight is in the date range; warn per airport if over 12 hours are missing at an end."""
+    report = filters.coverage_report(flights, p.window.start, p.window.end).collect()  # one row per airport
+    if not sum(r["rows_in_range"] for r in report):
+        raise ValueError(f"no flight between {p.window.start} and {p.window.end}")
+    for r in report:
+        if r["warn"]:
+            log.warning("%s: data from %s to %s do not cover %s to %s", r["airport_icao"], r["data_start"],
+                        r["data_end"], p.window.start, p.window.end)
+
+
 def core_table(ing: Ingested, p: PipelineParams, with_estimates: bool = True,
-               check_empty_runways: bool = True, checkpoint: bool = True) -> DataFrame:
+               check_empty_runways: bool = True, checkpoint: bool = True, check_range: bool = False) -> DataFrame:
     """Override runways -> (estimates) -> first per flight -> surface counts ->
     total taxi time -> date range -> train/test split -> departures.
 
     With ``checkpoint`` the cleaned flights (read three times by the
     occupancy step) and the result are written to the checkpoint folder,
-    the same boundaries at which the reference saves tables.
+    the same boundaries at which the reference saves tables.  With
+    ``check_range`` the run stops when no row is in the date range.
     """
     df = cleaned_flights(ing, with_estimates, check_empty_runways)
     if checkpoint:
         df = materialize(df)
+    if check_range:
+        check_coverage(df, p)
     df = occupancy.add_surface_counts(df, p.occupancy_timeout_s, p.occupancy_bucket,
                                       p.occupancy_infer_times, p.occupancy_timeout_flights)
     df = clean.add_total_taxi_time(df)
@@ -88,7 +118,6 @@ def variant_steps(core: DataFrame, p: PipelineParams, variant: str,
     The last entry is the feature table; every entry can be counted for the
     step-quality table.
     """
-    a = p.approx_quantiles
     steps: list[tuple[str, DataFrame]] = [("input", core)]
 
     def add(name, df):
@@ -97,25 +126,25 @@ def variant_steps(core: DataFrame, p: PipelineParams, variant: str,
 
     df = add("require_stand_runway", filters.require_stand_and_runway(core, p.features_core, p.freight_airlines))
     if variant == "unimp_ramp":
-        df = add("taxi_time_band_ramp", filters.taxi_time_filter(df, "ramp", p.niqr["ramp"], a))
-        df = add("surface_count_limits_ramp", filters.surface_count_filter(df, "ramp", p.upperlimit_counts, a))
+        df = add("taxi_time_band_ramp", filters.taxi_time_filter(df, "ramp", p.niqr["ramp"]))
+        df = add("surface_count_limits_ramp", filters.surface_count_filter(df, "ramp", p.upperlimit_counts))
         add("non_null_times", filters.non_null(df, p.non_null.get("ramp")))
     elif variant in ("unimp_full", "unimp_ama"):
         area = "full" if variant == "unimp_full" else "ama"
-        df = add(f"taxi_time_band_{area}", filters.taxi_time_filter(df, area, p.niqr[area], a))
+        df = add(f"taxi_time_band_{area}", filters.taxi_time_filter(df, area, p.niqr[area]))
         df = add("non_null_times", filters.non_null(df, p.non_null.get(area)))
         df = add("speed_fraction_join", filters.join_speed_fraction(df, fractions))
         lim_area = "full" if area == "full" else "AMA"
         df = add(f"surface_count_limits_{area}",
-                 filters.surface_count_filter(df, lim_area, p.upperlimit_counts, a))
+                 filters.surface_count_filter(df, lim_area, p.upperlimit_counts))
         add("unimpeded_flag", filters.unimpeded_flag(df, p.unimpeded_fraction_gte))
     elif variant == "imp_full":
-        df = add("taxi_time_band_ama", filters.taxi_time_filter(df, "ama", p.niqr["ama"], a))
-        df = add("taxi_time_band_full", filters.taxi_time_filter(df, "full", p.niqr["full"], a))
-        add("taxi_time_band_ramp", filters.taxi_time_filter(df, "ramp", p.niqr["ramp"], a))
+        df = add("taxi_time_band_ama", filters.taxi_time_filter(df, "ama", p.niqr["ama"]))
+        df = add("taxi_time_band_full", filters.taxi_time_filter(df, "full", p.niqr["full"]))
+        add("taxi_time_band_ramp", filters.taxi_time_filter(df, "ramp", p.niqr["ramp"]))
     elif variant in ("imp_ramp", "imp_ama"):
         area = variant.split("_")[1]
-        add(f"taxi_time_band_{area}", filters.taxi_time_filter(df, area, p.niqr[area], a))
+        add(f"taxi_time_band_{area}", filters.taxi_time_filter(df, area, p.niqr[area]))
     else:
         raise ValueError(f"unknown variant {variant}")
     return steps

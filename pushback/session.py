@@ -52,8 +52,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the checkpoint folder, as named by ``spark.checkpoint.dir``.
 
     A cluster names a shared folder there and Spark already uses it.  Only
-    when nothing is set (local tests) a fresh scratch folder is created and
-    registered.
+    when nothing is set and the master is local (tests) a fresh scratch folder
+    is created and registered; on a cluster a missing setting is an error,
+    because each executor would write to a disk of its own.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     try:
@@ -67,6 +68,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         if sc is not None:
             sc.setCheckpointDir(named)
         return named
+    if not spark.conf.get("spark.master", "").startswith("local") or "cluster" in spark.conf.get("spark.master", ""):
+        raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
     path = tempfile.mkdtemp(prefix="pushback-ckpt-")
     if sc is not None:
         sc.setCheckpointDir(path)

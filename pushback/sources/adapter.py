@@ -215,23 +215,9 @@ def duck_views() -> str:
 
 # ---------------------------------------------------------------- Spark side
 
-def _spread(spark: SparkSession, df: DataFrame, key: str) -> DataFrame:
-    """Spread the stand-in rows over the cluster like a many-file source would be.
-
-    The driver's Parquet files hold a single row group, which Spark reads as
-    one task; a production source table is many files.  Hash-partitioning
-    the narrow base rows by key restores that parallelism for the jobs.
-    """
-    try:
-        n = spark.sparkContext.defaultParallelism
-    except Exception:  # no local SparkContext (e.g. Spark Connect)
-        n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return df.repartition(n, key)
-
-
 def _orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = spark.read.parquet(f"{sf_dir}/orders.parquet").select("o_orderkey", "o_custkey", "o_orderpriority")
-    return _spread(spark, o, "o_orderkey")
+    return o
 
 
 def flights(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -255,4 +241,4 @@ def estimates(spark: SparkSession, sf_dir: str, airport: str = HOME_AIRPORT) ->
 def positions(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = spark.read.parquet(f"{sf_dir}/lineitem.parquet").select(
         "l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_returnflag")
-    return _spread(spark, li, "l_orderkey").selectExpr(*_position_columns(SPARK))
+    return li.selectExpr(*_position_columns(SPARK))

@@ -10,9 +10,11 @@ on a boundary is read exactly once.
 from __future__ import annotations
 
 import datetime as dt
-import os
+from functools import reduce
+from typing import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -62,6 +64,12 @@ ESTIMATES_SCHEMA = T.StructType(
     + _fields(["undelayed_departure_ramp_transit_time", "undelayed_departure_ama_transit_time",
                "undelayed_departure_total_transit_time"], D))
 
+# Schema of the raw runway-use source.
+RAW_RUNWAYS_SCHEMA = T.StructType(
+    _fields(["gufi", "departure_aerodrome_iata_name", "arrival_aerodrome_iata_name", "departure_runway_actual"], S)
+    + _fields(["departure_runway_actual_time"], TS) + _fields(["arrival_runway_actual"], S)
+    + _fields(["arrival_runway_actual_time"], TS) + _fields(["points_on_runway"], B))
+
 SPEED_FRACTION_SCHEMA = T.StructType(_fields(["gufi"], S) + _fields(["fraction_speed_gte_threshold"], D))
 
 
@@ -82,37 +90,86 @@ def time_chunks(start: str, end: str, days: int) -> list[tuple[str, str]]:
     return out
 
 
-def chunk_predicates(time_col: str, start: str, end: str, days: int) -> list[str]:
-    """One SQL predicate per chunk, for ``spark.read.jdbc(predicates=…)``."""
-    return [f"{time_col} >= TIMESTAMP '{lo}' AND {time_col} < TIMESTAMP '{hi}'"
-            for lo, hi in time_chunks(start, end, days)]
+def chunk_predicates(time_cols: str | Sequence[str], start: str, end: str, days: int) -> list[str]:
+    """One SQL predicate per chunk, for ``spark.read.jdbc(predicates=…)``.
+
+    A row qualifies by any of ``time_cols`` inside the window, and is read by
+    the chunk of the first of them that is inside, so it is read exactly once.
+    """
+    cols = [time_cols] if isinstance(time_cols, str) else list(time_cols)
+
+    def inside(col: str) -> str:
+        return f"({col} >= TIMESTAMP '{start}' AND {col} <= TIMESTAMP '{end}')"
+
+    def taken(k: int, lo: str, hi: str) -> str:
+        own = f"{cols[k]} >= TIMESTAMP '{lo}' AND {cols[k]} < TIMESTAMP '{hi}'"
+        earlier = [f"({c} IS NULL OR NOT {inside(c)})" for c in cols[:k]]
+        return " AND ".join([*earlier, own])
+
+    return [" OR ".join(f"({taken(k, lo, hi)})" for k in range(len(cols))) for lo, hi in time_chunks(start, end, days)]
 
 
-def read_jdbc_chunked(spark: SparkSession, url: str, table: str, time_col: str,
+def read_jdbc_chunked(spark: SparkSession, url: str, table: str, time_cols: str | Sequence[str],
                       start: str, end: str, chunk_days: int, properties: dict) -> DataFrame:
     """Parallel JDBC read, one partition per time chunk (30 days, 5 for positions)."""
-    preds = chunk_predicates(time_col, start, end, chunk_days)
+    preds = chunk_predicates(time_cols, start, end, chunk_days)
     return spark.read.jdbc(url=url, table=table, predicates=preds, properties=properties)
 
 
-def read_parquet_window(spark: SparkSession, path: str, time_col: str, start: str, end: str) -> DataFrame:
+def in_window(time_cols: str | Sequence[str], start: str, end: str) -> Column:
+    """Any of ``time_cols`` inside ``[start, end]`` (NULL times are outside)."""
+    cols = [time_cols] if isinstance(time_cols, str) else list(time_cols)
+    lo, hi = (F.lit(x).cast("timestamp_ntz") for x in (start, end))
+    return reduce(Column.__or__, (F.col(c).between(lo, hi) for c in cols))
+
+
+def read_parquet_window(spark: SparkSession, path: str, time_cols: str | Sequence[str], start: str, end: str) -> DataFrame:
     """Parquet read limited to ``[start, end]``; pruned by partition / row-group stats."""
+    return spark.read.parquet(path).where(in_window(time_cols, start, end))
+
+
+def read_parquet_chunked(spark: SparkSession, path: str, time_cols: str | Sequence[str], start: str, end: str,
+                         chunk_days: int) -> list[DataFrame]:
+    """The window as one frame per chunk, for jobs that load a long history step by step.
+
+    The union of the frames is :func:`read_parquet_window`.
+    """
     df = spark.read.parquet(path)
-    return df.where(F.col(time_col).between(F.lit(start).cast("timestamp_ntz"),
-                                            F.lit(end).cast("timestamp_ntz")))
+    as_ntz = (p.replace("TIMESTAMP '", "TIMESTAMP_NTZ '") for p in chunk_predicates(time_cols, start, end, chunk_days))
+    return [df.where(p) for p in as_ntz]
 
 
 def read_typed_csv(spark: SparkSession, path: str, schema: T.StructType,
                    timestamp_format: str = "yyyy-MM-dd HH:mm:ss[.SSSSSS]") -> DataFrame:
-    """CSV with header and an explicit schema: no inference pass, stands and runways stay text."""
-    return (spark.read.schema(schema).option("header", True)
-            .option("timestampNTZFormat", timestamp_format).csv(path))
+    """CSV with header and explicit types: no inference, stands and runways stay text.
+
+    Columns are bound by the header's names, in any order; columns that the
+    schema does not know are left out, and a missing one is an error.  Every
+    file's header is checked against the first one's.
+    """
+    header = spark.read.option("header", True).csv(path).columns
+    missing = [f.name for f in schema.fields if f.name not in header]
+    if missing:
+        raise ValueError(f"{path}: the header has no column {', '.join(missing)}")
+    known = {f.name: f for f in schema.fields}
+    in_file = T.StructType([known.get(name, T.StructField(name, S, True)) for name in header])
+    return (spark.read.schema(in_file).option("header", True).option("enforceSchema", False)
+            .option("timestampNTZFormat", timestamp_format).csv(path).select(*schema.fieldNames()))
 
 
 def read_or_empty(spark: SparkSession, path: str | None, schema: T.StructType, fmt: str = "parquet") -> DataFrame:
-    """Read ``path``; an absent or empty source gives an empty frame of ``schema``."""
-    if path is None or (not path.startswith(("s3", "gs", "hdfs", "abfs", "dbfs")) and not os.path.exists(path)):
+    """Read ``path``; a source that does not exist gives an empty frame of ``schema``.
+
+    Spark itself opens the path, so any file system it knows works; every
+    other failure stays an error.
+    """
+    if path is None:
         return spark.createDataFrame([], schema)
-    if fmt == "csv":
-        return read_typed_csv(spark, path, schema)
-    return spark.read.schema(schema).format(fmt).load(path)
+    try:
+        if fmt == "csv":
+            return read_typed_csv(spark, path, schema)
+        return spark.read.schema(schema).format(fmt).load(path)
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            return spark.createDataFrame([], schema)
+        raise
