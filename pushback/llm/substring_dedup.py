@@ -15,9 +15,12 @@ their document.  A first pass counts the strings of each minimiser over all
 texts; the windows of minimisers with more than ``heavy`` strings travel one by
 one under a hash of all ``k`` words, so a passage in a third of all texts is
 spread over many buckets.  The set of heavy minimisers is broadcast; its size
-is bounded, as the limit never lets through more than ``MOST_HEAVY`` of them.
+is bounded, as its limit rises so that no more than ``MOST_HEAVY`` can reach it.
 A bucket gets about ``bucket_bytes`` of text.
 
+The texts themselves travel once, packed, to buckets of their rows, and meet
+the runs of repeated words there.
+
 Edge cases: null and empty texts have no words; texts of fewer than ``k`` words
 keep all; two rows with one id and one text are copies of one another, so they
 lose all windows, and each stays a row; rows with a null id take part like any
@@ -35,11 +38,11 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import gram_hashes, mixed, row_key, slices, table, word_hashes, words_of
+from .common import gram_hashes, mixed, row_key, slices, table, word_hashes, words_of, written
 
 K, M = 35, 5
 HEAVY, MOST_HEAVY, BUCKET_BYTES = 20_000, 1_000_000, 16 << 20
-SLICE = 8 << 20
+SLICE = 4 << 20
 
 #: A super-k-mer that travels: its place, its windows, where its minimiser lies, and whether copies are known.
 _ENTRY = np.dtype([("key", "<u8"), ("doc_row", "<i8"), ("doc_id", "<i8"), ("no_id", "?"), ("sure", "?"),
@@ -167,7 +170,7 @@ def _pack(batches: Iterator[pa.RecordBatch], k: int, m: int, heavy: np.ndarray,
                              ("first", start[known]), ("end", start[known] + cut.count[known] + k - 1)):
             places[name] = values
         bucket = (mixed(entries["key"]) % np.uint64(buckets)).astype(np.int64)
-        home = (mixed(places["doc_row"].view(np.uint64)) % np.uint64(buckets)).astype(np.int64)
+        home = _home(np.ascontiguousarray(places["doc_row"]), buckets)
         by_bucket, by_home = np.argsort(bucket, kind="stable"), np.argsort(home, kind="stable")
         bucket, home = bucket[by_bucket], home[by_home]
         out = []
@@ -205,10 +208,15 @@ def _repeated(strings: list[bytes], sure: list[bool], at: list[int], k: int) ->
     return [marks[s] for s in strings]
 
 
-_FOUND = "doc_id long, doc_row long, first long, end long"
+_FOUND = "home long, doc_id long, doc_row long, first long, end long"
+
+
+def _home(doc_row: np.ndarray, buckets: int) -> np.ndarray:
+    """The bucket of a row."""
+    return (mixed(doc_row.view(np.uint64)) % np.uint64(buckets)).astype(np.int64)
 
 
-def _count(group: pa.Table, k: int) -> pa.Table:
+def _count(group: pa.Table, k: int, buckets: int) -> pa.Table:
     """The repeated words of a bucket: runs of windows that occur more than once."""
     expand = zstandard.ZstdDecompressor().decompress
     strings, entries, places = [], [np.empty(0, _ENTRY)], [np.empty(0, _PLACE)]
@@ -236,58 +244,81 @@ def _count(group: pa.Table, k: int) -> pa.Table:
             found += [(i, base + int(x), base + int(y) + k - 1) for x, y in zip(edge[::2], edge[1::2])]
     i = np.array([f[0] for f in found], np.int64)
     ids = pa.array(np.concatenate([entry["doc_id"][i], place["doc_id"]]), mask=np.concatenate([entry["no_id"][i], place["no_id"]]))
-    return pa.table([ids, pa.array(np.concatenate([entry["doc_row"][i], place["doc_row"]])),
+    doc_row = np.concatenate([entry["doc_row"][i], place["doc_row"]])
+    return pa.table([pa.array(_home(doc_row, buckets)), ids, pa.array(doc_row),
                      pa.array(np.concatenate([np.array([f[1] for f in found], np.int64), place["first"]])),
                      pa.array(np.concatenate([np.array([f[2] for f in found], np.int64), place["end"]]))],
-                    names=["doc_id", "doc_row", "first", "end"])
+                    names=["home", "doc_id", "doc_row", "first", "end"])
 
 
-def repeated_words(docs: DataFrame, k: int = K, m: int = M, heavy: int = HEAVY, bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
-    """``docs`` (doc_id, doc_row, text as binary) -> doc_id, doc_row, first, end: runs of repeated words (word indexes)."""
-    sizes = docs.agg(F.sum(F.octet_length("text")).alias("bytes")).first()
-    buckets = (sizes["bytes"] or 0) // bucket_bytes + 1
+def repeated_words(docs: DataFrame, buckets: int, k: int = K, m: int = M, heavy: int = HEAVY) -> DataFrame:
+    """``docs`` (doc_id, doc_row, text as binary) -> home, doc_id, doc_row, first, end: runs of repeated words (word indexes)."""
     counts = docs.select("text").mapInArrow(lambda it: _minimisers(it, k, m), "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
-    # fewer than MOST_HEAVY keys can reach this limit: a text has fewer super-k-mers than half its bytes
-    limit = max(heavy, (sizes["bytes"] or 0) // 2 // MOST_HEAVY)
-    often = np.sort(np.array([r["key"] for r in counts.where(F.col("n") > limit).select("key").collect()], np.int64).view(np.uint64))
-    shared = docs.sparkSession.sparkContext.broadcast(often)
+    counts = written(counts.where(F.col("n") > heavy), "heavy")
+    # fewer than MOST_HEAVY minimisers can have so many of the strings
+    strings = counts.agg(F.sum("n")).first()[0] or 0
+    often = [r["key"] for r in counts.where(F.col("n") > strings // MOST_HEAVY).select("key").collect()]
+    shared = docs.sparkSession.sparkContext.broadcast(np.sort(np.array(often, np.int64).view(np.uint64)))
     packed = docs.mapInArrow(lambda it: _pack(it, k, m, shared.value, buckets), _PACKED)
-    return packed.groupBy("bucket").applyInArrow(lambda t: _count(t, k), _FOUND)
+    return packed.groupBy("bucket").applyInArrow(lambda t: _count(t, k, buckets), _FOUND)
+
+
+_TEXTS = "home long, doc_ids array<long>, doc_rows array<long>, lengths array<long>, texts binary"
+
+
+def _send(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.RecordBatch]:
+    """Whole texts, packed by the bucket of their row; the length of a null text is -1."""
+    squeeze = zstandard.ZstdCompressor(level=3).compress
+    types = (pa.int64(), *[pa.list_(pa.int64())] * 3, pa.binary())
+    for batch in slices(batches, "text", SLICE):
+        texts, ids = batch.column("text").to_pylist(), batch.column("doc_id").to_pylist()
+        rows = np.asarray(batch.column("doc_row"))
+        home, out = _home(rows, buckets), []
+        for b in np.unique(home).tolist():
+            own = np.flatnonzero(home == b).tolist()
+            out.append((b, [ids[i] for i in own], rows[own].tolist(), [-1 if texts[i] is None else len(texts[i]) for i in own],
+                        squeeze(b"".join(texts[i] or b"" for i in own))))
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), types)],
+                                         names=["home", "doc_ids", "doc_rows", "lengths", "texts"])
 
 
 _KEPT = "doc_id long, n_words long, n_removed long, kept binary"
 
 
-def _remove(batches: Iterator[pa.RecordBatch], digest: bool) -> Iterator[pa.RecordBatch]:
-    for batch in slices(batches, "text"):
-        total, removed, kept = [], [], []
-        for text, runs in zip(batch.column("text").to_pylist(), batch.column("runs")):
-            words = words_of(text)
+def _remove(texts: pa.Table, runs: pa.Table, digest: bool) -> pa.Table:
+    """A bucket's texts without their repeated words."""
+    expand = zstandard.ZstdDecompressor().decompress
+    gone: dict[tuple, list[tuple[int, int]]] = {}
+    for doc, row, first, end in zip(*(runs.column(c).to_pylist() for c in ("doc_id", "doc_row", "first", "end"))):
+        gone.setdefault((doc, row), []).append((first, end))
+    ids, total, removed, kept = [], [], [], []
+    for blob in texts.to_batches(max_chunksize=1):
+        part = blob.to_pylist()[0]
+        whole, start = expand(part["texts"]), 0
+        for doc, row, length in zip(part["doc_ids"], part["doc_rows"], part["lengths"]):
+            words = words_of(whole[start:start + max(length, 0)])
+            start += max(length, 0)
+            keep = np.ones(len(words), bool)
+            for first, end in gone.get((doc, row), ()):
+                keep[first:end] = False
+            ids.append(doc)
             total.append(len(words))
-            if runs.is_valid:
-                keep = np.ones(len(words), bool)
-                for run in runs.as_py():
-                    keep[run["first"]:run["end"]] = False
-                removed.append(int(len(words) - keep.sum()))
-                words = [words[i] for i in np.flatnonzero(keep).tolist()]
-            else:
-                removed.append(0)
-            left = b" ".join(words)
+            removed.append(int(len(words) - keep.sum()))
+            left = b" ".join([words[i] for i in np.flatnonzero(keep).tolist()] if removed[-1] else words)
             kept.append(hashlib.sha256(left).hexdigest().encode() if digest else left)
-        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(total, pa.int64()), pa.array(removed, pa.int64()),
-                                          pa.array(kept, pa.binary())], names=["doc_id", "n_words", "n_removed", "kept"])
+    return pa.table([pa.array(ids, pa.int64()), pa.array(total, pa.int64()), pa.array(removed, pa.int64()), pa.array(kept, pa.binary())],
+                    names=["doc_id", "n_words", "n_removed", "kept"])
 
 
-def remove_repeats(docs: DataFrame, digest: bool = False, **options) -> DataFrame:
+def remove_repeats(docs: DataFrame, digest: bool = False, bucket_bytes: int = BUCKET_BYTES, **options) -> DataFrame:
     """``docs`` (doc_id, text) -> doc_id, n_words, n_removed, kept: the kept words joined by one space, or their SHA-256."""
     keyed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), row_key("doc_id", "text").alias("doc_row"),
                         F.col("text").cast("binary").alias("text"))
-    runs = repeated_words(keyed, **options).groupBy("doc_id", "doc_row").agg(
-        F.collect_list(F.struct("first", "end")).alias("runs"))  # at most one run per word of the document
-    runs = runs.withColumnsRenamed({"doc_id": "of_id", "doc_row": "of_row"})
-    same = F.col("doc_id").eqNullSafe(F.col("of_id")) & (F.col("doc_row") == F.col("of_row"))
-    return keyed.join(runs, same, "left").select("doc_id", "text", "runs").mapInArrow(
-        lambda it: _remove(it, digest), _KEPT).withColumn("kept", F.col("kept").cast("string"))
+    buckets = (keyed.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // bucket_bytes + 1
+    runs = repeated_words(keyed, buckets, **options)
+    texts = keyed.mapInArrow(lambda it: _send(it, buckets), _TEXTS)
+    kept = texts.groupBy("home").cogroup(runs.groupBy("home")).applyInArrow(lambda t, r: _remove(t, r, digest), _KEPT)
+    return kept.withColumn("kept", F.col("kept").cast("string"))
 
 
 def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
