@@ -12,10 +12,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pushback.llm import decontaminate, language_id, minhash_dedup, pack, pii
-from pushback.llm.common import row_key, table, written
+from pushback.llm.common import bounded_batches, row_key, table, written
 
-#: A text that the best language model codes with more bits a byte is no prose of a known language.
-MAX_BITS_PER_BYTE = 6.0
+#: A text that even the best language model codes with more bits than it has is no text of a known language.
+MAX_BITS_PER_BYTE = 8.0
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
@@ -35,10 +35,11 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     Without any labelled row there is no model, and nothing is rejected.
     """
+    bounded_batches(spark)
     model = language_id.train(docs.select("doc_id", "lang", "text"))
     if not model.languages:
         return docs
-    judged = language_id.predict(docs.withColumn("__stage_text", F.col("text")), model, "__stage_text")
+    judged = language_id.predict(docs, model)
     keep = (F.col("lang_pred") != language_id.UNDETERMINED) & (F.col("bits_per_byte") <= MAX_BITS_PER_BYTE)
     return judged.where(keep).select(*docs.columns)
 
@@ -48,6 +49,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
     Rows that repeat a kept id and text are copies too: one stays.
     """
+    bounded_batches(spark)
     groups = minhash_dedup.near_duplicates(docs.select("doc_id", "text"), k=5)
     gone = groups.where("NOT kept").select(F.col("doc_id").alias("__stage_id")).distinct()
     kept = docs.join(gone, F.col("doc_id") == F.col("__stage_id"), "left_anti")
@@ -60,12 +62,14 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Decontamination: documents that hold a copy of a benchmark item go."""
+    bounded_batches(spark)
     found = decontaminate.contaminated(docs.select("doc_id", "text"), table(spark, sf_dir, "benchmark"))
     return _without(docs, written(found.select("doc_id", "doc_row"), "found"))
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """PII: personal data is replaced by its kind; ``n_chars`` follows the new text."""
+    bounded_batches(spark)
     clean = pii.sanitise(docs)
     if "n_chars" in docs.columns:
         clean = clean.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
@@ -74,6 +78,7 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Packing: all kept documents as pieces of training sequences."""
+    bounded_batches(spark)
     return pack.pack(docs.select("doc_id", "text"), pack.default_tokenizer())
 
 

@@ -17,7 +17,17 @@ SLICE_BYTES = 4 << 20
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 
 
+#: Rows and bytes of an Arrow batch: bounds what a Python worker holds, whatever the length of the rows.
+BATCHES = {"spark.sql.execution.arrow.maxRecordsPerBatch": "2000", "spark.sql.execution.arrow.maxBytesPerBatch": str(8 << 20)}
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    for key, value in BATCHES.items():
+        spark.conf.set(key, value)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    bounded_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

@@ -24,16 +24,18 @@ columns (an input column named like one of its own is replaced).
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from .common import fold, slices, table
 
 ORDER = 3
-DOCS_PER_LANGUAGE, MAX_LANGUAGES, MAX_NODES, TABLE_BYTES, MIN_COUNT = 500, 100, 12_000, 48 << 20, 8
+DOCS_PER_LANGUAGE, MAX_LANGUAGES, MAX_NODES, TABLE_BYTES, MIN_COUNT = 500, 100, 12_000, 24 << 20, 8
 UNDETERMINED = "und"
 
 
@@ -86,8 +88,7 @@ class Model:
         kept = [(k, x) for k, x in kept if k < 2 or (k - 1, x & ((1 << 8 * (k - 1)) - 1)) in node]
         node = {kx: i for i, kx in enumerate(kept)}
         codes = np.empty((len(kept), 256, size), np.float32)
-        self.node_of = np.zeros(1 << 24, np.uint16)
-        table_3d = self.node_of.reshape(256, 256, 256)
+        self.kept = np.array(kept, np.int64)
         for k in range(ORDER + 1):
             counts = {}
             if len(grams):
@@ -108,14 +109,21 @@ class Model:
                     escape = np.where(total > 0, -np.log2(distinct / (total + distinct)), 0.0)
                     shorter = codes[node[(k - 1, x & ((1 << 8 * (k - 1)) - 1))]] if k else np.full((256, size), 8.0)
                     codes[i] = np.where(c > 0, -np.log2(c / (total + distinct)), escape + shorter)
-                if k == 1:
-                    table_3d[:, :, x] = i
-                elif k == 2:
-                    table_3d[:, x >> 8, x & 255] = i
-                elif k == 3:
-                    self.node_of[x] = i
         self.codes = codes.reshape(-1, size)
 
+    @cached_property
+    def node_of(self) -> np.ndarray:
+        """The deepest context of the tree for each three preceding bytes; built where it is used, not sent."""
+        out = np.zeros((256, 256, 256), np.uint16)
+        for i, (k, x) in sorted(enumerate(self.kept.tolist()), key=lambda e: e[1][0]):
+            if k == 1:
+                out[:, :, x] = i
+            elif k == 2:
+                out[:, x >> 8, x & 255] = i
+            elif k == 3:
+                out[x >> 16, x >> 8 & 255, x & 255] = i
+        return out.reshape(-1)
+
     def lengths(self, texts: list[bytes]) -> np.ndarray:
         """Code length in bits of each non-empty text under each language."""
         data, own = _padded(texts)
@@ -147,9 +155,9 @@ def train(labelled: DataFrame, docs_per_language: int = DOCS_PER_LANGUAGE, max_l
 _OWN = "lang_pred string, score double, bits_per_byte double"
 
 
-def _predict(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.RecordBatch]:
-    for batch in slices(batches, "__ppm_text", 1 << 20):
-        texts, letters = batch.column("__ppm_text").to_pylist(), batch.column("__ppm_letters").to_pylist()
+def _predict(batches: Iterator[pa.RecordBatch], model: Model, text: str) -> Iterator[pa.RecordBatch]:
+    for batch in slices(batches, text, 1 << 20):
+        texts, letters = batch.column(text).cast(pa.binary()).to_pylist(), batch.column("__ppm_letters").to_pylist()
         judged = [i for i, ok in enumerate(letters) if ok and model.languages]
         pred, score, rate = [UNDETERMINED] * len(texts), [0.0] * len(texts), [None] * len(texts)
         if judged:
@@ -159,7 +167,7 @@ def _predict(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.Rec
             posterior = 1 / np.exp2(least[:, None] - bits).sum(1)
             for i, b, p, x in zip(judged, best.tolist(), posterior.tolist(), least.tolist()):
                 pred[i], score[i], rate[i] = model.languages[b], p, x / len(texts[i])
-        kept = [c for c in batch.schema.names if c not in ("__ppm_text", "__ppm_letters")]
+        kept = [c for c in batch.schema.names if c != "__ppm_letters"]
         yield pa.RecordBatch.from_arrays(
             [*(batch.column(c) for c in kept), pa.array(pred), pa.array(score, pa.float64()), pa.array(rate, pa.float64())],
             names=[*kept, "lang_pred", "score", "bits_per_byte"])
@@ -167,15 +175,12 @@ def _predict(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.Rec
 
 def predict(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     """Add lang_pred, score and bits_per_byte to ``docs``."""
-    from pyspark.sql.types import StructType
-
     own = StructType.fromDDL(_OWN)
     base = docs.drop(*own.names)
     schema = StructType([*base.schema.fields, *own.fields])
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    inputs = base.withColumns({"__ppm_text": F.col(text).cast("binary"),
-                               "__ppm_letters": F.coalesce(F.col(text).rlike("\\p{L}"), F.lit(False))})
-    return inputs.mapInArrow(lambda it: _predict(it, shared.value), schema)
+    inputs = base.withColumn("__ppm_letters", F.coalesce(F.col(text).rlike("\\p{L}"), F.lit(False)))
+    return inputs.mapInArrow(lambda it: _predict(it, shared.value, text), schema)
 
 
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -197,13 +197,14 @@ def find(docs: DataFrame, reach: int = REACH, disclosure: float = DISCLOSURE, su
 
 
 def _replace(batches: Iterator[pa.RecordBatch], text_column: str) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in slices(batches, text_column):
         texts = []
-        for raw, base, terms in zip(*(batch.column(c).to_pylist() for c in ("__pii_text", "__pii_base", "__pii_terms"))):
+        own = batch.column(text_column).cast(pa.binary())
+        for raw, base, terms in zip(own, *(batch.column(c).to_pylist() for c in ("__pii_base", "__pii_terms"))):
             if not base and not terms:
-                texts.append(raw)
+                texts.append(raw.as_py())
                 continue
-            text = raw.decode("utf-8", "replace")
+            text = raw.as_py().decode("utf-8", "replace")
             spans = [(int(a), int(b), k.upper()) for k, a, b in (s.split(":") for s in (base or "").split(",") if s)]
             spans += [(t["start"], t["end"], TERM.upper()) for t in terms or []]
             out, end = [], 0
@@ -222,7 +223,7 @@ def sanitise(docs: DataFrame, **options) -> DataFrame:
     found = find(docs.select("doc_id", "text"), **options).where("base <> '' OR terms IS NOT NULL")
     found = written(found.select(F.col("doc_id").alias("__pii_id"), F.col("doc_row").alias("__pii_row"),
                                  F.col("base").alias("__pii_base"), F.col("terms").alias("__pii_terms")).distinct(), "pii-found")
-    keyed = docs.withColumns({"__pii_key": row_key("doc_id", "text"), "__pii_text": F.col("text").cast("binary")})
+    keyed = docs.withColumn("__pii_key", row_key("doc_id", "text"))
     same = F.col("doc_id").cast("long").eqNullSafe(F.col("__pii_id")) & (F.col("__pii_key") == F.col("__pii_row"))
     return keyed.join(found, same, "left").drop("__pii_id", "__pii_row", "__pii_key").mapInArrow(
         lambda it: _replace(it, "text"), docs.schema)
