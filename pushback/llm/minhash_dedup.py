@@ -10,10 +10,11 @@ Buckets never make all pairs:
 
 1. Each bucket links its members to its smallest class only (a star); the pairs
    are verified, and components are formed of the links that hold.
-2. Members of a bucket that are still in different components are compared by
-   signature, inside tasks and in blocks of bounded size; only pairs whose
-   estimate is within ``slack`` of the threshold leave the task, and these are
-   verified too.  Pairs already connected need no further link.
+2. Members of a bucket that are still in different components are compared
+   inside tasks, in blocks of bounded size: by signature (with ``slack`` below
+   the threshold), then by their sets.  Only links that join two components
+   leave the task, and these are verified too.  Pairs already connected need no
+   further link.
 
 Every link is confirmed on the full shingle sets: intersection against union.
 The sets are read again from the documents for candidate classes only.
@@ -43,8 +44,8 @@ from .components import components
 BANDS, ROWS, SEED = 32, 4, 7
 #: Signature estimates this far below the threshold are still verified: five standard deviations of 128 minima.
 SLACK = 0.18
-#: Members of a bucket that one group compares with as many others.
-BLOCK = 2000
+#: Signatures and sets of a bucket's members that one group compares with as many others.
+BLOCK_BYTES = 8 << 20
 
 _LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
 
@@ -97,11 +98,16 @@ def _sign(batches: Iterator[pa.RecordBatch], k: int, bands: int, rows: int) -> I
             names=["doc_id", "n_shingles", "set_id", "bands", "signature"])
 
 
+_SETS = "node long, hashes binary, short binary"
+
+
 def _sets(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch]:
+    """Full sets, and the upper halves of their hashes (sorted, distinct) for comparisons inside buckets."""
     for batch in slices(batches, "text", 2 << 20):
         sets = shingle_sets(batch.column("text").to_pylist(), k)
-        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array([s.tobytes() for s in sets], pa.binary())],
-                                         names=["node", "hashes"])
+        short = [np.unique((s >> np.uint64(32)).astype(np.uint32)).tobytes() for s in sets]
+        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array([s.tobytes() for s in sets], pa.binary()),
+                                          pa.array(short, pa.binary())], names=["node", "hashes", "short"])
 
 
 def _confirm(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
@@ -120,32 +126,63 @@ def _confirm(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.Rec
 _CROSS = "u long, v long"
 
 
-def _cross(group: pd.DataFrame, least: float) -> pd.DataFrame:
-    """Pairs of a bucket's two blocks in different components whose signatures agree enough."""
-    left, right = group[group["side"] == 0], group[group["side"] == 1]
-    if left.empty or right.empty:
+def _cross(group: pd.DataFrame, bands: int, threshold: float, slack: float) -> pd.DataFrame:
+    """Pairs of a bucket's two blocks (or of its one block) that may link different components.
+
+    A pair is looked at in the first band that it shares.  Pairs whose
+    signatures agree enough are compared by their shortened sets.  A pair that
+    certainly links joins its components at once, so only a forest of such
+    pairs leaves the task; pairs too close to the threshold for 32 bits leave
+    it as well, and full sets decide.
+    """
+    left = group[group["side"] == 0]
+    right = group[group["side"] == 1]
+    alone = right.empty
+    right = left if alone else right
+    if left.empty:
         return pd.DataFrame({"u": [], "v": []}).astype("int64")
+    band = int(group["band"].iloc[0])
     x, y = (np.stack([np.frombuffer(s, np.uint32) for s in part["signature"]]) for part in (left, right))
-    n, m = left["n_shingles"].to_numpy(), right["n_shingles"].to_numpy()
+    a, b = ([np.frombuffer(s, np.uint32) for s in part["short"]] for part in (left, right))
+    n, m = np.array(list(map(len, a))), np.array(list(map(len, b)))
     u, v = left["node"].to_numpy(), right["node"].to_numpy()
-    p, q = left["component"].to_numpy(), right["component"].to_numpy()
+    # components joined so far inside this task
+    name, label = np.unique(np.concatenate([left["component"], right["component"]]), return_inverse=True)
+    p, q = label[:len(u)].copy(), label[len(u):].copy()
+    close = 0.01
     out = []
     for i in range(len(x)):
-        # a similarity bounds the ratio of sizes
-        maybe = np.flatnonzero((p[i] != q) & (np.minimum(n[i], m) >= least * np.maximum(n[i], m)))
-        if len(maybe):
-            agree = (x[i] == y[maybe]).mean(1)
-            out += [(u[i], v[j]) for j in maybe[agree >= least].tolist()]
-    pairs = pd.DataFrame(out, columns=["u", "v"]).astype("int64")
-    return pd.DataFrame({"u": pairs.min(axis=1), "v": pairs.max(axis=1)}).drop_duplicates()
-
-
-def _linked(pairs: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFrame:
+        maybe = np.flatnonzero((p[i] != q) & (np.minimum(n[i], m) >= (threshold - close) * np.maximum(n[i], m)))
+        if alone:
+            maybe = maybe[maybe > i]
+        if not len(maybe):
+            continue
+        agree = x[i] == y[maybe]
+        shared = agree.reshape(len(maybe), bands, -1).all(2)
+        maybe = maybe[(agree.mean(1) >= threshold - slack) & (shared.argmax(1) == band)]
+        for j in maybe.tolist():
+            if p[i] == q[j]:
+                continue
+            both = len(np.intersect1d(a[i], b[j], assume_unique=True))
+            similarity = both / (n[i] + m[j] - both)
+            if similarity < threshold - close:
+                continue
+            out.append((min(u[i], v[j]), max(u[i], v[j])))
+            if similarity >= threshold + close:
+                old, new = q[j], p[i]
+                p[p == old] = new
+                q[q == old] = new
+    return pd.DataFrame(out, columns=["u", "v"]).astype("int64")
+
+
+def _sets_of(nodes: DataFrame, docs: DataFrame, k: int) -> DataFrame:
+    """Full sets of the documents in ``nodes``, read again from the texts and written."""
+    chosen = docs.join(written(nodes.distinct(), "candidates"), docs["doc_id"] == F.col("node")).select("doc_id", "text")
+    return written(chosen.mapInArrow(lambda it: _sets(it, k), _SETS), "sets")
+
+
+def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Those of ``pairs`` (u, v: ids that stand for classes) whose full sets link.  Written, so computed once."""
-    nodes = written(pairs.select(F.explode(F.array("u", "v")).alias("node")).distinct(), "candidates")
-    # a class is represented by one document: ids may repeat with other texts, so the text's row is pinned by its set
-    chosen = docs.join(nodes.withColumnRenamed("node", "doc_id"), "doc_id").select("doc_id", "text")
-    sets = written(chosen.mapInArrow(lambda it: _sets(it, k), "node long, hashes binary"), "sets")
     a = sets.select(F.col("node").alias("u"), F.col("hashes").alias("a_hashes"))
     b = sets.select(F.col("node").alias("v"), F.col("hashes").alias("b_hashes"))
     return written(pairs.join(a, "u").join(b, "v").select("u", "v", "a_hashes", "b_hashes")
@@ -153,7 +190,7 @@ def _linked(pairs: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFram
 
 
 def near_duplicates(docs: DataFrame, k: int = 4, percent: int = 80, bands: int = BANDS, rows: int = ROWS,
-                    slack: float = SLACK, block: int = BLOCK) -> DataFrame:
+                    slack: float = SLACK, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """``docs`` (doc_id, text) -> doc_id, n_shingles, component_id, kept; one row per input row."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"))
     signed = written(docs.mapInArrow(lambda it: _sign(it, k, bands, rows), _SIGNED), "signed")
@@ -162,29 +199,32 @@ def near_duplicates(docs: DataFrame, k: int = 4, percent: int = 80, bands: int =
     classes = usable.groupBy("set_id").agg(F.min("doc_id").alias("node"))
     same = usable.join(classes, "set_id").where("doc_id <> node").select(F.col("doc_id").alias("u"), F.col("node").alias("v"))
     members = written(usable.join(classes, (usable["set_id"] == classes["set_id"]) & (usable["doc_id"] == classes["node"]))
-                      .select("node", "n_shingles", "bands", "signature"), "classes")
-    members = members.dropDuplicates(["node", "n_shingles", "signature"])
+                      .select("node", "bands", "signature"), "classes")
     banded = members.select("node", F.posexplode("bands").alias("band", "key"))
     buckets = banded.groupBy("band", "key").agg(F.min("node").alias("pivot"), F.count("*").alias("size")).where("size > 1")
     buckets = written(buckets, "buckets")
     inside = written(banded.join(buckets, ["band", "key"]), "members")
-    stars = inside.where("node <> pivot").select(F.col("pivot").alias("u"), F.col("node").alias("v")).distinct()
-    first = _linked(stars, docs, k, percent)
+    stars = written(inside.where("node <> pivot").select(F.col("pivot").alias("u"), F.col("node").alias("v")).distinct(), "stars")
+    first = _linked(stars, _sets_of(stars.select(F.explode(F.array("u", "v")).alias("node")), docs, k), percent)
     now = written(components(first.unionByName(same)), "components")
     # buckets that still hold several components
-    placed = inside.join(now, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    split = (placed.groupBy("band", "key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.max("size").alias("size"))
-             .where("lo < hi").select("band", "key", F.ceil(F.col("size") / block).cast("int").alias("blocks")))
-    open_ = (placed.select("band", "key", "node", "component").join(split, ["band", "key"])
-             .join(members.select("node", "n_shingles", "signature"), "node")
+    placed = inside.select("band", "key", "node").join(now, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    split = placed.groupBy("band", "key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi")
+    open_ = written(placed.join(split.select("band", "key"), ["band", "key"]), "open")
+    sets = _sets_of(open_.select("node"), docs, k)
+    sizes = sets.select("node", (F.octet_length("short") + F.lit(1000)).alias("bytes"))
+    blocks = open_.join(sizes, "node").groupBy("band", "key").agg(
+        F.ceil(F.sum("bytes") / block_bytes).cast("int").alias("blocks"))
+    rows_ = (open_.join(blocks, ["band", "key"]).join(members.select("node", "signature"), "node")
+             .join(sets.select("node", "short"), "node")
              .withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")))
     every = F.sequence(F.lit(0), F.col("blocks") - 1)
-    left = open_.withColumns({"i": F.col("own"), "j": F.explode(every), "side": F.lit(0)})
-    right = open_.withColumns({"j": F.col("own"), "i": F.explode(every), "side": F.lit(1)})
-    pairs = left.unionByName(right).where("i <= j").groupBy("band", "key", "i", "j").applyInPandas(
-        lambda g: _cross(g, percent / 100 - slack), _CROSS).distinct()
-    pairs = written(pairs.join(stars, ["u", "v"], "left_anti"), "pairs")
-    second = _linked(pairs, docs, k, percent)
+    left = rows_.withColumns({"i": F.col("own"), "j": F.explode(every), "side": F.lit(0)}).where("i <= j")
+    right = rows_.where("blocks > 1").withColumns({"j": F.col("own"), "i": F.explode(every), "side": F.lit(1)}).where("i < j")
+    columns = ["band", "key", "i", "j", "side", "node", "component", "signature", "short"]
+    pairs = left.select(columns).unionByName(right.select(columns)).groupBy("band", "key", "i", "j").applyInPandas(
+        lambda g: _cross(g, bands, percent / 100, slack), _CROSS).distinct()
+    second = _linked(pairs, sets, percent)
     final = components(now.select(F.col("node").alias("u"), F.col("component").alias("v")).unionByName(second))
     out = signed.select("doc_id", "n_shingles").join(final.withColumnRenamed("node", "doc_id"), "doc_id", "left")
     component = F.coalesce("component", "doc_id")
