@@ -36,7 +36,7 @@ WINDOW, GRANULARITY, DEPTH, END_ID = 2048, 8, 3, 1
 #: Rows of a bin in one bucket of the two-level rank, about.
 BUCKET_ROWS = 50_000
 #: Words whose ids a worker remembers; beyond it the memory starts anew.
-CACHE_WORDS = 1_000_000
+CACHE_WORDS = 500_000
 
 _PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 
