@@ -1,14 +1,14 @@
-"""Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment.
+"""Benchmark decontamination: n-gram seeds, then Smith-Waterman alignment.
 
 Texts are read as words: ASCII letters are lower-cased, ASCII punctuation
 counts as white space.  Every run of ``n`` words of a test item is a seed.  One
 pass over whole documents finds all seeds; hits of one item that lie close
-together become a passage (with room for the whole item on both sides).  Over
-all passages the seeds are counted, and a seed much more frequent than its
-item's median seed starts no alignment (it is a common phrase; an item that is
-frequent as a whole keeps its seeds).  Each remaining passage is aligned with
-its item by Smith-Waterman over words, which scores edited and paraphrased
-copies too; a pair is reported from ``min_score`` of the item's perfect score.
+together become a passage (with room for the whole item on both sides).  A passage that
+shares too few words with its item to reach ``min_score`` however they stand is
+dropped at once; how frequent a passage or a seed is does not matter.  Every
+other passage is aligned with its item by Smith-Waterman over words, which
+scores edited and paraphrased copies too; a pair is reported from ``min_score``
+of the item's perfect score.  A task aligns equal passages once.
 
 The test items are the stated query set: they go to the tasks in blocks of at
 most ``block_bytes`` of text, so the broadcast has a fixed bound and a larger
@@ -27,21 +27,22 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+import xxhash
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import gram_hashes, row_key, slices, table, word_hashes, written
 
 N, MIN_SCORE, BLOCK_BYTES = 4, 0.6, 8 << 20
-#: A seed starts an alignment if it is at most so many times as frequent as its item's median seed.
-RARE = 16.0
+#: Alignments that a task remembers at a time, for passages that many documents share.
+MEMORY = 50_000
 MATCH, MISMATCH, GAP = 2, -1, -1
 
 _PUNCTUATION = bytes(b for b in range(0x21, 0x7F) if not chr(b).isalnum())
 _TABLE = bytes.maketrans(_PUNCTUATION + bytes(range(65, 91)), b" " * len(_PUNCTUATION) + bytes(range(97, 123)))
 _WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 
-_HITS = "doc_id long, doc_row long, item long, seeds array<long>, passage binary, passage_start long"
+_HITS = "doc_id long, doc_row long, item long, passage binary, passage_start long"
 _FOUND = "doc_id long, doc_row long, item long, score double, start long, end long"
 
 
@@ -54,7 +55,9 @@ class Seeds:
 
     def __init__(self, items: list[list[bytes]], n: int):
         self.n, self.lengths = n, [len(w) for w in items]
-        grams = [np.unique(gram_hashes(word_hashes(w), n)) for w in items]
+        hashes = [word_hashes(w) for w in items]
+        self.words = [np.unique(h, return_counts=True) for h in hashes]
+        grams = [np.unique(gram_hashes(h, n)) for h in hashes]
         keys = np.concatenate([*grams, np.empty(0, np.uint64)])
         owner = np.repeat(np.arange(len(items)), [len(g) for g in grams])
         order = np.lexsort((owner, keys))
@@ -75,33 +78,39 @@ class Seeds:
         ok = (seed < len(self.keys)) & (self.keys[np.minimum(seed, len(self.keys) - 1)] == grams[at]) if len(self.keys) else np.zeros(len(at), bool)
         return at[ok], seed[ok]
 
+    def most(self, item: int, hashes: np.ndarray) -> float:
+        """No alignment of the item with these words scores more: each word matches as often as both have it."""
+        own, counts = self.words[item]
+        at = np.minimum(np.searchsorted(own, hashes), len(own) - 1)
+        found = np.bincount(at[own[at] == hashes], minlength=len(own))
+        return int(np.minimum(found, counts).sum()) / self.lengths[item]
 
-def _passages(seeds: Seeds, at: np.ndarray, seed: np.ndarray, n_words: int) -> Iterator[tuple[int, int, int, list[int]]]:
-    """(item, first word, end word, seeds) of each cluster of a document's hits."""
-    by_item: dict[int, list[tuple[int, int]]] = {}
+
+def _passages(seeds: Seeds, at: np.ndarray, seed: np.ndarray, n_words: int) -> Iterator[tuple[int, int, int]]:
+    """(item, first word, end word) of each cluster of a document's hits."""
+    by_item: dict[int, list[int]] = {}
     for p, s in zip(at.tolist(), seed.tolist()):
         for item in seeds.owner[seeds.first[s]:seeds.first[s + 1]].tolist():
-            by_item.setdefault(item, []).append((p, s))
+            by_item.setdefault(item, []).append(p)
     for item, hits in by_item.items():
         room, begin = seeds.lengths[item], 0
         for k in range(1, len(hits) + 1):
-            if k == len(hits) or hits[k][0] - hits[k - 1][0] > 2 * room:
-                own = hits[begin:k]
-                yield (item, max(0, own[0][0] - room), min(n_words, own[-1][0] + seeds.n + room),
-                       sorted({s for _, s in own}))
+            if k == len(hits) or hits[k] - hits[k - 1] > 2 * room:
+                yield item, max(0, hits[begin] - room), min(n_words, hits[k - 1] + seeds.n + room)
                 begin = k
 
 
-def _find(batches: Iterator[pa.RecordBatch], seeds: Seeds) -> Iterator[pa.RecordBatch]:
+def _find(batches: Iterator[pa.RecordBatch], seeds: Seeds, min_score: float) -> Iterator[pa.RecordBatch]:
     schema = pa.schema([("doc_id", pa.int64()), ("doc_row", pa.int64()), ("item", pa.int64()),
-                        ("seeds", pa.list_(pa.int64())), ("passage", pa.binary()), ("passage_start", pa.int64())])
+                        ("passage", pa.binary()), ("passage_start", pa.int64())])
     for batch in slices(batches, "text"):
         rows = []
         texts = batch.column("text").to_pylist()
         split = [words(t) for t in texts]
         flat = [w for own in split for w in own]
         ends = np.cumsum([len(own) for own in split])
-        at, seed = seeds.find(word_hashes(flat))
+        hashes = word_hashes(flat)
+        at, seed = seeds.find(hashes)
         doc = np.searchsorted(ends, at, side="right")
         whole = at + seeds.n <= ends[doc] if len(at) else np.zeros(0, bool)
         at, seed, doc = at[whole], seed[whole], doc[whole]
@@ -109,11 +118,13 @@ def _find(batches: Iterator[pa.RecordBatch], seeds: Seeds) -> Iterator[pa.Record
         for d in np.unique(doc).tolist():
             own = doc == d
             first = int(ends[d]) - len(split[d])
-            spots = [m.span() for m in _WORD.finditer(texts[d].translate(_TABLE))]
-            for item, a, b, found in _passages(seeds, at[own] - first, seed[own], len(spots)):
+            spots: list[tuple[int, int]] = []
+            for item, a, b in _passages(seeds, at[own] - first, seed[own], len(split[d])):
+                if seeds.most(item, hashes[first + a:first + b]) < min_score:
+                    continue
+                spots = spots or [m.span() for m in _WORD.finditer(texts[d].translate(_TABLE))]
                 lo, hi = spots[a][0], spots[b - 1][1]
-                rows.append((ids[d].as_py(), keys[d].as_py(), item, [int(seeds.keys[s].view(np.int64)) for s in found],
-                             texts[d][lo:hi], len(texts[d][:lo].decode("utf-8", "replace"))))
+                rows.append((ids[d].as_py(), keys[d].as_py(), item, texts[d][lo:hi], len(texts[d][:lo].decode("utf-8", "replace"))))
         if rows:
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
 
@@ -150,12 +161,18 @@ def align(item: list[bytes], passage: list[bytes]) -> tuple[float, int, int]:
 def _align(batches: Iterator[pa.RecordBatch], items: list[list[bytes]], min_score: float) -> Iterator[pa.RecordBatch]:
     schema = pa.schema([("doc_id", pa.int64()), ("doc_row", pa.int64()), ("item", pa.int64()),
                         ("score", pa.float64()), ("start", pa.int64()), ("end", pa.int64())])
+    known: dict[tuple[int, int], tuple[float, int, int]] = {}
     for batch in batches:
         rows = []
         for r in batch.to_pylist():
             passage = r["passage"].translate(_TABLE)
             spots = [m.span() for m in _WORD.finditer(passage)]
-            score, a, b = align(items[r["item"]], [passage[x:y] for x, y in spots])
+            key = r["item"], xxhash.xxh3_128_intdigest(passage)
+            if key not in known:
+                if len(known) >= MEMORY:
+                    known.clear()
+                known[key] = align(items[r["item"]], [passage[x:y] for x, y in spots])
+            score, a, b = known[key]
             if score >= min_score:
                 chars = [r["passage_start"] + len(r["passage"][:x].decode("utf-8", "replace")) for x in (spots[a][0], spots[b - 1][1])]
                 rows.append((r["doc_id"], r["doc_row"], r["item"], score, *chars))
@@ -163,17 +180,6 @@ def _align(batches: Iterator[pa.RecordBatch], items: list[list[bytes]], min_scor
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
 
 
-def _rare(hits: DataFrame) -> DataFrame:
-    """Keep passages with a seed that is rare for its item."""
-    hits = hits.withColumn("hit", F.xxhash64("doc_id", "doc_row", "item", "passage_start"))
-    each = hits.select("hit", "item", F.explode("seeds").alias("seed"))
-    counts = each.groupBy("item", "seed").agg(F.count("*").alias("n"))  # as many rows as there are seeds, at most
-    median = F.expr("percentile_approx(n, 0.5)").over(Window.partitionBy("item"))
-    rare = written(counts.withColumn("m", median).where(F.col("n") <= RARE * F.col("m")).select("item", "seed"), "seeds")
-    good = each.join(rare, ["item", "seed"], "left_semi").select("hit").distinct()
-    return hits.join(good, "hit", "left_semi").drop("hit")
-
-
 def contaminated(docs: DataFrame, benchmark: DataFrame, n: int = N, min_score: float = MIN_SCORE,
                  block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """``docs`` (doc_id, text) against ``benchmark`` (item_id, text).
@@ -196,8 +202,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, n: int = N, min_score: f
             continue
         names, texts = [i for i, _ in kept], [w for _, w in kept]
         seeds = spark.sparkContext.broadcast(Seeds(texts, n))
-        hits = written(inputs.mapInArrow(lambda it, s=seeds: _find(it, s.value), _HITS), "hits")
-        found = _rare(hits).mapInArrow(lambda it, t=texts: _align(it, t, min_score), _FOUND)
+        hits = written(inputs.mapInArrow(lambda it, s=seeds: _find(it, s.value, min_score), _HITS), "hits")
+        found = hits.mapInArrow(lambda it, t=texts: _align(it, t, min_score), _FOUND)
         by_pair = found.groupBy("doc_id", "doc_row", "item").agg(
             F.max_by(F.struct("score", "start", "end"), F.struct("score", -F.col("start"))).alias("best"))
         ids = spark.createDataFrame(list(enumerate(names)), "item long, item_id long")
