@@ -3,17 +3,19 @@
 The base spans are e-mail addresses, IPv4-like numbers, card numbers (Luhn) and
 phone numbers.  They are the protected entities.  The words within ``reach``
 words of an entity are its context.  Over all documents it is counted how often
-a term occurs at all and how often in contexts of each kind.  With p(k) the
-share of all words that stand in contexts of kind k, and p(k|t) the share of a
-term's occurrences that do,
-
-    PMI(t; k) = log2(p(k|t) / p(k)),    IC(k) = -log2 p(k),
-
-and a term discloses kind k if PMI / IC reaches ``disclosure`` (1 means that the
-term never occurs without such an entity) and it stands with at least
-``support`` different entities, so that copies of one document prove nothing.
-Disclosing terms become spans of kind ``term`` where they stand in such a
-context; elsewhere nothing is marked.  ``sanitise`` replaces base spans by the
+a term occurs at all, how often in contexts of each entity and how often in
+contexts of each kind.  With p(x) the share of all words that stand in contexts
+of x (an entity or a kind), and p(x|t) the share of a term's occurrences that do,
+
+    PMI(t; x) = log2(p(x|t) / p(x)),    IC(x) = -log2 p(x),
+
+and a term discloses x if PMI / IC reaches ``disclosure`` (1 means that the
+term never occurs without x).  Contexts of the same words count as one where
+evidence is weighed, so that copies of one document prove nothing: an entity is
+disclosed by a term of at least ``evidence`` different contexts, a kind by one
+of at least ``support``.
+Disclosing terms become spans of kind ``term`` where they stand in a context of
+the entity or kind that they disclose; elsewhere nothing is marked.  ``sanitise`` replaces base spans by the
 name of their kind and generalises disclosing terms.
 
 Edge cases: null texts are empty; repeated rows each keep their own result;
@@ -37,7 +39,7 @@ from .common import row_key, slices, table, words_of, written
 
 KINDS = ("email", "ip", "card", "phone")
 TERM = "term"
-REACH, DISCLOSURE, SUPPORT = 8, 0.9, 20
+REACH, DISCLOSURE, SUPPORT, EVIDENCE = 8, 0.9, 20, 2
 
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -109,8 +111,11 @@ def joined(spans: list[Span]) -> str:
     return ",".join(f"{k}:{a}:{b}" for k, a, b in spans)
 
 
-def contexts(text: str, spans: list[Span], reach: int) -> Iterator[tuple[str, int, str, int, int]]:
-    """(kind, hash of the entity, term, start, end) of each term within ``reach`` words of an entity."""
+def contexts(text: str, spans: list[Span], reach: int) -> Iterator[tuple[str, int, int, bool, str, int, int]]:
+    """(kind, hash of the entity, hash of the context, first, term, start, end) of each term within ``reach`` words of an entity.
+
+    Not first: the same entity stands near the same word once more.
+    """
     words = [m.span() for m in _WORD.finditer(text)]
     taken = sorted((a, b) for _, a, b in spans)
     terms, k = [], 0
@@ -125,18 +130,22 @@ def contexts(text: str, spans: list[Span], reach: int) -> Iterator[tuple[str, in
     starts = [a for a, _ in words]
     from bisect import bisect_left
 
+    seen: set[tuple[str, int, int]] = set()
     for kind, a, b in spans:
         first, last = bisect_left(starts, a), bisect_left(starts, b)
+        low, high = max(0, first - reach), min(len(terms), last + reach)
         entity = xxhash.xxh3_64_intdigest(text[a:b].encode()) - (1 << 63)
-        for i in (*range(max(0, first - reach), first), *range(last, min(len(terms), last + reach))):
+        context = xxhash.xxh3_64_intdigest(" ".join(text[x:y] for x, y in words[low:high]).encode()) - (1 << 63)
+        for i in (*range(low, first), *range(last, high)):
             if terms[i]:
-                yield kind, entity, *terms[i]
+                yield kind, entity, context, (kind, entity, i) not in seen, *terms[i]
+                seen.add((kind, entity, i))
 
 
-_CONTEXT = pa.list_(pa.struct([("kind", pa.string()), ("entity", pa.int64()), ("term", pa.string()),
-                               ("start", pa.int64()), ("end", pa.int64())]))
+_FIELDS = ("kind", "entity", "context", "first", "term", "start", "end")
+_CONTEXT = pa.list_(pa.struct(list(zip(_FIELDS, (pa.string(), pa.int64(), pa.int64(), pa.bool_(), pa.string(), pa.int64(), pa.int64())))))
 _ROWS = ("doc_id long, doc_row long, n_words long, n_email long, n_ip long, n_card long, n_phone long, base string, "
-         "contexts array<struct<kind string, entity long, term string, start long, end long>>")
+         "contexts array<struct<kind string, entity long, context long, first boolean, term string, start long, end long>>")
 
 
 def _scan(batches: Iterator[pa.RecordBatch], reach: int) -> Iterator[pa.RecordBatch]:
@@ -147,7 +156,7 @@ def _scan(batches: Iterator[pa.RecordBatch], reach: int) -> Iterator[pa.RecordBa
             found = Counter(k for k, _, _ in spans)
             counts.append([found[k] for k in KINDS])
             base.append(joined(spans))
-            around.append([dict(zip(("kind", "entity", "term", "start", "end"), c)) for c in contexts(text, spans, reach)] if spans else [])
+            around.append([dict(zip(_FIELDS, c)) for c in contexts(text, spans, reach)] if spans else [])
             n_words.append(len(words_of(raw)))
         yield pa.RecordBatch.from_arrays(
             [batch.column("doc_id"), batch.column("doc_row"), pa.array(n_words, pa.int64()),
@@ -170,27 +179,37 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                                          names=["term", "n"])
 
 
-def find(docs: DataFrame, reach: int = REACH, disclosure: float = DISCLOSURE, support: int = SUPPORT) -> DataFrame:
+def find(docs: DataFrame, reach: int = REACH, disclosure: float = DISCLOSURE, support: int = SUPPORT,
+         evidence: int = EVIDENCE) -> DataFrame:
     """``docs`` (doc_id, text) -> doc_id, doc_row, n_email, n_ip, n_card, n_phone, base, terms (sorted array of start, end)."""
     inputs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), row_key("doc_id", "text").alias("doc_row"),
                          F.col("text").cast("binary").alias("text"))
     rows = written(inputs.mapInArrow(lambda it: _scan(it, reach), _ROWS), "pii")
     near = rows.where(F.size("contexts") > 0).select("doc_id", "doc_row", F.explode("contexts").alias("c")).select("doc_id", "doc_row", "c.*")
-    joint = (near.groupBy("kind", "term", "entity").agg(F.count("*").alias("n"))
-             .groupBy("kind", "term").agg(F.sum("n").alias("joint"), F.count("*").alias("entities"))
-             .where(F.col("entities") >= support))
-    joint = written(joint, "pii-joint")  # its size is known from here on: Spark broadcasts it only if it is small
-    counts = inputs.select("text").mapInArrow(_count, "term string, n long").join(
-        joint.select("term").distinct(), "term", "left_semi").groupBy("term").agg(F.sum("n").alias("n"))
-    in_kind = near.groupBy("kind").agg(F.count("*").alias("in_kind"))  # four rows at most
+    pairs = (near.groupBy("kind", "entity", "term", "context").agg(F.count("*").alias("joint"), F.count_if("first").alias("once"))
+             .groupBy("kind", "entity", "term").agg(F.sum("joint").alias("joint"), F.sum("once").alias("once"), F.count("*").alias("contexts")))
+    pairs = written(pairs, "pii-pairs")
+    by_kind = (pairs.groupBy("kind", "term").agg(F.sum("joint").alias("joint"), F.sum("contexts").alias("contexts"))
+               .where(F.col("contexts") >= support).drop("contexts"))
+    by_entity = pairs.where(F.col("contexts") >= evidence).select("kind", "entity", "term", F.col("once").alias("joint"))
+    terms = written(by_kind.select("term").unionByName(by_entity.select("term")).distinct(), "pii-candidates")
+    counts = inputs.select("text").mapInArrow(_count, "term string, n long").join(  # broadcast only if terms are few
+        terms, "term", "left_semi").groupBy("term").agg(F.sum("n").alias("n"))
+    counts = written(counts, "pii-counts")
     total = rows.agg(F.sum("n_words").alias("total"))  # one row
-    share = F.col("in_kind") / F.col("total")
-    pmi = F.log2(F.col("joint") / F.col("n") / share)
-    disclosing = (joint.join(counts, "term").join(F.broadcast(in_kind), "kind").crossJoin(F.broadcast(total))
-                  .where(pmi >= -disclosure * F.log2(share)).select("kind", "term"))
-    disclosing = written(disclosing, "pii-terms")
-    spans = (near.join(disclosing, ["kind", "term"], "left_semi").groupBy("doc_id", "doc_row")
-             .agg(F.sort_array(F.collect_set(F.struct("start", "end"))).alias("terms")))
+    share = F.col("near") / F.col("total")
+    discloses = F.log2(F.col("joint") / F.col("n") / share) >= -disclosure * F.log2(share)
+
+    def disclosing(joint: DataFrame, near: DataFrame, key: list[str]) -> DataFrame:
+        judged = joint.join(counts, "term").join(near, key).crossJoin(F.broadcast(total))
+        return written(judged.where(discloses).select(*key, "term"), "pii-terms")
+
+    kinds = pairs.groupBy("kind").agg(F.sum("joint").alias("near"))  # four rows at most
+    entities = pairs.groupBy("kind", "entity").agg(F.sum("once").alias("near"))
+    of_kind = disclosing(by_kind, F.broadcast(kinds), ["kind"])
+    of_entity = disclosing(by_entity, entities, ["kind", "entity"])
+    marked = near.join(of_kind, ["kind", "term"], "left_semi").unionByName(near.join(of_entity, ["kind", "entity", "term"], "left_semi"))
+    spans = marked.groupBy("doc_id", "doc_row").agg(F.sort_array(F.collect_set(F.struct("start", "end"))).alias("terms"))
     own = rows.drop("contexts", "n_words")
     same = own["doc_id"].eqNullSafe(spans["doc_id"]) & (own["doc_row"] == spans["doc_row"])
     return own.join(spans, same, "left").select(*(own[c] for c in own.columns), "terms")
