@@ -3,7 +3,8 @@
 A text is cut into sentences, each sentence is normalised (lower case, runs of
 anything but ``a-z0-9`` become one space) and looked up among known licence
 sentences; a text becomes the sequence of their identifiers, with a gap mark
-wherever other sentences stand between.  Ordered rules (longer before shorter,
+wherever other sentences stand between.  List marks (a lone number, letter or
+Roman numeral) are no sentences, and the stop of ``v. 2`` ends none.  Ordered rules (longer before shorter,
 first match wins, matches do not overlap) then turn identifier sequences into
 licences.
 
@@ -130,6 +131,9 @@ RULES: list[tuple[str, tuple[str, ...]]] = [
 LINES = "[.;:!?]+[ \\t\\r\\n]+|[ \\t\\r]*\\n[ \\t\\r\\n]*"
 PARAGRAPHS = "[.;:!?]+[ \\t\\r\\n]+|\\n[ \\t\\r]*\\n[ \\t\\r\\n]*"
 GAP = "."
+#: The stop of an abbreviated version, and what is left of a list mark.
+VERSION_STOP = "\\bv\\.(?=[ \\t\\r\\n]+[0-9])"
+LIST_MARK = "^([0-9]+( [0-9]+)*|[a-z]|[ivx]+)$"
 _FIRST = 0xE000  # private-use code points stand for sentence identifiers
 
 
@@ -142,11 +146,12 @@ def _normalised(sentence: Column) -> Column:
 
 
 def identifiers(text: Column, ends: str, sentences: dict[str, str]) -> Column:
-    """The text's sentences as one string: a code point per known sentence, ``GAP`` per other one."""
+    """The text's sentences as one string: a code point per known sentence, ``GAP`` per other one, nothing per list mark."""
     codes = _codes(sentences)
     known = F.create_map(*[F.lit(x) for name, s in sentences.items() for x in (s, codes[name])])
-    cut = F.filter(F.split(F.lower(text), ends), lambda s: F.length(s) > 0)
-    return F.array_join(F.transform(cut, lambda s: F.coalesce(F.element_at(known, _normalised(s)), F.lit(GAP))), "")
+    cut = F.filter(F.split(F.regexp_replace(F.lower(text), VERSION_STOP, "v"), ends), lambda s: F.length(s) > 0)
+    return F.array_join(F.transform(F.transform(cut, _normalised), lambda s: F.coalesce(
+        F.element_at(known, s), F.when(F.rlike(s, F.lit(LIST_MARK)), F.lit("")).otherwise(F.lit(GAP)))), "")
 
 
 def anchors(sentences: dict[str, str]) -> list[str]:
