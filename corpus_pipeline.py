@@ -45,19 +45,28 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """MinHash: of each group of near-duplicates (five-word shingles, 0.8), the document with the smallest id stays.
+    """MinHash: of each group of near-duplicates (five-word shingles, 0.8), the row with the smallest id stays.
 
-    Rows that repeat a kept id and text are copies too: one stays.
+    Rows are judged by id and text (of one id, the smallest ``row_key`` goes
+    first): an id's other texts are documents of their own.  Rows that repeat a
+    kept id and text are copies too: the one with the smallest other columns
+    stays.  Rows without an id stay.
     """
     bounded_batches(spark)
-    groups = minhash_dedup.near_duplicates(docs.select("doc_id", "text"), k=5)
-    gone = groups.where("NOT kept").select(F.col("doc_id").alias("__stage_id")).distinct()
-    kept = docs.join(gone, F.col("doc_id") == F.col("__stage_id"), "left_anti")
-    repeated = kept.groupBy("doc_id").count().where("count > 1 AND doc_id IS NOT NULL").select(F.col("doc_id").alias("__stage_id"))
+    keyed = _keyed(docs)
+    node = F.when(F.col("doc_id").isNotNull(), F.col("__stage_row"))
+    groups = minhash_dedup.near_duplicates(keyed.select(node.alias("doc_id"), "text"), k=5)
+    links = written(groups.where("doc_id <> component_id").select(F.col("doc_id").alias("__stage_row"), "component_id").distinct(), "links")
+    ends = links.unionByName(links.select(F.col("component_id").alias("__stage_row"), "component_id").distinct())
+    named = written(keyed.select("doc_id", "__stage_row").where("doc_id IS NOT NULL").join(ends, "__stage_row").distinct(), "named")
+    first = named.groupBy("component_id").agg(F.min(F.struct("doc_id", "__stage_row")).alias("first")).select("first.*")
+    key = ["doc_id", "__stage_row"]
+    kept = keyed.join(written(named.select(*key).join(first, key, "left_anti"), "gone"), key, "left_anti")
+    repeated = kept.where("doc_id IS NOT NULL").groupBy(*key).count().where("count > 1").select(*key)
     repeated = written(repeated, "repeated")  # mostly empty: known to be small, Spark broadcasts it
-    alone = kept.join(repeated, F.col("doc_id") == F.col("__stage_id"), "left_anti")
-    first = kept.join(repeated, F.col("doc_id") == F.col("__stage_id"), "left_semi").dropDuplicates(["doc_id"])
-    return alone.unionByName(first)
+    alone = kept.join(repeated, key, "left_anti").select(*docs.columns)
+    copies = kept.join(repeated, key, "left_semi").groupBy(*key).agg(F.min(F.struct(*docs.columns)).alias("row"))
+    return alone.unionByName(copies.select("row.*"))
 
 
 def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
