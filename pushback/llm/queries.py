@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from . import chat_format, decontaminate, embedding_dedup, language_id, license_scan, lm_score, minhash_dedup, pack, pii, substring_dedup
+from . import (chat_format, decontaminate, embedding_dedup, language_id, license_scan, lm_score, minhash_dedup, pack, periodic_runs, pii,
+               ranked_search, sharding, substring_dedup)
 
 QUERIES = {
     "op1_substring_dedup": substring_dedup.op1_substring_dedup,
@@ -15,6 +16,9 @@ QUERIES = {
     "op8_embedding_dedup": embedding_dedup.op8_embedding_dedup,
     "op9_pii": pii.op9_pii,
     "op10_decontaminate": decontaminate.op10_decontaminate,
+    "op11_sharding": sharding.op11_sharding,
+    "op12_ranked_search": ranked_search.op12_ranked_search,
+    "op13_periodic_runs": periodic_runs.op13_periodic_runs,
 }
 
 ORACLE_SQL = {
@@ -23,4 +27,7 @@ ORACLE_SQL = {
     "op5_license_scan": license_scan.ORACLE,
     "op7_minhash_dedup": minhash_dedup.ORACLE,
     "op8_embedding_dedup": embedding_dedup.ORACLE,
+    "op11_sharding": sharding.ORACLE,
+    "op12_ranked_search": ranked_search.ORACLE,
+    "op13_periodic_runs": periodic_runs.ORACLE,
 }
