@@ -51,10 +51,9 @@ def write_predictions(df: DataFrame, root: str, variant: str) -> str:
 
 
 def save_model(model, root: str, variant: str, airports: Sequence[str] = ()) -> str:
+    """Save anything with ``save(path)`` (a fitted model with its clones, rules, encoders and answers)."""
     path = table_path(root, "models", variant)
-    path = airport_folder(path, airports) if airports else path
-    model.write().overwrite().save(path)
-    return path
+    return model.save(airport_folder(path, airports) if airports else path)
 
 
 def write_tuning_results(df: DataFrame, root: str, variant: str, airports: Sequence[str] = ()) -> str:
