@@ -304,7 +304,8 @@ def _pct_band(name: str, src: str, col: str, lo: float, hi: float) -> list[tuple
 def with_ctes(final: str, extra: list[tuple[str, str]] | None = None,
               airports: tuple[str, ...] = (AIRPORT,)) -> str:
     parts = [adapter.duck_views()] + [f"{n} AS ({body})" for n, body in _ctes(airports) + (extra or [])]
-    return "WITH " + ",\n".join(parts) + "\n" + final
+    recursive = any("(" in n for n, _ in extra or [])  # only recursive parts name their columns
+    return ("WITH RECURSIVE " if recursive else "WITH ") + ",\n".join(parts) + "\n" + final
 
 
 def r6(c: str, alias: str | None = None) -> str:
@@ -564,12 +565,44 @@ SELECT step_no, step, rows_in, rows_out, round(CAST(rows_out AS DOUBLE) * 100.0
         f"carrier, {', '.join(COUNTS)} FROM ramp")
     imp = (_pct_band("i1", "r1", AMA, 0.0, 1.0) + _pct_band("i2", "i1", FULL, 0.0, 1.0)
            + _iqr_band("i3", "i2", RAMP, 3.0))
+    q["stand_clusters"] = with_ctes(
+        "SELECT stand AS departure_stand_actual, (dense_rank() OVER (ORDER BY first) - 1)::INT AS stand_cluster "
+        "FROM (SELECT stand, min(stand) OVER (PARTITION BY label) AS first FROM sc_labels)",
+        _iqr_band("ir", "r1", RAMP, 3.0) + _single_linkage(3, 6))
     q["imp_full_table"] = with_ctes(
         f"SELECT airport_icao, gufi, \"group\", {r6(FULL)}, {r6(AMA)}, {r6(RAMP)}, total_flights_on_surface "
         f"FROM i3", imp)
     return q
 
 
+def _single_linkage(nrunways: int, clusters: int) -> list[tuple[str, str]]:
+    """Stand profiles of the training rows of ``ir``, joined pair by pair, shortest edge first, until ``clusters`` are left."""
+    return [
+        ("sc_rows", f"SELECT departure_stand_actual AS stand, departure_runway_actual AS rw, {RAMP} AS y FROM ir WHERE \"group\" = 'train' "
+                    f"AND departure_stand_actual IS NOT NULL AND departure_runway_actual IS NOT NULL AND {RAMP} IS NOT NULL"),
+        ("sc_top", f"SELECT * FROM (SELECT rw, row_number() OVER (ORDER BY count(*) DESC, rw) AS place FROM sc_rows GROUP BY rw) "
+                   f"WHERE place <= {nrunways}"),
+        ("sc_busy", "SELECT stand, place, y FROM sc_rows JOIN sc_top USING (rw)"),
+        ("sc_fill", "SELECT place, median(y) AS m FROM sc_busy GROUP BY place"),
+        ("sc_own", "SELECT stand, place, median(y) AS m FROM sc_busy GROUP BY stand, place"),
+        ("sc_raw", "SELECT s.stand, f.place, COALESCE(o.m, f.m) AS v FROM (SELECT DISTINCT stand FROM sc_own) s CROSS JOIN sc_fill f "
+                   "LEFT JOIN sc_own o ON o.stand = s.stand AND o.place = f.place"),
+        ("sc_x", "SELECT r.stand, r.place, CASE WHEN sd = 0 THEN 0 ELSE (v - mean) / sd END AS x FROM sc_raw r JOIN "
+                 "(SELECT place, avg(v) AS mean, stddev_pop(v) AS sd FROM sc_raw GROUP BY place) USING (place)"),
+        ("sc_nodes", "SELECT stand, row_number() OVER (ORDER BY stand) AS i FROM (SELECT DISTINCT stand FROM sc_own)"),
+        ("sc_dist", "SELECT a.stand AS a, b.stand AS b, round(sqrt(sum((a.x - b.x) * (a.x - b.x))), 9) AS d "
+                    "FROM sc_x a JOIN sc_x b ON a.place = b.place AND a.stand < b.stand GROUP BY a.stand, b.stand"),
+        ("sc_edges", "SELECT m.i AS a, n.i AS b, row_number() OVER (ORDER BY d, x.a, x.b) AS i FROM sc_dist x "
+                     "JOIN sc_nodes m ON m.stand = x.a JOIN sc_nodes n ON n.stand = x.b"),
+        ("sc_merge(i, labels, parts)",
+         "SELECT 0::BIGINT, list(i ORDER BY i), count(*) FROM sc_nodes UNION ALL "
+         "SELECT e.i, CASE WHEN labels[a] = labels[b] THEN labels ELSE list_transform(labels, lambda x: "
+         "CASE WHEN x = labels[b] THEN labels[a] ELSE x END) END, parts - (labels[a] <> labels[b])::INT "
+         f"FROM sc_merge m JOIN sc_edges e ON e.i = m.i + 1 WHERE parts > {clusters}"),
+        ("sc_labels", "SELECT stand, (SELECT arg_max(labels, i) FROM sc_merge)[i] AS label FROM sc_nodes"),
+    ]
+
+
 def _generic_interval_sql(iv: str, probes: str, by: list[str], key: str, series: list[tuple[str, str]]) -> str:
     """Open-interval counts by an inequality join (``iv``: by, series, t_in, t_out; ``probes``: by, key, ts)."""
     on = " AND ".join([f"i.{b} = p.{b}" for b in by] + ["i.t_in <= p.ts", "i.t_out > p.ts"])
