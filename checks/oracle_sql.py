@@ -405,7 +405,11 @@ def oracle_sql() -> dict[str, str]:
             ["acid", "isarrival", "isdeparture", "departure_stand_initial_time", "departure_aerodrome_icao_name",
              "arrival_aerodrome_icao_name"]))
     both = ("KDFW", "KCLT")
-    q["csv_roundtrip"] = q["chunked_parquet_read"] = q["flight_summary"]
+    q["csv_roundtrip"] = q["chunked_parquet_read"] = q["resumable_ingest"] = q["flight_summary"]
+    q["checked_csv"] = """
+SELECT o_orderpriority, count(*) AS n_rows, count(o_totalprice) AS n_prices, sum(o_orderkey)::BIGINT AS sum_keys,
+       (SELECT count(*) FROM orders WHERE o_orderkey % 97 = 0) AS n_bad
+FROM orders WHERE o_orderkey % 97 <> 0 GROUP BY o_orderpriority"""
     q["two_airport_write"] = with_ctes(f"SELECT {_replace_round(FS_DOUBLES)} FROM fs", airports=both)
     q["runway_override_two_airports"] = with_ctes(f"SELECT {_replace_round(FS_DOUBLES)} FROM j2", airports=both)
     q["niqr_band_two_airports"] = with_ctes(f"SELECT airport_icao, gufi, {r6(RAMP)} FROM nb",
@@ -565,6 +569,39 @@ SELECT step_no, step, rows_in, rows_out, round(CAST(rows_out AS DOUBLE) * 100.0
         f"carrier, {', '.join(COUNTS)} FROM ramp")
     imp = (_pct_band("i1", "r1", AMA, 0.0, 1.0) + _pct_band("i2", "i1", FULL, 0.0, 1.0)
            + _iqr_band("i3", "i2", RAMP, 3.0))
+    full = _pct_band("u1", "r1", FULL, 0.0, 1.0) + [
+        ("u2", "SELECT * FROM u1 WHERE departure_runway_actual_time IS NOT NULL AND departure_movement_area_actual_time IS NOT NULL "
+               "AND departure_stand_actual_time IS NOT NULL"),
+        ("u3", "SELECT u2.*, sf.gufi AS hit, sf.fraction_speed_gte_threshold FROM u2 LEFT JOIN sf ON u2.gufi = sf.gufi")]
+    q["unimp_full_table"] = with_ctes(
+        f"SELECT airport_icao, gufi, \"group\", {r6(FULL)}, {r6(AMA)}, {r6(RAMP)}, {r6('fraction_speed_gte_threshold')}, "
+        "COALESCE(fraction_speed_gte_threshold >= 0.9, false) AS unimpeded_AMA FROM u3", full)
+    override = ("fs LEFT JOIN rwf r ON fs.airport_icao = r.airport_icao AND fs.gufi = r.gufi "
+                "AND fs.isarrival = r.r_isarrival AND fs.isdeparture = r.r_isdeparture")
+    keys = " AND ".join(f"x.{k} IS NOT DISTINCT FROM e.{k}" for k in ["acid", "isarrival", "isdeparture", "departure_stand_initial_time",
+                                                                      "departure_aerodrome_icao_name", "arrival_aerodrome_icao_name"])
+    in_range = f"departure_runway_actual_time > {S} AND departure_runway_actual_time <= {E}"
+    steps = [("flight_summary", "SELECT count(*), NULL::BIGINT FROM fs"), ("runway_override", f"SELECT count(*), count(r.gufi) FROM {override}"),
+             ("estimate_join", f"SELECT count(*), count(e.hit) FROM j2 x LEFT JOIN (SELECT *, true AS hit FROM est) e ON {keys}"),
+             ("first_per_flight", "SELECT count(*), NULL FROM w6"), ("date_range", f"SELECT count(*), NULL FROM w6 WHERE {in_range}"),
+             ("departures", "SELECT count(*), NULL FROM core"), ("require_stand_runway", "SELECT count(*), NULL FROM r1"),
+             ("taxi_time_band_full", "SELECT count(*), NULL FROM u1"), ("non_null_times", "SELECT count(*), NULL FROM u2"),
+             ("speed_fraction_join", "SELECT count(*), count(hit) FROM u3"), ("surface_count_limits_full", "SELECT count(*), NULL FROM u3"),
+             ("unimpeded_flag", "SELECT count(*), NULL FROM u3")]
+    counted = " UNION ALL ".join(f"SELECT {i} AS step_no, '{n}' AS step, * FROM ({sql}) t(n, hit)" for i, (n, sql) in enumerate(steps))
+    q["step_watch"] = with_ctes(
+        "SELECT step_no::INT AS step_no, step, lag(n) OVER (ORDER BY step_no) AS rows_in, n AS rows_out, "
+        "round(100.0::DOUBLE * n / NULLIF(lag(n) OVER (ORDER BY step_no), 0), 6) AS pct_kept, "
+        f"round(100.0::DOUBLE * hit / NULLIF(n, 0), 6) AS pct_matched FROM ({counted})", full)
+    flagged = _baseline_ctes("f", "ama", "MEDIAN", AMA, "unimpeded_AMA")
+    scored = "(SELECT * FROM fpred WHERE NOT missing_core_features_baseline{})"
+    all_ctes, all_rows = _metrics_sql(scored.format(""), AMA, "predicted_baseline")
+    own_ctes, own_rows = _metrics_sql(scored.format(" AND unimpeded_AMA"), AMA, "predicted_baseline")
+    own_ctes = [(f"u{n}", sql.replace("m_in", "um_in").replace("m_med", "um_med")) for n, sql in own_ctes]
+    own_rows = own_rows.replace("m_wide", "um_wide")
+    q["unimp_ama_metrics"] = with_ctes(
+        f"SELECT \"group\", metric, value FROM ({all_rows}) UNION ALL "
+        f"SELECT \"group\", 'unimpeded_AMA_' || metric, value FROM ({own_rows})", flagged + all_ctes + own_ctes)
     q["stand_clusters"] = with_ctes(
         "SELECT stand AS departure_stand_actual, (dense_rank() OVER (ORDER BY first) - 1)::INT AS stand_cluster "
         "FROM (SELECT stand, min(stand) OVER (PARTITION BY label) AS first FROM sc_labels)",
@@ -655,6 +692,9 @@ def generic_oracle_sql() -> dict[str, str]:
         "SELECT l_returnflag, round(quantile_cont(l_extendedprice, 0.01), 6) AS p01, "
         "round(quantile_cont(l_extendedprice, 0.5), 6) AS p50, round(quantile_cont(l_extendedprice, 0.99), 6) AS p99, "
         "round(quantile_cont(l_discount - 0.05, 0.25), 6) AS discount_p25 FROM lineitem GROUP BY l_returnflag")
+    q["events_time_quantiles"] = (
+        "SELECT event_type, " + ", ".join(f"round(quantile_cont(floor(epoch_us(ts) / 1e6), {p}), 2) AS {n}"
+                                          for p, n in ((0.1, "p10"), (0.5, "p50"), (0.975, "p975"))) + " FROM events GROUP BY event_type")
     q["events_baseline_metrics"] = "WITH " + ",\n".join(f"{n} AS ({b})" for n, b in ctes + mc) + "\n" + mf
     q["lineitem_iqr_band"] = (
         "WITH pos AS (SELECT l_orderkey, l_linenumber, l_extendedprice FROM lineitem WHERE l_extendedprice > 0.0), "

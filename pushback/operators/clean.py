@@ -34,7 +34,7 @@ def _observed(flights: DataFrame, runways: DataFrame, check_empty: bool) -> Data
 
 
 def replace_runway_actuals(flights: DataFrame, runways: DataFrame,
-                           check_empty: bool = True) -> DataFrame:
+                           check_empty: bool = True, mark: str | None = None) -> DataFrame:
     """Override runway codes/times with observed runway use.
 
     Runway rows get direction flags from which runway column is filled, are
@@ -42,14 +42,15 @@ def replace_runway_actuals(flights: DataFrame, runways: DataFrame,
     non-key value wins where it is present.  Then the AMA and full durations
     are recomputed in whole seconds and runway codes are cleaned (``17.0`` ->
     ``17``, ``018`` -> ``18``).  With ``check_empty`` the flights of an airport
-    without any runway row stay untouched, whatever other airports have.
+    without any runway row stay untouched, whatever other airports have.  With
+    ``mark`` a column of that name tells which flights had a runway row.
     """
     rw = (runways
           .withColumn("isdeparture", F.col("departure_runway_actual").isNotNull())
           .withColumn("isarrival", F.col("arrival_runway_actual").isNotNull()))
     on = [c for c in [*_key(flights, ("airport_icao",)), *RUNWAY_ON] if c in rw.columns]
     updates = [c for c in rw.columns if c not in on]
-    rw = rw.select(*on, *[F.col(c).alias(f"{c}__new") for c in updates])
+    rw = rw.select(*on, *[F.col(c).alias(f"{c}__new") for c in updates], F.lit(True).alias("__found"))
     merged = _observed(flights, runways, check_empty).join(rw, on=on, how="left")
     known = [c for c in updates if c in flights.columns]
     merged = merged.withColumns({c: F.coalesce(F.col(f"{c}__new"), F.col(c)) for c in known})
@@ -64,24 +65,26 @@ def replace_runway_actuals(flights: DataFrame, runways: DataFrame,
     }
     merged = merged.withColumns({c: F.when(F.col("__observed"), e).otherwise(F.col(c)) for c, e in derived.items()
                                  if c in flights.columns and e is not None})
-    return merged.select(*flights.columns)
+    return merged.select(*flights.columns, *([F.col("__found").isNotNull().alias(mark)] if mark else []))
 
 
-def merge_estimates(flights: DataFrame, estimates: DataFrame, suffix: str = "_ffs") -> DataFrame:
+def merge_estimates(flights: DataFrame, estimates: DataFrame, suffix: str = "_ffs", mark: str | None = None) -> DataFrame:
     """Left join of external estimates on six keys; missing keys match each other.
 
     Non-key estimate columns that clash with flight columns get ``suffix``
     (so the estimate's own ``gufi`` becomes ``gufi_ffs``).  An empty estimate
     table simply yields all-NULL estimate columns, which keeps the schema
-    stable for later steps.
+    stable for later steps.  With ``mark`` a column of that name tells which
+    flights found an estimate.
     """
     on = [c for c in ESTIMATE_ON if c in estimates.columns]
     rest = [c for c in estimates.columns if c not in on]
     est = estimates.select(*[F.col(c).alias(f"{c}__k") for c in on],
-                           *[F.col(c).alias(c + suffix if c in flights.columns else c) for c in rest])
+                           *[F.col(c).alias(c + suffix if c in flights.columns else c) for c in rest],
+                           *([F.lit(True).alias("__found")] if mark else []))
     cond = reduce(lambda a, b: a & b, [flights[c].eqNullSafe(est[f"{c}__k"]) for c in on])
-    joined = flights.join(est, cond, "left")
-    return joined.drop(*[f"{c}__k" for c in on])
+    joined = flights.join(est, cond, "left").drop(*[f"{c}__k" for c in on])
+    return joined.withColumn(mark, F.col("__found").isNotNull()).drop("__found") if mark else joined
 
 
 def estimate_match_rate(merged: DataFrame, marker: str = "gufi_ffs") -> DataFrame:

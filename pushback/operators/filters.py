@@ -3,8 +3,10 @@
 Statistics that a filter needs (median, quartiles, percentiles) are taken over
 the rows present at that step, per airport where the table has one, and joined
 back: one row per airport of the job, so the broadcast is bounded by the job's
-list of airports.  Nothing goes through the driver and the whole step stays one
-lazy plan.  Quantiles are exact, with linear interpolation like pandas
+list of airports.  Nothing goes through the driver.  A step is one lazy plan, or,
+with ``settled``, its statistics are written first: steps that follow each other
+then read their input once each, where a chain of lazy steps would read it twice
+as often with every step.  Quantiles are exact, with linear interpolation like pandas
 ``quantile``, and no task holds a group's values (see ``quantiles``).
 """
 
@@ -18,6 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pushback.operators.quantiles import exact_quantiles
+from pushback.session import materialize
 
 log = logging.getLogger(__name__)
 
@@ -88,7 +91,7 @@ def _band_limits(band: Band) -> tuple[list[float], Callable[[Column], tuple[Colu
     return None
 
 
-def taxi_time_band(df: DataFrame, target: str, niqr: Band) -> DataFrame:
+def taxi_time_band(df: DataFrame, target: str, niqr: Band, settled: bool = False) -> DataFrame:
     """Positive target, then inside ``median ± niqr·IQR`` or between two percentiles, per airport.
 
     ``-1`` or a missing target column skips everything.  A float keeps
@@ -108,19 +111,20 @@ def taxi_time_band(df: DataFrame, target: str, niqr: Band) -> DataFrame:
     by = airports_of(df)
     lo, hi = ends(F.col("_q"))
     stats = exact_quantiles(pos, {"_q": (F.col(target), ps)}, by)
+    stats = materialize(stats) if settled else stats
     return _with_stats(pos, stats, by).where((F.col(target) > lo) & (F.col(target) < hi)).drop("_q")
 
 
-def taxi_time_filter(df: DataFrame, area: str, niqr: Band) -> DataFrame:
+def taxi_time_filter(df: DataFrame, area: str, niqr: Band, settled: bool = False) -> DataFrame:
     """Wrapper per target area: ``ramp``, ``full`` or ``ama``."""
-    return taxi_time_band(df, TARGETS[area], niqr)
+    return taxi_time_band(df, TARGETS[area], niqr, settled)
 
 
 # The band and the limits are generic: any numeric column.
 value_band = taxi_time_band
 
 
-def surface_count_limits(df: DataFrame, limits: Mapping[str, float] | None) -> DataFrame:
+def surface_count_limits(df: DataFrame, limits: Mapping[str, float] | None, settled: bool = False) -> DataFrame:
     """Upper limits on surface counts, strict ``<``.
 
     A limit below 1 is a percentile of the column within the airport, otherwise
@@ -133,16 +137,16 @@ def surface_count_limits(df: DataFrame, limits: Mapping[str, float] | None) -> D
     out, by = df, airports_of(df)
     if pct:
         stats = exact_quantiles(df, {f"_lim_{k}": (F.col(k), [v]) for k, v in pct.items()}, by)
-        out = _with_stats(df, stats, by)
+        out = _with_stats(df, materialize(stats) if settled else stats, by)
     conds = [F.col(k) < (F.col(f"_lim_{k}")[0] if k in pct else F.lit(float(v))) for k, v in limits.items()]
     return out.where(_all(conds)).drop(*[f"_lim_{k}" for k in pct])
 
 
-def surface_count_filter(df: DataFrame, area: str, upperlimit_counts: Mapping | None) -> DataFrame:
+def surface_count_filter(df: DataFrame, area: str, upperlimit_counts: Mapping | None, settled: bool = False) -> DataFrame:
     """Per-area wrapper; no-op when the area is not configured."""
     if not upperlimit_counts or not upperlimit_counts.get(area):
         return df
-    return surface_count_limits(df, upperlimit_counts[area])
+    return surface_count_limits(df, upperlimit_counts[area], settled)
 
 
 def date_range(df: DataFrame, start: str, end: str, ref: str = "departure_runway_actual_time") -> DataFrame:
@@ -183,9 +187,12 @@ def unimpeded_flag(df: DataFrame, fraction_gte: float | None,
     return df.withColumn("unimpeded_AMA", F.coalesce(F.col(col) >= F.lit(float(fraction_gte)), F.lit(False)))
 
 
-def join_speed_fraction(df: DataFrame, fractions: DataFrame) -> DataFrame:
-    """Left join of the per-flight speed fraction; unmatched flights stay."""
-    return df.join(fractions, "gufi", "left")
+def join_speed_fraction(df: DataFrame, fractions: DataFrame, mark: str | None = None) -> DataFrame:
+    """Left join of the per-flight speed fraction; unmatched flights stay (``mark`` tells the others)."""
+    if not mark:
+        return df.join(fractions, "gufi", "left")
+    joined = df.join(fractions.withColumn("__found", F.lit(True)), "gufi", "left")
+    return joined.withColumn(mark, F.col("__found").isNotNull()).drop("__found")
 
 
 def common_categories(df: DataFrame, columns: Sequence[str], divisor: float = 100.0,

@@ -24,7 +24,7 @@ from pushback.operators import clean, filters, metrics, occupancy, rules, split
 from pushback.operators import distributions as dist
 from pushback.operators import features as fe
 from pushback.operators import quality
-from pushback.plans import jobs
+from pushback.plans import ingest, jobs, pipelines
 from pushback.plans.config import METRICS, PipelineParams
 from pushback.session import ensure_checkpoint_dir, materialize
 from pushback.sources import flight_tables as ft
@@ -61,9 +61,14 @@ def _flights_once(spark, sf) -> DataFrame:
     return jobs.cleaned_flights(_ingested(spark, sf))
 
 
-def _core(spark, sf, p: PipelineParams | None = None) -> DataFrame:
+def _core(spark, sf, p: PipelineParams | None = None, **options) -> DataFrame:
     p = p or _params()
-    return jobs.core_table(_ingested(spark, sf, p), p)
+    return jobs.core_table(_ingested(spark, sf, p), p, **options)
+
+
+def _imp_core(spark, sf, p: PipelineParams | None = None) -> DataFrame:
+    """The core table of the impeded variants, which take no external estimates."""
+    return _core(spark, sf, p, with_estimates=False)
 
 
 def _ramp_table(spark, sf) -> DataFrame:
@@ -108,6 +113,30 @@ def q_csv_roundtrip(spark, sf):
     return rounded(readers.read_typed_csv(spark, path, readers.FLIGHT_SUMMARY_SCHEMA))
 
 
+def q_checked_csv(spark, sf):
+    """Orders as CSV with every 97th price spelled out: the others come back, those are set aside, counted here."""
+    path, aside = _scratch(spark, "csv"), _scratch(spark, "bad")
+    orders = spark.read.parquet(f"{sf}/orders.parquet").select("o_orderkey", "o_totalprice", "o_orderpriority")
+    price = F.when(F.col("o_orderkey") % 97 == 0, F.lit("none")).otherwise(F.col("o_totalprice").cast("string"))
+    orders.withColumn("o_totalprice", price).write.option("header", True).csv(path)
+    schema = T.StructType([T.StructField("o_orderpriority", T.StringType()), T.StructField("o_orderkey", T.LongType()),
+                           T.StructField("o_totalprice", T.DoubleType())])
+    good = readers.read_checked_csv(spark, path, schema, aside, most_bad=0.05)
+    bad = spark.read.parquet(aside).agg(F.count(F.lit(1)).alias("n_bad"))
+    by = good.groupBy("o_orderpriority").agg(F.count(F.lit(1)).alias("n_rows"), F.count("o_totalprice").alias("n_prices"),
+                                             F.sum("o_orderkey").alias("sum_keys"))
+    return by.crossJoin(F.broadcast(bad))  # one row
+
+
+def q_resumable_ingest(spark, sf):
+    """Flight summary loaded in two-day chunks by two runs: the first stops half-way, the second loads the rest."""
+    out, p, src = _scratch(spark, "ingest"), _params(), jobs.adapter_sources(spark, sf)
+    parts = ingest.chunks(ingest.FLIGHT_TIMES, p.window.start, p.window.end, 2)
+    ingest.load(spark, out, "flights", parts[:2], "q", lambda c: ft.flight_summary(src.flights.where(c.predicate), p.window))
+    ingest.load(spark, out, "flights", parts, "q", lambda c: ft.flight_summary(src.flights.where(c.predicate), p.window))
+    return rounded(ingest.loaded_table(spark, out, "flights"))
+
+
 def q_two_airport_write(spark, sf):
     """The summaries of two airports, written one after the other to one table."""
     root = _scratch(spark, "tables")
@@ -256,6 +285,16 @@ def q_baseline_predict_unimp_ama(spark, sf):
     return _baseline_columns(table, bl.BaselineConfig(target=AMA, train_flag="unimpeded_AMA"))
 
 
+def q_unimp_ama_metrics(spark, sf):
+    """Metrics of the baseline on the unimpeded AMA table, over all rows and over the flagged ones."""
+    p = _params()
+    ing = _ingested(spark, sf, p)
+    table = materialize(jobs.unimp_ama_table(jobs.core_table(ing, p), ing.fractions, p))
+    cfg = bl.BaselineConfig(target=AMA, train_flag="unimpeded_AMA")
+    pred = materialize(bl.predict_baseline(bl.fit_baseline(table, cfg), table)).where(~F.col("missing_core_features_baseline"))
+    return rounded(metrics.evaluate_predictions(pred, AMA, "predicted_baseline", metrics.METRIC_NAMES))
+
+
 def q_total_taxi_time(spark, sf):
     return rounded(_core(spark, sf).select(*_KEYCOLS, "actual_departure_total_taxi_time"))
 
@@ -370,7 +409,7 @@ def ramp_baseline_metrics(spark: SparkSession, sf: str) -> DataFrame:
     split group.
     """
     p = _params()
-    table = materialize(jobs.imp_ramp_table(_core(spark, sf, p), p))
+    table = materialize(jobs.imp_ramp_table(_imp_core(spark, sf, p), p))
     cfg = bl.BaselineConfig(target=RAMP, group_by=("departure_runway_actual", "terminal"), metric="quantile", q=0.5)
     return _baseline_metrics(table, cfg)
 
@@ -441,6 +480,20 @@ def q_step_quality(spark, sf):
     return rounded(quality.ramp_step_quality(core, p))
 
 
+def q_step_watch(spark, sf):
+    """Rows and match rates of all steps of the unimpeded full pipeline, observed while its tables are written."""
+    p = _params()
+    _, steps = pipelines.feature_table(spark, jobs.adapter_sources(spark, sf), p, pipelines.default_variant("unimp_full"), with_quality=True)
+    return rounded(steps)
+
+
+def q_unimp_full_table(spark, sf):
+    p = _params()
+    ing = _ingested(spark, sf, p)
+    df = jobs.unimp_full_table(jobs.core_table(ing, p), ing.fractions, p)
+    return rounded(df.select(*_KEYCOLS, "group", FULL, AMA, RAMP, "fraction_speed_gte_threshold", "unimpeded_AMA"))
+
+
 def q_unimp_ramp_table(spark, sf):
     df = _ramp_table(spark, sf)
     return rounded(df.select(*_KEYCOLS, "group", RAMP, "departure_stand_actual", "departure_runway_actual",
@@ -449,7 +502,7 @@ def q_unimp_ramp_table(spark, sf):
 
 def q_imp_full_table(spark, sf):
     p = _params()
-    df = jobs.imp_full_table(_core(spark, sf, p), p)
+    df = jobs.imp_full_table(_imp_core(spark, sf, p), p)
     return rounded(df.select(*_KEYCOLS, "group", FULL, AMA, RAMP, "total_flights_on_surface"))
 
 
@@ -507,4 +560,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "step_quality": q_step_quality,
     "unimp_ramp_table": q_unimp_ramp_table,
     "imp_full_table": q_imp_full_table,
+    "unimp_full_table": q_unimp_full_table,
+    "unimp_ama_metrics": q_unimp_ama_metrics,
+    "checked_csv": q_checked_csv,
+    "resumable_ingest": q_resumable_ingest,
+    "step_watch": q_step_watch,
 }

@@ -20,12 +20,18 @@ from pushback.plans.catalog import rounded
 
 # The event types of the driver's events table.
 EVENT_TYPES = ("click", "view", "purchase", "signup", "error")
+RETURN_FLAGS = ("A", "N", "R")
 
 
 def _t(spark, sf, name):
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def _known(series, names):
+    """The series, which has to be one that the result has a column for."""
+    return F.when(series.isin(list(names)), series).otherwise(F.raise_error(F.concat(F.lit("no column for series "), series.cast("string"))))
+
+
 def q_events_fraction_ge(spark, sf):
     """Per user: share of events whose value is at least 50 (NULL values ignored)."""
     ev = _t(spark, sf, "events")
@@ -36,7 +42,7 @@ def q_events_fraction_ge(spark, sf):
 def q_events_open_intervals(spark, sf):
     """Per user, at each purchase: events of each type still open ([ts, ts + value minutes))."""
     ev = _t(spark, sf, "events")
-    iv = ev.select("user_id", F.col("event_type").alias("series"), F.col("ts").alias("t_in"),
+    iv = ev.select("user_id", _known(F.col("event_type"), EVENT_TYPES).alias("series"), F.col("ts").alias("t_in"),
                    F.timestamp_add("SECOND", F.floor(F.col("value") * 60), F.col("ts")).alias("t_out"))
     iv = iv.where(F.col("t_out") > F.col("t_in"))
     probes = ev.where(F.col("event_type") == "purchase").select("user_id", "event_id", "ts")
@@ -47,10 +53,10 @@ def q_events_open_intervals(spark, sf):
 def q_lineitem_in_transit(spark, sf):
     """At each order date: line items shipped and not yet past ``ship date + quantity days``, per return flag."""
     li = _t(spark, sf, "lineitem")
-    iv = li.select(F.col("l_returnflag").alias("series"), F.col("l_shipdate").alias("t_in"),
+    iv = li.select(_known(F.col("l_returnflag"), RETURN_FLAGS).alias("series"), F.col("l_shipdate").alias("t_in"),
                    F.timestamp_add("DAY", F.col("l_quantity").cast("int"), F.col("l_shipdate")).alias("t_out"))
     probes = _t(spark, sf, "orders").select("o_orderkey", F.col("o_orderdate").alias("ts"))
-    out = occupancy.open_interval_counts(iv.where(F.col("t_out") > F.col("t_in")), probes, ("A", "N", "R"),
+    out = occupancy.open_interval_counts(iv.where(F.col("t_out") > F.col("t_in")), probes, RETURN_FLAGS,
                                          (), "day", "o_orderkey")
     return out.select("o_orderkey", "ts", F.col("A").alias("in_transit_A"), F.col("N").alias("in_transit_N"),
                       F.col("R").alias("in_transit_R"))
@@ -74,6 +80,13 @@ def q_lineitem_price_quantiles(spark, sf):
                               F.col("discount")[0].alias("discount_p25")))
 
 
+def q_events_time_quantiles(spark, sf):
+    """Quantiles of the time in whole seconds since 1970, per event type: values with a large offset."""
+    seconds = F.floor(F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), F.col("ts")) / F.lit(1e6))
+    out = exact_quantiles(_t(spark, sf, "events"), {"t": (seconds, [0.1, 0.5, 0.975])}, ["event_type"])
+    return out.select("event_type", *[F.round(F.col("t")[i], 2).alias(n) for i, n in enumerate(("p10", "p50", "p975"))])
+
+
 def q_lineitem_iqr_band(spark, sf):
     li = _t(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_extendedprice")
     return filters.value_band(li, "l_extendedprice", 1.5)
@@ -95,6 +108,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "lineitem_in_transit": q_lineitem_in_transit,
     "events_baseline_metrics": q_events_baseline_metrics,
     "lineitem_price_quantiles": q_lineitem_price_quantiles,
+    "events_time_quantiles": q_events_time_quantiles,
     "lineitem_iqr_band": q_lineitem_iqr_band,
     "lineitem_percentile_band": q_lineitem_percentile_band,
     "lineitem_count_limits": q_lineitem_count_limits,

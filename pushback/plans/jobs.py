@@ -11,8 +11,10 @@ import logging
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from pushback.operators import clean, filters, occupancy, split
+from pushback.operators.quality import StepWatch
 from pushback.plans.config import PipelineParams
 from pushback.session import materialize
 from pushback.sources import adapter, readers
@@ -49,6 +51,15 @@ def parquet_sources(spark: SparkSession, root: str) -> RawSources:
                       readers.read_or_empty(spark, f"{root}/estimates", readers.ESTIMATES_SCHEMA))
 
 
+def sources_of(spark: SparkSession, where: str) -> RawSources:
+    """``parquet:<folder>`` or ``adapter:<driver table folder>``."""
+    kind, _, path = where.partition(":")
+    known = {"parquet": parquet_sources, "adapter": adapter_sources}
+    if kind not in known:
+        raise SystemExit(f"sources: {kind!r} is none of {', '.join(known)}; call run() with your own RawSources otherwise")
+    return known[kind](spark, path)
+
+
 @dataclass
 class Ingested:
     flights: DataFrame
@@ -68,12 +79,22 @@ def ingest(src: RawSources, p: PipelineParams) -> Ingested:
     )
 
 
-def cleaned_flights(ing: Ingested, with_estimates: bool = True, check_empty_runways: bool = True) -> DataFrame:
+def _watched(watch: StepWatch | None, name: str, df: DataFrame, mark: str | None = None) -> DataFrame:
+    """Count a step's rows, and those with ``mark``, which is dropped."""
+    if watch is None:
+        return df.drop(mark) if mark else df
+    return watch(name, df, F.col(mark)).drop(mark) if mark else watch(name, df)
+
+
+def cleaned_flights(ing: Ingested, with_estimates: bool = True, check_empty_runways: bool = True,
+                    watch: StepWatch | None = None) -> DataFrame:
     """Override runways -> (estimates) -> first row per flight."""
-    df = clean.replace_runway_actuals(ing.flights, ing.runways, check_empty=check_empty_runways)
+    mark = "__matched" if watch else None
+    df = _watched(watch, "flight_summary", ing.flights)
+    df = _watched(watch, "runway_override", clean.replace_runway_actuals(df, ing.runways, check_empty=check_empty_runways, mark=mark), mark)
     if with_estimates:
-        df = clean.merge_estimates(df, ing.estimates)
-    return clean.keep_first_per_flight(df)
+        df = _watched(watch, "estimate_join", clean.merge_estimates(df, ing.estimates, mark=mark), mark)
+    return _watched(watch, "first_per_flight", clean.keep_first_per_flight(df))
 
 
 def check_coverage(flights: DataFrame, p: PipelineParams) -> None:
@@ -88,16 +109,18 @@ def check_coverage(flights: DataFrame, p: PipelineParams) -> None:
 
 
 def core_table(ing: Ingested, p: PipelineParams, with_estimates: bool = True,
-               check_empty_runways: bool = True, checkpoint: bool = True, check_range: bool = False) -> DataFrame:
+               check_empty_runways: bool = True, checkpoint: bool = True, check_range: bool = False,
+               watch: StepWatch | None = None) -> DataFrame:
     """Override runways -> (estimates) -> first per flight -> surface counts ->
     total taxi time -> date range -> train/test split -> departures.
 
     With ``checkpoint`` the cleaned flights (read three times by the
     occupancy step) and the result are written to the checkpoint folder,
     the same boundaries at which the reference saves tables.  With
-    ``check_range`` the run stops when no row is in the date range.
+    ``check_range`` the run stops when no row is in the date range.  ``watch``
+    counts the steps' rows in the jobs that write.
     """
-    df = cleaned_flights(ing, with_estimates, check_empty_runways)
+    df = cleaned_flights(ing, with_estimates, check_empty_runways, watch)
     if checkpoint:
         df = materialize(df)
     if check_range:
@@ -105,46 +128,49 @@ def core_table(ing: Ingested, p: PipelineParams, with_estimates: bool = True,
     df = occupancy.add_surface_counts(df, p.occupancy_timeout_s, p.occupancy_bucket,
                                       p.occupancy_infer_times, p.occupancy_timeout_flights)
     df = clean.add_total_taxi_time(df)
-    df = filters.date_range(df, p.window.start, p.window.end)
+    df = _watched(watch, "date_range", filters.date_range(df, p.window.start, p.window.end))
     df = split.add_train_test_group(df, p.test_size, p.random_seed, {"cross_val": p.cross_val})
-    df = filters.only_departures(df)
+    df = _watched(watch, "departures", filters.only_departures(df))
     return materialize(df) if checkpoint else df
 
 
-def variant_steps(core: DataFrame, p: PipelineParams, variant: str,
-                  fractions: DataFrame | None = None) -> list[tuple[str, DataFrame]]:
+def variant_steps(core: DataFrame, p: PipelineParams, variant: str, fractions: DataFrame | None = None,
+                  watch: StepWatch | None = None) -> list[tuple[str, DataFrame]]:
     """The named filter steps of one variant's feature table, in order (input first).
 
-    The last entry is the feature table; every entry can be counted for the
-    step-quality table.
+    The last entry is the feature table.  The statistics of each step are
+    written before the next (``settled``), so every step reads the core table
+    once.  ``watch`` counts the steps in the jobs that read them anyway.
     """
     steps: list[tuple[str, DataFrame]] = [("input", core)]
 
-    def add(name, df):
-        steps.append((name, df))
-        return df
+    def add(name, df, mark=None):
+        steps.append((name, _watched(watch, name, df, mark)))
+        return steps[-1][1]
+
+    def band(df, area):
+        return add(f"taxi_time_band_{area}", filters.taxi_time_filter(df, area, p.niqr[area], settled=True))
 
     df = add("require_stand_runway", filters.require_stand_and_runway(core, p.features_core, p.freight_airlines))
     if variant == "unimp_ramp":
-        df = add("taxi_time_band_ramp", filters.taxi_time_filter(df, "ramp", p.niqr["ramp"]))
-        df = add("surface_count_limits_ramp", filters.surface_count_filter(df, "ramp", p.upperlimit_counts))
+        df = band(df, "ramp")
+        df = add("surface_count_limits_ramp", filters.surface_count_filter(df, "ramp", p.upperlimit_counts, settled=True))
         add("non_null_times", filters.non_null(df, p.non_null.get("ramp")))
     elif variant in ("unimp_full", "unimp_ama"):
         area = "full" if variant == "unimp_full" else "ama"
-        df = add(f"taxi_time_band_{area}", filters.taxi_time_filter(df, area, p.niqr[area]))
+        df = band(df, area)
         df = add("non_null_times", filters.non_null(df, p.non_null.get(area)))
-        df = add("speed_fraction_join", filters.join_speed_fraction(df, fractions))
+        mark = "__matched" if watch else None
+        df = add("speed_fraction_join", filters.join_speed_fraction(df, fractions, mark=mark), mark)
         lim_area = "full" if area == "full" else "AMA"
         df = add(f"surface_count_limits_{area}",
-                 filters.surface_count_filter(df, lim_area, p.upperlimit_counts))
+                 filters.surface_count_filter(df, lim_area, p.upperlimit_counts, settled=True))
         add("unimpeded_flag", filters.unimpeded_flag(df, p.unimpeded_fraction_gte))
     elif variant == "imp_full":
-        df = add("taxi_time_band_ama", filters.taxi_time_filter(df, "ama", p.niqr["ama"]))
-        df = add("taxi_time_band_full", filters.taxi_time_filter(df, "full", p.niqr["full"]))
-        add("taxi_time_band_ramp", filters.taxi_time_filter(df, "ramp", p.niqr["ramp"]))
+        for area in ("ama", "full", "ramp"):
+            df = band(df, area)
     elif variant in ("imp_ramp", "imp_ama"):
-        area = variant.split("_")[1]
-        add(f"taxi_time_band_{area}", filters.taxi_time_filter(df, area, p.niqr[area]))
+        band(df, variant.split("_")[1])
     else:
         raise ValueError(f"unknown variant {variant}")
     return steps

@@ -18,6 +18,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from pushback.session import materialize
+
 TS = T.TimestampNTZType()
 S = T.StringType()
 D = T.DoubleType()
@@ -139,22 +141,61 @@ def read_parquet_chunked(spark: SparkSession, path: str, time_cols: str | Sequen
     return [df.where(p) for p in as_ntz]
 
 
-def read_typed_csv(spark: SparkSession, path: str, schema: T.StructType,
-                   timestamp_format: str = "yyyy-MM-dd HH:mm:ss[.SSSSSS]") -> DataFrame:
-    """CSV with header and explicit types: no inference, stands and runways stay text.
+#: Column that holds the text of a record that does not fit its schema.
+BAD_RECORD = "__record"
+TIMESTAMP_FORMAT = "yyyy-MM-dd HH:mm:ss[.SSSSSS]"
 
-    Columns are bound by the header's names, in any order; columns that the
-    schema does not know are left out, and a missing one is an error.  Every
-    file's header is checked against the first one's.
-    """
+
+class BadRecords(ValueError):
+    """More records than allowed do not fit the schema."""
+
+
+def _csv(spark: SparkSession, path: str, schema: T.StructType, timestamp_format: str, mode: str) -> DataFrame:
     header = spark.read.option("header", True).csv(path).columns
     missing = [f.name for f in schema.fields if f.name not in header]
     if missing:
         raise ValueError(f"{path}: the header has no column {', '.join(missing)}")
     known = {f.name: f for f in schema.fields}
-    in_file = T.StructType([known.get(name, T.StructField(name, S, True)) for name in header])
-    return (spark.read.schema(in_file).option("header", True).option("enforceSchema", False)
-            .option("timestampNTZFormat", timestamp_format).csv(path).select(*schema.fieldNames()))
+    in_file = [known.get(name, T.StructField(name, S, True)) for name in header]
+    kept = [T.StructField(BAD_RECORD, S, True)] if mode == "PERMISSIVE" else []
+    return (spark.read.schema(T.StructType(in_file + kept)).option("header", True).option("enforceSchema", False)
+            .option("mode", mode).option("columnNameOfCorruptRecord", BAD_RECORD)
+            .option("timestampNTZFormat", timestamp_format).csv(path))
+
+
+def read_typed_csv(spark: SparkSession, path: str, schema: T.StructType, timestamp_format: str = TIMESTAMP_FORMAT) -> DataFrame:
+    """CSV with header and explicit types: no inference, stands and runways stay text.
+
+    Columns are bound by the header's names, in any order; columns that the
+    schema does not know are left out, and a missing one is an error.  Every
+    file's header is checked against the first one's.  A value that does not
+    fit its type is an error when the row is read, never a NULL;
+    :func:`read_checked_csv` sets such records aside instead.
+    """
+    return _csv(spark, path, schema, timestamp_format, "FAILFAST").select(*schema.fieldNames())
+
+
+def read_checked_csv(spark: SparkSession, path: str, schema: T.StructType, quarantine: str, most_bad: int | float = 0,
+                     timestamp_format: str = TIMESTAMP_FORMAT) -> DataFrame:
+    """The records of a CSV that fit ``schema``; all others are set aside, whole.
+
+    Records with a malformed value, or with too few or too many values, go to
+    the Parquet folder ``quarantine`` as ``(file, record)``, replacing those of an
+    earlier read of the same path.  ``most_bad`` is how many are allowed: a count,
+    or (a float) a share of all records; beyond it ``BadRecords`` names the worst
+    files, after the records were written.  The text is parsed once: the parsed
+    rows are written at this stage boundary.
+    """
+    parsed = _csv(spark, path, schema, timestamp_format, "PERMISSIVE")
+    parsed = materialize(parsed.select(*schema.fieldNames(), BAD_RECORD, F.col("_metadata.file_path").alias("__file")))
+    bad = parsed.where(F.col(BAD_RECORD).isNotNull()).select(F.col("__file").alias("file"), F.col(BAD_RECORD).alias("record"))
+    bad.write.mode("overwrite").parquet(quarantine)
+    total, wrong = parsed.agg(F.count(F.lit(1)), F.count(BAD_RECORD)).first()
+    if wrong > (most_bad * total if isinstance(most_bad, float) else most_bad):
+        worst = spark.read.parquet(quarantine).groupBy("file").count().orderBy(F.desc("count"), "file").limit(5).collect()
+        raise BadRecords(f"{wrong} of {total} records of {path} do not fit, see {quarantine}: "
+                         + ", ".join(f"{r['file']} ({r['count']})" for r in worst))
+    return parsed.where(F.col(BAD_RECORD).isNull()).select(*schema.fieldNames())
 
 
 def read_or_empty(spark: SparkSession, path: str | None, schema: T.StructType, fmt: str = "parquet") -> DataFrame:
