@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Iterator
 
 import numpy as np
@@ -90,13 +91,68 @@ def gram_hashes(hashes: np.ndarray, n: int) -> np.ndarray:
     return mixed(out)
 
 
+#: A filter of keys has at most so many rows of 32,768 bits each: 16 MB, whatever the number of keys.
+FILTER_ROWS = 4096
+_BITS = 32_768
+
+
+def _filter_place(key: str) -> Column:
+    return F.pmod(F.xxhash64(F.lit(1), key), F.lit(FILTER_ROWS * _BITS))
+
+
+def key_filter(keys: DataFrame, key: str) -> DataFrame:
+    """A bitmap of the hashes of ``key`` (long), of bounded size: (filter_row, filter_bits).  Written."""
+    placed = keys.select(_filter_place(key).alias("p"))
+    return written(placed.groupBy(F.expr(f"p div {_BITS}").alias("filter_row")).agg(
+        F.bitmap_construct_agg(F.col("p") % _BITS).alias("filter_bits")), "filter")
+
+
+def may_hold(df: DataFrame, key: str, bits: DataFrame) -> DataFrame:
+    """``df`` with ``__may``: whether ``key`` can be one of the filter's keys; never false for one that is.
+
+    Rows without it need no exact look-up, so a join with many keys moves only
+    the rows concerned (and a few others), not the whole texts of all rows.
+    """
+    p = _filter_place(key)
+    at = df.withColumns({"__filter_row": F.floor(p / _BITS), "__filter_bit": p % _BITS})
+    held = at.join(F.broadcast(bits), F.col("__filter_row") == F.col("filter_row"), "left")  # bounded by FILTER_ROWS
+    byte = F.expr("conv(hex(substring(filter_bits, cast(__filter_bit div 8 as int) + 1, 1)), 16, 10)").cast("int")
+    bit = F.expr("cast(__filter_bit % 8 as int)")
+    may = F.coalesce(F.call_function("bit_get", byte, bit) == 1, F.lit(False))
+    return held.withColumn("__may", may).drop("__filter_row", "__filter_bit", "filter_row", "filter_bits")
+
+
+#: Folders that this application wrote and has not removed.
+_WRITTEN: list[str] = []
+
+
 def scratch(spark: SparkSession, kind: str) -> str:
     """A fresh folder name below the shared checkpoint folder."""
     import uuid
 
     from pushback.session import ensure_checkpoint_dir
 
-    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{kind}-{uuid.uuid4().hex}"
+    _WRITTEN.append(f"{ensure_checkpoint_dir(spark).rstrip('/')}/{kind}-{uuid.uuid4().hex}")
+    return _WRITTEN[-1]
+
+
+def release(spark: SparkSession, needed: DataFrame) -> None:
+    """Remove the scratch folders that ``needed`` does not read, and let Spark drop shuffle files that nothing refers to.
+
+    For a pipeline between two stages: what the earlier stages wrote for
+    themselves has no use once the next stage's input is safely written.
+    """
+    if not _WRITTEN:
+        return
+    read = needed.inputFiles()
+    used = {p for p in _WRITTEN if any(f"{p.split(':', 1)[-1].rstrip('/')}/" in f for f in read)}
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    for p in [p for p in _WRITTEN if p not in used]:
+        path = jvm.org.apache.hadoop.fs.Path(p)
+        path.getFileSystem(conf).delete(path, True)
+        _WRITTEN.remove(p)
+    gc.collect()
+    jvm.System.gc()
 
 
 def written(df: DataFrame, kind: str = "llm") -> DataFrame:

@@ -17,14 +17,21 @@ Buckets never make all pairs:
    further link.
 
 Every link is confirmed on the full shingle sets: intersection against union.
-The sets are read again from the documents for candidate classes only.
+The sets are read again from the documents for candidate classes only: a bitmap
+of bounded size tells the rows that can be candidates, and only those move.
 Components are formed by alternating large-star and small-star.
 
+A class stands for all rows with its set, however many repeat it, and is named
+by the row key of its first document; an id with several texts has a class for
+each, and joins them at the end.
+
 Edge cases: null and empty texts (or only white space) have an empty set and
 link with nothing; with fewer than ``k`` words the whole sequence is the one
 shingle; repeated rows of an id are one document (all its texts link to it);
 rows with a null id link with nothing and stay, with a null component and
-``kept`` true; an empty table gives an empty result; other columns are ignored.
+``kept`` true; equal similarities need no order, links at the threshold count;
+very long texts are handled alone, their set has to fit in a task; an empty
+table gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -38,7 +45,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import gram_hashes, slices, table, word_hashes, words_of, written
+from .common import gram_hashes, key_filter, may_hold, row_key, slices, table, word_hashes, words_of, written
 from .components import components
 
 BANDS, ROWS, SEED = 32, 4, 7
@@ -78,7 +85,7 @@ def signatures(sets: list[np.ndarray], count: int) -> np.ndarray:
     return out
 
 
-_SIGNED = "doc_id long, n_shingles long, set_id binary, bands array<long>, signature binary"
+_SIGNED = "doc_id long, doc_row long, n_shingles long, set_id binary, bands array<long>, signature binary"
 
 
 def _sign(batches: Iterator[pa.RecordBatch], k: int, bands: int, rows: int) -> Iterator[pa.RecordBatch]:
@@ -93,21 +100,30 @@ def _sign(batches: Iterator[pa.RecordBatch], k: int, bands: int, rows: int) -> I
                 signature[i] = own.tobytes()
                 keys[i] = [xxhash.xxh3_64_intdigest(own[rows * j:rows * (j + 1)].tobytes(), j) - (1 << 63) for j in range(bands)]
         yield pa.RecordBatch.from_arrays(
-            [batch.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()), pa.array(set_id, pa.binary()),
+            [batch.column("doc_id"), batch.column("doc_row"), pa.array([len(s) for s in sets], pa.int64()), pa.array(set_id, pa.binary()),
              pa.array(keys, pa.list_(pa.int64())), pa.array(signature, pa.binary())],
-            names=["doc_id", "n_shingles", "set_id", "bands", "signature"])
+            names=["doc_id", "doc_row", "n_shingles", "set_id", "bands", "signature"])
 
 
-_SETS = "node long, hashes binary, short binary"
+_SETS = "cls long, hashes binary, short binary"
 
 
 def _sets(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch]:
-    """Full sets, and the upper halves of their hashes (sorted, distinct) for comparisons inside buckets."""
+    """Full sets, and the upper halves of their hashes (sorted, distinct) for comparisons inside buckets.
+
+    Rows that repeat an id and a text have one key; a task makes their set once.
+    """
+    seen: set[int] = set()
     for batch in slices(batches, "text", 2 << 20):
+        keys = batch.column("doc_row").to_pylist()
+        first = [i for i, key in enumerate(keys) if key not in seen and not seen.add(key)]
+        if not first:
+            continue
+        batch = batch.take(pa.array(first, pa.int64()))
         sets = shingle_sets(batch.column("text").to_pylist(), k)
         short = [np.unique((s >> np.uint64(32)).astype(np.uint32)).tobytes() for s in sets]
-        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array([s.tobytes() for s in sets], pa.binary()),
-                                          pa.array(short, pa.binary())], names=["node", "hashes", "short"])
+        yield pa.RecordBatch.from_arrays([batch.column("doc_row"), pa.array([s.tobytes() for s in sets], pa.binary()),
+                                          pa.array(short, pa.binary())], names=["cls", "hashes", "short"])
 
 
 def _confirm(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
@@ -145,7 +161,7 @@ def _cross(group: pd.DataFrame, bands: int, threshold: float, slack: float) -> p
     x, y = (np.stack([np.frombuffer(s, np.uint32) for s in part["signature"]]) for part in (left, right))
     a, b = ([np.frombuffer(s, np.uint32) for s in part["short"]] for part in (left, right))
     n, m = np.array(list(map(len, a))), np.array(list(map(len, b)))
-    u, v = left["node"].to_numpy(), right["node"].to_numpy()
+    u, v = left["cls"].to_numpy(), right["cls"].to_numpy()
     # components joined so far inside this task
     name, label = np.unique(np.concatenate([left["component"], right["component"]]), return_inverse=True)
     p, q = label[:len(u)].copy(), label[len(u):].copy()
@@ -175,56 +191,75 @@ def _cross(group: pd.DataFrame, bands: int, threshold: float, slack: float) -> p
     return pd.DataFrame(out, columns=["u", "v"]).astype("int64")
 
 
-def _sets_of(nodes: DataFrame, docs: DataFrame, k: int) -> DataFrame:
-    """Full sets of the documents in ``nodes``, read again from the texts and written."""
-    chosen = docs.join(written(nodes.distinct(), "candidates"), docs["doc_id"] == F.col("node")).select("doc_id", "text")
-    return written(chosen.mapInArrow(lambda it: _sets(it, k), _SETS), "sets")
+def _sets_of(classes: DataFrame, docs: DataFrame, k: int) -> DataFrame:
+    """Full sets of ``classes`` (cls, repeats), one row each, read again from the texts and written."""
+    classes = written(classes.distinct(), "candidates")
+    may = may_hold(docs, "doc_row", key_filter(classes, "cls")).where("__may").select("doc_row", "text")
+    chosen = may.join(classes.select("cls"), F.col("doc_row") == F.col("cls"), "left_semi")
+    sets = written(chosen.mapInArrow(lambda it: _sets(it, k), _SETS).join(classes, "cls"), "sets")
+    # only sets of rows that several tasks may have found are looked at for copies
+    once, more = sets.where("repeats = 1").drop("repeats"), sets.where("repeats > 1").drop("repeats")
+    return once.unionByName(more.dropDuplicates(["cls"]))
 
 
 def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Those of ``pairs`` (u, v: ids that stand for classes) whose full sets link.  Written, so computed once."""
-    a = sets.select(F.col("node").alias("u"), F.col("hashes").alias("a_hashes"))
-    b = sets.select(F.col("node").alias("v"), F.col("hashes").alias("b_hashes"))
+    """Those of ``pairs`` (u, v: classes) whose full sets link.  Written, so computed once."""
+    a = sets.select(F.col("cls").alias("u"), F.col("hashes").alias("a_hashes"))
+    b = sets.select(F.col("cls").alias("v"), F.col("hashes").alias("b_hashes"))
     return written(pairs.join(a, "u").join(b, "v").select("u", "v", "a_hashes", "b_hashes")
                    .mapInArrow(lambda it: _confirm(it, percent), "u long, v long").distinct(), "edges")
 
 
+def _of_documents(links: DataFrame, members: DataFrame) -> DataFrame:
+    """Links of classes as links of their first documents."""
+    u = members.select(F.col("cls").alias("u"), F.col("node").alias("u_node"))
+    v = members.select(F.col("cls").alias("v"), F.col("node").alias("v_node"))
+    return links.join(u, "u").join(v, "v").select(F.col("u_node").alias("u"), F.col("v_node").alias("v"))
+
+
 def near_duplicates(docs: DataFrame, k: int = 4, percent: int = 80, bands: int = BANDS, rows: int = ROWS,
                     slack: float = SLACK, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """``docs`` (doc_id, text) -> doc_id, n_shingles, component_id, kept; one row per input row."""
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"))
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), row_key("doc_id", "text").alias("doc_row"),
+                       F.col("text").cast("binary").alias("text"))
     signed = written(docs.mapInArrow(lambda it: _sign(it, k, bands, rows), _SIGNED), "signed")
     usable = signed.where("doc_id IS NOT NULL AND set_id IS NOT NULL")
-    # classes of equal sets, named by their smallest document
-    classes = usable.groupBy("set_id").agg(F.min("doc_id").alias("node"))
-    same = usable.join(classes, "set_id").where("doc_id <> node").select(F.col("doc_id").alias("u"), F.col("node").alias("v"))
-    members = written(usable.join(classes, (usable["set_id"] == classes["set_id"]) & (usable["doc_id"] == classes["node"]))
-                      .select("node", "bands", "signature"), "classes")
-    banded = members.select("node", F.posexplode("bands").alias("band", "key"))
-    buckets = banded.groupBy("band", "key").agg(F.min("node").alias("pivot"), F.count("*").alias("size")).where("size > 1")
+    # classes of equal sets, each as its smallest document sees it: copies are joined before they move
+    first_row = F.struct("doc_id", "doc_row")
+    members = written(usable.groupBy("set_id").agg(
+        F.min(first_row).alias("first"), F.min_by(F.struct("bands", "signature"), first_row).alias("own")).select(
+        "set_id", F.col("first.doc_row").alias("cls"), F.col("first.doc_id").alias("node"), "own.bands", "own.signature"), "classes")
+    repeats = usable.groupBy("doc_row").count().select(F.col("doc_row").alias("cls"), F.least("count", F.lit(2)).alias("repeats"))
+    names = written(members.select("set_id", "cls", "node").join(repeats, "cls"), "names")
+    same = usable.select("doc_id", "set_id").distinct().join(names, "set_id").where("doc_id <> node").select(
+        F.col("doc_id").alias("u"), F.col("node").alias("v"))
+    banded = members.select("cls", F.posexplode("bands").alias("band", "key"))
+    buckets = banded.groupBy("band", "key").agg(F.min("cls").alias("pivot"), F.count("*").alias("size")).where("size > 1")
     buckets = written(buckets, "buckets")
     inside = written(banded.join(buckets, ["band", "key"]), "members")
-    stars = written(inside.where("node <> pivot").select(F.col("pivot").alias("u"), F.col("node").alias("v")).distinct(), "stars")
-    first = _linked(stars, _sets_of(stars.select(F.explode(F.array("u", "v")).alias("node")), docs, k), percent)
-    now = written(components(first.unionByName(same)), "components")
+    stars = written(inside.where("cls <> pivot").select(F.col("pivot").alias("u"), F.col("cls").alias("v")).distinct(), "stars")
+    ends = stars.select(F.explode(F.array("u", "v")).alias("cls")).distinct()
+    first = _linked(stars, _sets_of(names.select("cls", "repeats").join(ends, "cls"), docs, k), percent)
+    now = written(components(_of_documents(first, names).unionByName(same)), "components")
     # buckets that still hold several components
-    placed = inside.select("band", "key", "node").join(now, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    parts = names.select("cls", "node").join(now, "node", "left").select("cls", F.coalesce("component", "node").alias("component"))
+    placed = inside.select("band", "key", "cls").join(parts, "cls")
     split = placed.groupBy("band", "key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi")
     open_ = written(placed.join(split.select("band", "key"), ["band", "key"]), "open")
-    sets = _sets_of(open_.select("node"), docs, k)
-    sizes = sets.select("node", (F.octet_length("short") + F.lit(1000)).alias("bytes"))
-    blocks = open_.join(sizes, "node").groupBy("band", "key").agg(
+    sets = _sets_of(names.select("cls", "repeats").join(open_.select("cls").distinct(), "cls"), docs, k)
+    sizes = sets.select("cls", (F.octet_length("short") + F.lit(1000)).alias("bytes"))
+    blocks = open_.join(sizes, "cls").groupBy("band", "key").agg(
         F.ceil(F.sum("bytes") / block_bytes).cast("int").alias("blocks"))
-    rows_ = (open_.join(blocks, ["band", "key"]).join(members.select("node", "signature"), "node")
-             .join(sets.select("node", "short"), "node")
-             .withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")))
+    rows_ = (open_.join(blocks, ["band", "key"]).join(members.select("cls", "signature"), "cls")
+             .join(sets.select("cls", "short"), "cls")
+             .withColumn("own", F.pmod(F.xxhash64("cls"), F.col("blocks")).cast("int")))
     every = F.sequence(F.lit(0), F.col("blocks") - 1)
     left = rows_.withColumns({"i": F.col("own"), "j": F.explode(every), "side": F.lit(0)}).where("i <= j")
     right = rows_.where("blocks > 1").withColumns({"j": F.col("own"), "i": F.explode(every), "side": F.lit(1)}).where("i < j")
-    columns = ["band", "key", "i", "j", "side", "node", "component", "signature", "short"]
+    columns = ["band", "key", "i", "j", "side", "cls", "component", "signature", "short"]
     pairs = left.select(columns).unionByName(right.select(columns)).groupBy("band", "key", "i", "j").applyInPandas(
         lambda g: _cross(g, bands, percent / 100, slack), _CROSS).distinct()
-    second = _linked(pairs, sets, percent)
+    second = _of_documents(_linked(pairs, sets, percent), names)
     final = components(now.select(F.col("node").alias("u"), F.col("component").alias("v")).unionByName(second))
     out = signed.select("doc_id", "n_shingles").join(final.withColumnRenamed("node", "doc_id"), "doc_id", "left")
     component = F.coalesce("component", "doc_id")
