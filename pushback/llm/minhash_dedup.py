@@ -109,17 +109,8 @@ _SETS = "cls long, hashes binary, short binary"
 
 
 def _sets(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch]:
-    """Full sets, and the upper halves of their hashes (sorted, distinct) for comparisons inside buckets.
-
-    Rows that repeat an id and a text have one key; a task makes their set once.
-    """
-    seen: set[int] = set()
+    """Full sets, and the upper halves of their hashes (sorted, distinct) for comparisons inside buckets."""
     for batch in slices(batches, "text", 2 << 20):
-        keys = batch.column("doc_row").to_pylist()
-        first = [i for i, key in enumerate(keys) if key not in seen and not seen.add(key)]
-        if not first:
-            continue
-        batch = batch.take(pa.array(first, pa.int64()))
         sets = shingle_sets(batch.column("text").to_pylist(), k)
         short = [np.unique((s >> np.uint64(32)).astype(np.uint32)).tobytes() for s in sets]
         yield pa.RecordBatch.from_arrays([batch.column("doc_row"), pa.array([s.tobytes() for s in sets], pa.binary()),
@@ -192,14 +183,16 @@ def _cross(group: pd.DataFrame, bands: int, threshold: float, slack: float) -> p
 
 
 def _sets_of(classes: DataFrame, docs: DataFrame, k: int) -> DataFrame:
-    """Full sets of ``classes`` (cls, repeats), one row each, read again from the texts and written."""
+    """Full sets of ``classes`` (cls), one row each, read again from the texts and written.
+
+    Rows that repeat an id and a text have one key; tasks join them before they move.
+    """
     classes = written(classes.distinct(), "candidates")
-    may = may_hold(docs, "doc_row", key_filter(classes, "cls")).where("__may").select("doc_row", "text")
-    chosen = may.join(classes.select("cls"), F.col("doc_row") == F.col("cls"), "left_semi")
-    sets = written(chosen.mapInArrow(lambda it: _sets(it, k), _SETS).join(classes, "cls"), "sets")
-    # only sets of rows that several tasks may have found are looked at for copies
-    once, more = sets.where("repeats = 1").drop("repeats"), sets.where("repeats > 1").drop("repeats")
-    return once.unionByName(more.dropDuplicates(["cls"]))
+    may = may_hold(docs, "doc_row", key_filter(classes, "cls")).where("__may")
+    rows = may.groupBy("doc_row").agg(F.first("text").alias("text"))
+    # merged whatever its size: the candidates grow with the documents
+    chosen = rows.join(classes.hint("merge"), F.col("doc_row") == F.col("cls"), "left_semi")
+    return written(chosen.mapInArrow(lambda it: _sets(it, k), _SETS), "sets")
 
 
 def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -229,8 +222,7 @@ def near_duplicates(docs: DataFrame, k: int = 4, percent: int = 80, bands: int =
     members = written(usable.groupBy("set_id").agg(
         F.min(first_row).alias("first"), F.min_by(F.struct("bands", "signature"), first_row).alias("own")).select(
         "set_id", F.col("first.doc_row").alias("cls"), F.col("first.doc_id").alias("node"), "own.bands", "own.signature"), "classes")
-    repeats = usable.groupBy("doc_row").count().select(F.col("doc_row").alias("cls"), F.least("count", F.lit(2)).alias("repeats"))
-    names = written(members.select("set_id", "cls", "node").join(repeats, "cls"), "names")
+    names = members.select("set_id", "cls", "node")
     same = usable.select("doc_id", "set_id").distinct().join(names, "set_id").where("doc_id <> node").select(
         F.col("doc_id").alias("u"), F.col("node").alias("v"))
     banded = members.select("cls", F.posexplode("bands").alias("band", "key"))
@@ -238,15 +230,14 @@ def near_duplicates(docs: DataFrame, k: int = 4, percent: int = 80, bands: int =
     buckets = written(buckets, "buckets")
     inside = written(banded.join(buckets, ["band", "key"]), "members")
     stars = written(inside.where("cls <> pivot").select(F.col("pivot").alias("u"), F.col("cls").alias("v")).distinct(), "stars")
-    ends = stars.select(F.explode(F.array("u", "v")).alias("cls")).distinct()
-    first = _linked(stars, _sets_of(names.select("cls", "repeats").join(ends, "cls"), docs, k), percent)
+    first = _linked(stars, _sets_of(stars.select(F.explode(F.array("u", "v")).alias("cls")), docs, k), percent)
     now = written(components(_of_documents(first, names).unionByName(same)), "components")
     # buckets that still hold several components
     parts = names.select("cls", "node").join(now, "node", "left").select("cls", F.coalesce("component", "node").alias("component"))
     placed = inside.select("band", "key", "cls").join(parts, "cls")
     split = placed.groupBy("band", "key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi")
     open_ = written(placed.join(split.select("band", "key"), ["band", "key"]), "open")
-    sets = _sets_of(names.select("cls", "repeats").join(open_.select("cls").distinct(), "cls"), docs, k)
+    sets = _sets_of(open_.select("cls"), docs, k)
     sizes = sets.select("cls", (F.octet_length("short") + F.lit(1000)).alias("bytes"))
     blocks = open_.join(sizes, "cls").groupBy("band", "key").agg(
         F.ceil(F.sum("bytes") / block_bytes).cast("int").alias("blocks"))

@@ -35,7 +35,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import row_key, slices, table, words_of, written
+from .common import key_filter, may_hold, row_key, slices, table, words_of, written
 
 KINDS = ("email", "ip", "card", "phone")
 TERM = "term"
@@ -242,10 +242,12 @@ def sanitise(docs: DataFrame, **options) -> DataFrame:
     found = find(docs.select("doc_id", "text"), **options).where("base <> '' OR terms IS NOT NULL")
     found = written(found.select(F.col("doc_id").alias("__pii_id"), F.col("doc_row").alias("__pii_row"),
                                  F.col("base").alias("__pii_base"), F.col("terms").alias("__pii_terms")).distinct(), "pii-found")
-    keyed = docs.withColumn("__pii_key", row_key("doc_id", "text"))
+    keyed = may_hold(docs.withColumn("__pii_key", row_key("doc_id", "text")), "__pii_key", key_filter(found, "__pii_row"))
+    clean = keyed.where("NOT __may").select(*docs.columns)  # most texts have nothing to replace, and need no join
     same = F.col("doc_id").cast("long").eqNullSafe(F.col("__pii_id")) & (F.col("__pii_key") == F.col("__pii_row"))
-    return keyed.join(found, same, "left").drop("__pii_id", "__pii_row", "__pii_key").mapInArrow(
-        lambda it: _replace(it, "text"), docs.schema)
+    asked = keyed.where("__may").drop("__may").join(found.hint("merge"), same, "left")
+    replaced = asked.drop("__pii_id", "__pii_row", "__pii_key").mapInArrow(lambda it: _replace(it, "text"), docs.schema)
+    return replaced.unionByName(clean)
 
 
 def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
