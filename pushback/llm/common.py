@@ -22,9 +22,10 @@ _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 BATCHES = {"spark.sql.execution.arrow.maxRecordsPerBatch": "2000", "spark.sql.execution.arrow.maxBytesPerBatch": str(8 << 20)}
 
 
-def bounded_batches(spark: SparkSession) -> None:
+def bounded_batches(spark: SparkSession, share: int = 1) -> None:
+    """Set the bounds; a ``share`` of 2 halves them, and so on."""
     for key, value in BATCHES.items():
-        spark.conf.set(key, value)
+        spark.conf.set(key, str(int(value) // share))
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -91,8 +92,8 @@ def gram_hashes(hashes: np.ndarray, n: int) -> np.ndarray:
     return mixed(out)
 
 
-#: A filter of keys has at most so many rows of 32,768 bits each: 16 MB, whatever the number of keys.
-FILTER_ROWS = 4096
+#: A filter of keys has at most so many rows of 32,768 bits each: 4 MB, whatever the number of keys.
+FILTER_ROWS = 1024
 _BITS = 32_768
 
 
