@@ -48,12 +48,16 @@ def _without(docs: DataFrame, found: DataFrame) -> DataFrame:
     return sure.unionByName(asked.join(bad, same, "left_anti").select(*docs.columns))
 
 
+#: Stages run one after the other in the same workers, so each holds a quarter of what an operator alone may.
+SHARE = 4
+
+
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Language ID: texts without a language, or that no language's model can code, go.
 
     Without any labelled row there is no model, and nothing is rejected.
     """
-    bounded_batches(spark)
+    bounded_batches(spark, SHARE)
     model = language_id.train(docs.select("doc_id", "lang", "text"))
     if not model.languages:
         return docs
@@ -71,7 +75,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     stays.  Rows without an id stay.
     """
     release(spark, docs)
-    bounded_batches(spark)
+    bounded_batches(spark, SHARE)
     node = F.when(F.col("doc_id").isNotNull(), F.col("__stage_row"))
     groups = minhash_dedup.near_duplicates(_keyed(docs).select(node.alias("doc_id"), "text"), k=5)
     # decided on narrow rows, each id and text once
@@ -92,15 +96,16 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Decontamination: documents that hold a copy of a benchmark item go."""
     release(spark, docs)
-    bounded_batches(spark)
-    found = decontaminate.contaminated(docs.select("doc_id", "text"), table(spark, sf_dir, "benchmark"))
+    items = table(spark, sf_dir, "benchmark")
+    bounded_batches(spark, SHARE)
+    found = decontaminate.contaminated(docs.select("doc_id", "text"), items)
     return _without(docs, found)
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """PII: personal data is replaced by its kind; ``n_chars`` follows the new text."""
     release(spark, docs)
-    bounded_batches(spark)
+    bounded_batches(spark, SHARE)
     clean = pii.sanitise(docs)
     if "n_chars" in docs.columns:
         clean = clean.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
@@ -110,7 +115,7 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Packing: all kept documents as pieces of training sequences."""
     release(spark, docs)
-    bounded_batches(spark)
+    bounded_batches(spark, SHARE)
     return pack.pack(docs.select("doc_id", "text"), pack.default_tokenizer())
 
 
