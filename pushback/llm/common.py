@@ -92,20 +92,19 @@ def gram_hashes(hashes: np.ndarray, n: int) -> np.ndarray:
     return mixed(out)
 
 
-#: A filter of keys has at most so many rows of 32,768 bits each: 4 MB, whatever the number of keys.
-FILTER_ROWS = 1024
-_BITS = 32_768
+#: A filter of keys has so many bits, in words of 64: at most 524,288 rows of two numbers, whatever the number of keys.
+FILTER_BITS = 1 << 25
 
 
 def _filter_place(key: str) -> Column:
-    return F.pmod(F.xxhash64(F.lit(1), key), F.lit(FILTER_ROWS * _BITS))
+    return F.pmod(F.xxhash64(F.lit(1), key), F.lit(FILTER_BITS))
 
 
 def key_filter(keys: DataFrame, key: str) -> DataFrame:
-    """A bitmap of the hashes of ``key`` (long), of bounded size: (filter_row, filter_bits).  Written."""
+    """A bitmap of the hashes of ``key`` (long), of bounded size: (filter_word, filter_bits).  Written."""
     placed = keys.select(_filter_place(key).alias("p"))
-    return written(placed.groupBy(F.expr(f"p div {_BITS}").alias("filter_row")).agg(
-        F.bitmap_construct_agg(F.col("p") % _BITS).alias("filter_bits")), "filter")
+    return written(placed.groupBy(F.expr("p div 64").alias("filter_word")).agg(
+        F.bit_or(F.expr("shiftleft(1L, cast(p % 64 as int))")).alias("filter_bits")), "filter")
 
 
 def may_hold(df: DataFrame, key: str, bits: DataFrame) -> DataFrame:
@@ -114,13 +113,11 @@ def may_hold(df: DataFrame, key: str, bits: DataFrame) -> DataFrame:
     Rows without it need no exact look-up, so a join with many keys moves only
     the rows concerned (and a few others), not the whole texts of all rows.
     """
-    p = _filter_place(key)
-    at = df.withColumns({"__filter_row": F.floor(p / _BITS), "__filter_bit": p % _BITS})
-    held = at.join(F.broadcast(bits), F.col("__filter_row") == F.col("filter_row"), "left")  # bounded by FILTER_ROWS
-    byte = F.expr("conv(hex(substring(filter_bits, cast(__filter_bit div 8 as int) + 1, 1)), 16, 10)").cast("int")
-    bit = F.expr("cast(__filter_bit % 8 as int)")
-    may = F.coalesce(F.call_function("bit_get", byte, bit) == 1, F.lit(False))
-    return held.withColumn("__may", may).drop("__filter_row", "__filter_bit", "filter_row", "filter_bits")
+    at = df.withColumn("__filter_place", _filter_place(key))
+    word = F.expr("__filter_place div 64")
+    held = at.join(F.broadcast(bits), word == F.col("filter_word"), "left")  # bounded by FILTER_BITS
+    bit = F.expr("shiftright(filter_bits, cast(__filter_place % 64 as int)) & 1L")
+    return held.withColumn("__may", F.coalesce(bit == 1, F.lit(False))).drop("__filter_place", "filter_word", "filter_bits")
 
 
 #: Folders that this application wrote and has not removed.
