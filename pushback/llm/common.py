@@ -43,8 +43,22 @@ def fold(column: str, crc_of: str, modulus: int) -> Column:
     return (F.crc32(F.col(crc_of).cast("string").cast("binary")) % modulus).alias(column)
 
 
-def slices(batches: Iterator[pa.RecordBatch], column: str, max_bytes: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
-    """Cut Arrow batches so that ``column`` (binary) holds about ``max_bytes`` a piece."""
+#: What a worker remembers from task to task, by operator.
+_REMEMBERED: dict[str, dict] = {}
+
+
+def remembered(owner: str) -> dict:
+    """Things that an operator keeps between the tasks of a worker; other operators' tasks drop them."""
+    return _REMEMBERED.setdefault(owner, {})
+
+
+def slices(batches: Iterator[pa.RecordBatch], column: str, max_bytes: int = SLICE_BYTES, owner: str = "") -> Iterator[pa.RecordBatch]:
+    """Cut Arrow batches so that ``column`` (binary) holds about ``max_bytes`` a piece.
+
+    A worker serves one operator after another: what others remembered goes.
+    """
+    for name in [n for n in _REMEMBERED if n != owner]:
+        del _REMEMBERED[name]
     for batch in batches:
         if not batch.num_rows:
             continue

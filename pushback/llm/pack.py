@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import slices, table, written
+from .common import remembered, slices, table, written
 
 WINDOW, GRANULARITY, DEPTH, END_ID = 2048, 8, 3, 1
 #: Rows of a bin in one bucket of the two-level rank, about.
@@ -44,17 +44,17 @@ _PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long
 class WordTokenizer:
     """Ids of whole texts for a tokenizer that never merges across ASCII white space; words are remembered."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, most: int = CACHE_WORDS):
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.known = Tokenizer.from_file(path), {}
+        self.tokenizer, self.known, self.most = Tokenizer.from_file(path), {}, most
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
         # case is dropped by the tokenizer, but its special tokens are matched before that
         split = [(t if b"<|" in t else t.lower()).split() for t in texts]
         new = {w for words in split for w in words}.difference(self.known)
-        if len(self.known) + len(new) > CACHE_WORDS:
+        if len(self.known) + len(new) > self.most:
             self.known.clear()
             new = {w for words in split for w in words}
         # a comma or full stop after a letter or digit is a token of its own
@@ -68,18 +68,16 @@ class WordTokenizer:
         return [b"".join(map(known.__getitem__, words)) for words in split]
 
 
-_TOKENIZERS: dict[str, WordTokenizer] = {}
-
-
-def _cut(batches: Iterator[pa.RecordBatch], path: str, window: int) -> Iterator[pa.RecordBatch]:
+def _cut(batches: Iterator[pa.RecordBatch], path: str, window: int, words: int) -> Iterator[pa.RecordBatch]:
     import os
 
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    if path not in _TOKENIZERS:
-        _TOKENIZERS[path] = WordTokenizer(path)
-    tokenizer = _TOKENIZERS[path]
+    known = remembered("pack")
+    if (path, words) not in known:
+        known[path, words] = WordTokenizer(path, words)
+    tokenizer = known[path, words]
     end = np.array([END_ID], "<u4").tobytes()
-    for batch in slices(batches, "text", 2 << 20):
+    for batch in slices(batches, "text", 2 << 20, "pack"):
         rows = []
         texts = [t or b"" for t in batch.column("text").to_pylist()]
         for doc_id, ids in zip(batch.column("doc_id").to_pylist(), tokenizer.encode(texts)):
@@ -165,16 +163,20 @@ def plan(histogram: np.ndarray, depth: int = DEPTH) -> list[tuple[tuple[int, ...
     return out
 
 
-def pieces(docs: DataFrame, tokenizer: str, window: int = WINDOW) -> DataFrame:
+def pieces(docs: DataFrame, tokenizer: str, window: int = WINDOW, words: int = CACHE_WORDS) -> DataFrame:
     """Cut ``docs`` (doc_id, text) into pieces of at most ``window`` ids."""
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text")).mapInArrow(
-        lambda it: _cut(it, tokenizer, window), _PIECES)
+        lambda it: _cut(it, tokenizer, window, words), _PIECES)
+
 
+def pack(docs: DataFrame, tokenizer: str, window: int = WINDOW, granularity: int = GRANULARITY, depth: int = DEPTH,
+         words: int = CACHE_WORDS) -> DataFrame:
+    """Place every piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset.
 
-def pack(docs: DataFrame, tokenizer: str, window: int = WINDOW, granularity: int = GRANULARITY, depth: int = DEPTH) -> DataFrame:
-    """Place every piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset."""
+    A worker remembers the ids of at most ``words`` words.
+    """
     spark = docs.sparkSession
-    cut = written(pieces(docs, tokenizer, window), "pieces")
+    cut = written(pieces(docs, tokenizer, window, words), "pieces")
     bin_of = F.ceil(F.col("length") / granularity).cast("int")
     histogram = np.zeros(window // granularity + 1, np.int64)
     for r in cut.groupBy(bin_of.alias("bin")).count().collect():  # at most window / granularity rows
