@@ -50,6 +50,8 @@ def _without(docs: DataFrame, found: DataFrame) -> DataFrame:
 
 #: Stages run one after the other in the same workers, so each holds a quarter of what an operator alone may.
 SHARE = 4
+#: Words whose ids a packing worker remembers: fewer than the operator alone may, as the stages share their executors.
+PACK_WORDS = 100_000
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -116,7 +118,7 @@ def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Packing: all kept documents as pieces of training sequences."""
     release(spark, docs)
     bounded_batches(spark, SHARE)
-    return pack.pack(docs.select("doc_id", "text"), pack.default_tokenizer())
+    return pack.pack(docs.select("doc_id", "text"), pack.default_tokenizer(), words=PACK_WORDS)
 
 
 STAGES = [
