@@ -193,8 +193,7 @@ def find(docs: DataFrame, reach: int = REACH, disclosure: float = DISCLOSURE, su
                .where(F.col("contexts") >= support).drop("contexts"))
     by_entity = pairs.where(F.col("contexts") >= evidence).select("kind", "entity", "term", F.col("once").alias("joint"))
     terms = written(by_kind.select("term").unionByName(by_entity.select("term")).distinct(), "pii-candidates")
-    counts = inputs.select("text").mapInArrow(_count, "term string, n long").join(  # broadcast only if terms are few
-        terms, "term", "left_semi").groupBy("term").agg(F.sum("n").alias("n"))
+    counts = inputs.select("text").mapInArrow(_count, "term string, n long").groupBy("term").agg(F.sum("n").alias("n")).join(terms, "term")
     counts = written(counts, "pii-counts")
     total = rows.agg(F.sum("n_words").alias("total"))  # one row
     share = F.col("near") / F.col("total")
