@@ -132,7 +132,7 @@ LINES = "[.;:!?]+[ \\t\\r\\n]+|[ \\t\\r]*\\n[ \\t\\r\\n]*"
 PARAGRAPHS = "[.;:!?]+[ \\t\\r\\n]+|\\n[ \\t\\r]*\\n[ \\t\\r\\n]*"
 GAP = "."
 #: The stop of an abbreviated version, and what is left of a list mark.
-VERSION_STOP = "\\bv\\.(?=[ \\t\\r\\n]+[0-9])"
+VERSION_STOP = "(?<![a-z0-9_])v\\.(?=[ \\t\\r\\n]+[0-9])"
 LIST_MARK = "^([0-9]+( [0-9]+)*|[a-z]|[ivx]+)$"
 _FIRST = 0xE000  # private-use code points stand for sentence identifiers
 
@@ -212,12 +212,13 @@ def _oracle() -> str:
     return f"""
 WITH known(s, code) AS (VALUES {known}), rule(s, lic) AS (VALUES {by_rule}),
 d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text FROM documents),
+low AS (SELECT r, regexp_replace(lower(text), '\\bv\\.([ \\t\\r\\n]+[0-9])', 'v\\1', 'g') AS t FROM d),
 cut AS (
   SELECT r, kind, unnest(parts) AS s, generate_subscripts(parts, 1) AS i FROM (
-    SELECT r, 'l' AS kind, regexp_split_to_array(lower(text), '{LINES}') AS parts FROM d
-    UNION ALL SELECT r, 'p', regexp_split_to_array(lower(text), '{PARAGRAPHS}') FROM d)),
+    SELECT r, 'l' AS kind, regexp_split_to_array(t, '{LINES}') AS parts FROM low
+    UNION ALL SELECT r, 'p', regexp_split_to_array(t, '{PARAGRAPHS}') FROM low)),
 coded AS (
-  SELECT r, kind, string_agg(coalesce(code, '{GAP}'), '' ORDER BY i) AS seq
+  SELECT r, kind, string_agg(coalesce(code, CASE WHEN regexp_matches(c.n, '{LIST_MARK}') THEN '' ELSE '{GAP}' END), '' ORDER BY i) AS seq
   FROM (SELECT r, kind, i, trim(regexp_replace(s, '[^a-z0-9]+', ' ', 'g')) AS n FROM cut WHERE s <> '') c
   LEFT JOIN known ON known.s = c.n GROUP BY r, kind),
 hit AS (
