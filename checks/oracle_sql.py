@@ -661,6 +661,8 @@ def generic_oracle_sql() -> dict[str, str]:
     q: dict[str, str] = {}
     q["events_fraction_ge"] = ("SELECT user_id, round(AVG(CAST(CAST(value >= 50.0 AS INTEGER) AS DOUBLE)), 6) "
                                "AS fraction_value_gte FROM events GROUP BY user_id")
+    q["events_quantile_states"] = ("SELECT event_type, count(*) AS n, min(value) AS least, max(value) AS greatest, TRUE AS ranks_ok "
+                                   "FROM events WHERE value IS NOT NULL AND NOT isnan(value) GROUP BY event_type")
     types = ["click", "view", "purchase", "signup", "error"]
     q["events_open_intervals"] = _generic_interval_sql(
         "SELECT * FROM (SELECT user_id, event_type AS series, ts AS t_in, "

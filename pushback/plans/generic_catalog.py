@@ -14,9 +14,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pushback.operators import baseline as bl
-from pushback.operators import filters, metrics, occupancy, split
+from pushback.operators import filters, metrics, occupancy, sketches, split
 from pushback.operators.quantiles import exact_quantiles
 from pushback.plans.catalog import rounded
+from pushback.session import materialize
 
 # The event types of the driver's events table.
 EVENT_TYPES = ("click", "view", "purchase", "signup", "error")
@@ -39,6 +40,24 @@ def q_events_fraction_ge(spark, sf):
         F.avg((F.col("value") >= 50.0).cast("int").cast("double")).alias("fraction_value_gte")))
 
 
+def q_events_quantile_states(spark, sf):
+    """Per event type: quantile states of each day, merged; count, ends, and whether inner ranks are within 2 %."""
+    ev = _t(spark, sf, "events").withColumn("day", F.to_date("ts"))
+    daily = materialize(sketches.quantile_states(ev, F.col("value"), ["event_type", "day"]))
+    merged = sketches.quantiles_of(sketches.merge_states(daily, ["event_type"]), (0.0, 0.1, 0.5, 0.9, 1.0))
+    inner = [F.col("quantiles")[i] for i in (1, 2, 3)]
+    known = materialize(merged).withColumnRenamed("event_type", "q_type")
+    rows = ev.where("value IS NOT NULL AND NOT isnan(value)")
+    # a quantile's rank lies between the rows below it and those up to it
+    ranks = [F.sum(cond.cast("int")).alias(f"{name}{i}") for i, q in enumerate(inner)
+             for name, cond in (("below", F.col("value") < q), ("upto", F.col("value") <= q))]
+    ranked = rows.join(known, F.col("event_type").eqNullSafe(F.col("q_type"))).groupBy("event_type", "n", "quantiles").agg(*ranks)
+    ok = F.lit(True)
+    for i, p in enumerate((0.1, 0.5, 0.9)):
+        ok = ok & (F.col(f"below{i}") <= (p + 0.02) * F.col("n") + 1) & (F.col(f"upto{i}") >= (p - 0.02) * F.col("n") - 1)
+    return ranked.select("event_type", "n", F.col("quantiles")[0].alias("least"), F.col("quantiles")[4].alias("greatest"), ok.alias("ranks_ok"))
+
+
 def q_events_open_intervals(spark, sf):
     """Per user, at each purchase: events of each type still open ([ts, ts + value minutes))."""
     ev = _t(spark, sf, "events")
@@ -104,6 +123,7 @@ def q_lineitem_count_limits(spark, sf):
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "events_fraction_ge": q_events_fraction_ge,
+    "events_quantile_states": q_events_quantile_states,
     "events_open_intervals": q_events_open_intervals,
     "lineitem_in_transit": q_lineitem_in_transit,
     "events_baseline_metrics": q_events_baseline_metrics,

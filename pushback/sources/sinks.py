@@ -41,6 +41,18 @@ def write_table(df: DataFrame, path: str, partition_by: tuple[str, ...] = (AIRPO
     return path
 
 
+def write_bucketed(df: DataFrame, table: str, path: str, key: str, buckets: int, partition_by: Sequence[str] = ()) -> str:
+    """Write a catalog table bucketed and sorted by ``key``; returns its name.
+
+    Tables with equal ``key`` and ``buckets`` join, and group by ``key``, without
+    a shuffle.  Rows go to their bucket's task first: one file per bucket (and
+    partition), not one per task.  Choose ``buckets`` so that one fits in a task.
+    """
+    writer = df.repartition(buckets, key).write.mode("overwrite").option("path", path).bucketBy(buckets, key).sortBy(key)
+    (writer.partitionBy(*partition_by) if partition_by else writer).saveAsTable(table)
+    return table
+
+
 def write_feature_table(df: DataFrame, root: str, variant: str) -> str:
     """Intermediate table ``data_engred_<variant>`` (e.g. ``unimp_ramp``)."""
     return write_table(df, table_path(root, "data_engred", variant))
