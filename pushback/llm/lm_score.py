@@ -1,17 +1,19 @@
-"""Language-model scores by a weighted backoff automaton of bigrams.
+"""Language-model scores by a weighted backoff automaton of n-grams.
 
 Tokens are words with A-Z lower-cased, and one end token per text.  Every
-training document is counted.  The smoothed model (Jelinek-Mercer):
+training document is counted.  The smoothed model (Jelinek-Mercer), for
+histories h of up to ``order`` - 1 tokens, the start of the text being one:
 
     P(w)   = c(w) / (N + V) for known w, V / (N + V) for the one unknown word,
-    P(w|h) = l(h) * c(hw) / c(h) + (1 - l(h)) * P(w),
+    P(w|h) = l(h) * c(hw) / c(h) + (1 - l(h)) * P(w|h'),  h' = h without its first,
     l(h)   = most * c(h) / (c(h) + half),
 
-which sums to one in every state.  Its automaton has a root state, a start
-state and one state per known word.  A seen bigram is an arc with log10 P(w|h);
-any other word takes the state's failure arc, log10 (1 - l(h)), to the root and
-goes on with the root's arc.  One pass from left to right carries the state and
-adds the weights.
+which sums to one in every state.  Its automaton has a state for every seen
+history and a root for the empty one.  A seen n-gram hw is an arc from h with
+log10 P(w|h), to hw or, where that is too long for a state, to its suffix.  Any
+other word takes the failure arc of h, log10 (1 - l(h)), to h' and tries again
+there, down to the root, which has an arc for every word.  One pass from left to
+right carries the state and adds the weights.
 
 Counts grow with the corpus and are never gathered in one place.  Texts are
 read once, into chunks of a few megabytes (word ids of the chunk, and the
@@ -43,6 +45,7 @@ from .common import fold, mixed, slices, table, word_hashes, words_of, written
 
 MOST, HALF = 0.75, 1.0
 CHUNK_BYTES, BUCKET_BYTES = 4 << 20, 16 << 20
+ORDER = 3
 
 _LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
 #: Hashes of the end token and the start state; words have no white space, so these names are free.
@@ -52,11 +55,14 @@ _CHUNK = "doc_ids array<long>, folds array<long>, lengths array<long>, keys bina
 
 
 def _squeezed(values: np.ndarray) -> bytes:
-    return zstandard.ZstdCompressor(level=1).compress(values.tobytes())
+    """Compressed with all lowest bytes first, all highest last: those are zero for small numbers."""
+    planes = values.view(np.uint8).reshape(len(values), -1).T
+    return zstandard.ZstdCompressor(level=1).compress(planes.tobytes())
 
 
 def _expanded(data: bytes, kind: type) -> np.ndarray:
-    return np.frombuffer(zstandard.ZstdDecompressor().decompress(data), kind)
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8)
+    return planes.reshape(np.dtype(kind).itemsize, -1).T.copy().view(kind).reshape(-1)
 
 
 def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -80,36 +86,49 @@ def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 class Grams:
     """A chunk's distinct n-grams in the order of their keys, and where its texts use them.
 
-    Word ids are those of the chunk; the id after the last is the start state.
+    Word ids are those of the chunk; the id after the last is the start of a text.
+    ``levels[k]`` holds the n-grams of k + 2 tokens: (the n-gram without its last
+    token, that token, the n-gram without its first), by their ids one level below.
     """
 
-    def __init__(self, row: dict, learned_from: int):
+    def __init__(self, row: dict, held_out: int, order: int):
         words = np.cumsum(_expanded(row["keys"], np.uint64), dtype=np.uint64)
         self.tokens = _expanded(row["tokens"], np.uint32).astype(np.int64)
         self.lengths = np.array(row["lengths"], np.int64)
         self.starts = np.cumsum(self.lengths) - self.lengths
         self.n_words = len(words)
-        state = np.empty_like(self.tokens)
-        state[1:] = self.tokens[:-1]
-        state[self.starts] = self.n_words
-        learned = np.repeat(np.array([f is not None and f != learned_from for f in row["folds"]], bool), self.lengths)
-        pairs = state * self.n_words + self.tokens
-        self.pairs, inverse = np.unique(pairs, return_inverse=True)
+        learned = np.repeat(np.array([f is not None and f != held_out for f in row["folds"]], bool), self.lengths)
+        place = np.arange(len(self.tokens)) - np.repeat(self.starts, self.lengths)
         names = np.append(words, START)
-        # the last bit tells words (0) from bigrams and the start state (1)
-        pair_keys = mixed(mixed(names[self.pairs // self.n_words]) * np.uint64(3) + names[self.pairs % self.n_words]) | np.uint64(1)
-        keys = np.concatenate([mixed(words) & ~np.uint64(1), mixed(names[-1:]) | np.uint64(1), pair_keys])
-        counts = np.concatenate([
-            np.bincount(self.tokens[learned], minlength=self.n_words), [int(learned[self.starts].sum())],
-            np.bincount(inverse[learned], minlength=len(self.pairs))])
+        # the last bit tells words (0) from longer n-grams and the start (1)
+        keys = [mixed(words) & ~np.uint64(1), mixed(names[-1:]) | np.uint64(1)]
+        counts = [np.bincount(self.tokens[learned], minlength=self.n_words), [int(learned[self.starts].sum())]]
+        self.levels = []
+        shorter = self.tokens  # id of the n-gram one token shorter that ends at each token
+        before = np.empty_like(self.tokens)
+        before[1:], before[self.starts] = self.tokens[:-1], self.n_words
+        single = names
+        for k in range(2, order + 1):
+            at = np.flatnonzero(place >= k - 2)  # the start of a text is the first token of its longest n-gram there
+            grams, first, inverse = np.unique(before[at] * self.n_words + self.tokens[at], return_index=True, return_inverse=True)
+            prefix, token = grams // self.n_words, grams % self.n_words
+            self.levels.append((prefix, token, shorter[at][first]))
+            names = mixed(mixed(names[prefix]) * np.uint64(3) + single[token])
+            keys.append(names | np.uint64(1))
+            counts.append(np.bincount(inverse[learned[at]], minlength=len(grams)))
+            shorter = np.full(len(self.tokens), -1)
+            shorter[at] = inverse
+            before = np.roll(shorter, 1)
+        self.ends = np.cumsum([self.n_words + 1, *(len(x[0]) for x in self.levels)])
+        keys, counts = np.concatenate(keys), np.concatenate(counts)
         self.order = np.argsort(keys, kind="stable")
         self.keys, self.counts = keys[self.order], counts[self.order].astype(np.uint32)
 
-    def placed(self, totals: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Totals in the order of the keys -> by state (words, then the start state), and by bigram."""
+    def placed(self, totals: np.ndarray) -> list[np.ndarray]:
+        """Totals in the order of the keys -> those of the words and the start, then of each level."""
         out = np.empty(len(self.keys), np.int64)
         out[self.order] = totals
-        return out[:self.n_words + 1], out[self.n_words + 1:]
+        return np.split(out, self.ends[:-1])
 
 
 def _bucket(keys: np.ndarray, buckets: int) -> np.ndarray:
@@ -117,10 +136,10 @@ def _bucket(keys: np.ndarray, buckets: int) -> np.ndarray:
     return ((keys >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
 
 
-def _ask(batches: Iterator[pa.RecordBatch], buckets: int, learned_from: int) -> Iterator[pa.RecordBatch]:
+def _ask(batches: Iterator[pa.RecordBatch], buckets: int, held_out: int, order: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for row in batch.to_pylist():
-            grams = Grams(row, learned_from)
+            grams = Grams(row, held_out, order)
             bucket = _bucket(grams.keys, buckets)
             own, first = np.unique(bucket, return_index=True)
             out = [(int(b), row["chunk"], _squeezed(np.diff(grams.keys[i:j], prepend=np.uint64(0))), _squeezed(grams.counts[i:j]))
@@ -152,71 +171,98 @@ def _answer(group: pa.Table) -> pa.Table:
 
 
 class Automaton:
-    """The reachable part of the backoff automaton: arcs, failure weights, root weights and next states."""
+    """The reachable part of the backoff automaton: arcs, failure arcs, root weights.
+
+    States are numbered: words, the start, the longer histories level by level, the root.
+    """
 
     def __init__(self, grams: Grams, totals: np.ndarray, n: int, v: int, most: float = MOST, half: float = HALF):
-        of_state, of_pair = grams.placed(totals)
-        self.known = of_state[:-1]
-        self.size, self.start, root = grams.n_words, grams.n_words, grams.n_words + 1
+        singles, *longer = grams.placed(totals)
+        self.size, self.start = grams.n_words, grams.n_words
+        self.known = singles[:-1]
         words = self.known.astype(np.float64)
-        unigram = np.where(words > 0, words, max(v, 1)) / max(n + v, 1)
-        weight = most * of_state / (of_state + half)
-        state, token = grams.pairs // self.size, grams.pairs % self.size
-        seen = of_pair > 0
-        state, token, count = state[seen], token[seen], of_pair[seen]
-        arcs = np.log10(weight[state] * count / of_state[state] + (1 - weight[state]) * unigram[token])
-        self.arcs = dict(zip(grams.pairs[seen].tolist(), arcs.tolist()))
-        self.fail = [*np.log10(1 - weight).tolist(), 0.0]
-        self.root = np.log10(unigram).tolist()
+        chance = np.where(words > 0, words, max(v, 1)) / max(n + v, 1)
+        self.root_weight = np.log10(chance).tolist()
+        history, first = singles, 0  # counts of the states of one level, and the number of its first state
+        fail, back, arcs, weights, targets = [], [], [], [], []
+        for k, ((prefix, token, suffix), count) in enumerate(zip(grams.levels, longer)):
+            trust = most * history / (history + half)
+            fail.append(np.log10(1 - trust))
+            chance = trust[prefix] * count / np.maximum(history[prefix], 1) + (1 - trust[prefix]) * chance[suffix]
+            seen = np.flatnonzero(count > 0)
+            arcs.append((first + prefix[seen]) * self.size + token[seen])
+            weights.append(np.log10(chance[seen]))
+            following = first + len(history)
+            if k + 1 < len(longer):  # the n-gram is a state itself; its failure arc leads to its suffix
+                targets.append(following + seen)
+                back.append(first + suffix)
+            else:
+                targets.append(first + suffix[seen])
+            history, first = count, following
+        self.root = first
+        self.fail = np.concatenate(fail).tolist()
+        self.back = np.concatenate([np.full(len(singles), self.root), *back]).tolist()
+        self.arcs = dict(zip(np.concatenate(arcs).tolist(), range(sum(map(len, arcs)))))
+        self.weights, self.targets = np.concatenate(weights).tolist(), np.concatenate(targets).tolist()
         # an unknown word leads to the root
-        self.next = np.where(self.known > 0, np.arange(self.size), root).tolist()
+        self.next = np.where(self.known > 0, np.arange(self.size), self.root).tolist()
 
     def walk(self, tokens: list[int]) -> float:
         """log10 probability of a text, in one pass."""
-        arcs, fail, root, following, size = self.arcs.get, self.fail, self.root, self.next, self.size
+        arc, weights, targets, fail, back, root, size = self.arcs.get, self.weights, self.targets, self.fail, self.back, self.root, self.size
         state, total = self.start, 0.0
         for token in tokens:
-            weight = arcs(state * size + token)
-            total += fail[state] + root[token] if weight is None else weight
-            state = following[token]
+            while state != root:
+                found = arc(state * size + token)
+                if found is not None:
+                    total += weights[found]
+                    state = targets[found]
+                    break
+                total += fail[state]
+                state = back[state]
+            else:
+                total += self.root_weight[token]
+                state = self.next[token]
         return total
 
 
 _SCORED = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
 
 
-def _score(batches: Iterator[pa.RecordBatch], n: int, v: int, learned_from: int) -> Iterator[pa.RecordBatch]:
+def _score(batches: Iterator[pa.RecordBatch], n: int, v: int, held_out: int, order: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for i in range(batch.num_rows):
             row = batch.slice(i, 1).to_pylist()[0]
-            grams = Grams(row, learned_from)
+            grams = Grams(row, held_out, order)
             totals = np.concatenate([_expanded(r["totals"], np.int64) for r in row["replies"]])
             automaton = Automaton(grams, totals, n, v)
             base = np.log10((automaton.known + 0.5) / (n + 0.5 * (v + 1)))
             known = automaton.known > 0
             scores = [automaton.walk(grams.tokens[a:a + m].tolist()) for a, m in zip(grams.starts.tolist(), grams.lengths.tolist())]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(row["doc_ids"], pa.int64()), pa.array([None if f is None else f == learned_from for f in row["folds"]], pa.bool_()),
+                [pa.array(row["doc_ids"], pa.int64()), pa.array([None if f is None else f == held_out for f in row["folds"]], pa.bool_()),
                  pa.array(grams.lengths), pa.array(np.add.reduceat(known[grams.tokens].astype(np.int64), grams.starts)),
                  pa.array([n] * len(scores), pa.int64()), pa.array(np.add.reduceat(base[grams.tokens], grams.starts)),
                  pa.array(scores, pa.float64())],
                 names=["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
 
 
-def score(docs: DataFrame, fold_column: str = "fold", held_out: int = 1, bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
-    """``docs`` (doc_id, text, fold): learn from rows whose fold is not ``held_out`` and score every row."""
+def score(docs: DataFrame, fold_column: str = "fold", held_out: int = 1, bucket_bytes: int = BUCKET_BYTES, order: int = 2) -> DataFrame:
+    """``docs`` (doc_id, text, fold): learn n-grams of up to ``order`` tokens from rows whose fold is not ``held_out``, score every row."""
+    if order < 2:
+        raise ValueError("a backoff automaton needs n-grams of two tokens or more")
     inputs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(fold_column).cast("long").alias("fold"),
                          F.col("text").cast("binary").alias("text"))
     buckets = (inputs.agg(F.sum(F.octet_length("text")).alias("bytes")).first()["bytes"] or 0) // bucket_bytes + 1
     chunks = written(inputs.mapInArrow(_chunks, _CHUNK).withColumn("chunk", F.monotonically_increasing_id()), "chunks")
-    asked = chunks.mapInArrow(lambda it: _ask(it, buckets, held_out), "bucket long, chunk long, keys binary, counts binary")
+    asked = chunks.mapInArrow(lambda it: _ask(it, buckets, held_out, order), "bucket long, chunk long, keys binary, counts binary")
     answers = written(asked.groupBy("bucket").applyInArrow(_answer, _ANSWER), "answers")
     sums = answers.where("chunk IS NULL").agg(F.sum("n").alias("n"), F.sum("v").alias("v")).first()
     n, v = sums["n"] or 0, sums["v"] or 0
     replies = answers.where("chunk IS NOT NULL").groupBy("chunk").agg(
         F.sort_array(F.collect_list(F.struct("bucket", "totals"))).alias("replies"))  # the totals of one chunk
-    return chunks.join(replies, "chunk").mapInArrow(lambda it: _score(it, n, v, held_out), _SCORED)
+    return chunks.join(replies, "chunk").mapInArrow(lambda it: _score(it, n, v, held_out, order), _SCORED)
 
 
 def op3_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return score(table(spark, sf_dir, "documents").select("doc_id", "text", fold("fold", "doc_id", 5)))
+    return score(table(spark, sf_dir, "documents").select("doc_id", "text", fold("fold", "doc_id", 5)), order=ORDER)
