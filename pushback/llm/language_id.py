@@ -5,26 +5,29 @@ counts.  Escape method C without exclusion gives each byte a probability: at
 the longest context known, a symbol seen there gets c / (n + d), any other pays
 the escape d / (n + d) and is coded one context shorter, down to a uniform code
 over 256 bytes.  The statistics are frozen after training, so the exact code
-length of a whole text is a sum of table entries: one entry per byte, for the
-deepest context of the (shared) tree.  The language with the shortest code is
-predicted; ``score`` is its posterior under equal priors.
-
-Training uses a bounded sample of labelled rows: about ``docs_per_language`` of
-each of the ``max_languages`` most frequent languages, drawn by a hash of the
-id.  The byte statistics are counted by Spark; at most ``max_nodes`` contexts
-and ``table_bytes`` of code lengths are kept, which bounds the broadcast.
+length of a whole text is a sum over its bytes.  The language with the shortest
+code is predicted; ``score`` is its posterior under equal priors.
+
+Every language with a labelled row is learned, from a bounded sample: about
+``docs_per_language`` rows and at most about ``bytes_per_language`` bytes of
+each, drawn by a hash of the row's id and text; rows longer than that are not
+drawn.  The byte statistics are counted by Spark.  Contexts seen fewer than
+``min_count`` times are left out, and only seen (context, byte) entries are
+stored, ``max_entries`` a language, most frequent contexts first.  The
+broadcast has at most 16 bytes an entry: 2 MB a language; what one language
+keeps does not depend on the number of languages.
 
 Edge cases: a null text or one without a letter gets ``und`` with score 0, so
 does every text when there are no labelled rows; each row is judged by its own
-whole text, so repeated rows agree; equal code lengths go to the alphabetically
-first language; empty tables give empty results; ``predict`` keeps all input
-columns (an input column named like one of its own is replaced).
+whole text, however long (a megabyte at a time), so repeated rows agree; equal
+code lengths go to the alphabetically first language; empty tables give empty
+results; ``predict`` keeps all input columns (an input column named like one of
+its own is replaced).
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -32,10 +35,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from .common import fold, slices, table
+from .common import fold, row_key, slices, table
 
 ORDER = 3
-DOCS_PER_LANGUAGE, MAX_LANGUAGES, MAX_NODES, TABLE_BYTES, MIN_COUNT = 500, 100, 12_000, 24 << 20, 8
+DOCS_PER_LANGUAGE, BYTES_PER_LANGUAGE, MAX_ENTRIES, MIN_COUNT = 500, 4 << 20, 1 << 17, 8
+#: Bytes of text that are looked up at a time.
+STEP = 1 << 20
 UNDETERMINED = "und"
 
 
@@ -64,92 +69,111 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             grams = (_contexts(data).astype(np.uint64) << np.uint64(8)) | data[3:]
             grams, n = np.unique(grams[own[3:]], return_counts=True)
             yield pa.RecordBatch.from_arrays(
-                [pa.array([lang] * len(grams)), pa.array(grams.astype(np.int64)), pa.array(n.astype(np.int64))],
+                [pa.array([lang] * len(grams), pa.int32()), pa.array(grams.astype(np.int64)), pa.array(n.astype(np.int64))],
                 names=["lang", "gram", "n"])
 
 
+def _shortened(contexts: np.ndarray, k: int) -> np.ndarray:
+    """The last ``k`` bytes of contexts."""
+    return contexts & ((1 << 8 * k) - 1)
+
+
+def _found(own: np.ndarray, asked: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places of ``asked`` in the sorted ``own``, and whether they are there."""
+    at = np.minimum(np.searchsorted(own, asked), max(0, len(own) - 1))
+    return at, own[at] == asked if len(own) else np.zeros(len(asked), bool)
+
+
+class Tree:
+    """One language's contexts with their escapes, and seen (context, byte) pairs with their code lengths, by depth."""
+
+    def __init__(self, grams: np.ndarray, n: np.ndarray, frequent: list[np.ndarray], max_entries: int):
+        levels = []
+        for k in range(ORDER + 1):
+            pairs, inverse = np.unique((_shortened(grams >> 8, k) << 8) | (grams & 255), return_inverse=True)
+            count = np.bincount(inverse, n, len(pairs))
+            contexts, inverse = np.unique(pairs >> 8, return_inverse=True)
+            total, distinct = np.bincount(inverse, count, len(contexts)), np.bincount(inverse, minlength=len(contexts))
+            known = _found(frequent[k], contexts)[1] if k else np.ones(len(contexts), bool)
+            levels.append((pairs, count, contexts, inverse, total, distinct, known))
+        # a context is at least as frequent as any longer one that ends with it, so parents come first
+        depth = np.concatenate([np.full(len(x[2]), k) for k, x in enumerate(levels)])
+        total, distinct, known = (np.concatenate([x[i] for x in levels]) for i in (4, 5, 6))
+        ranked = np.lexsort((depth, -total))
+        ranked = ranked[known[ranked]]
+        kept = np.zeros(len(depth), bool)
+        kept[ranked[np.cumsum(distinct[ranked]) <= max_entries]] = True
+        self.levels = []
+        for k, (pairs, count, contexts, inverse, total, distinct, _) in enumerate(levels):
+            keep = kept[depth == k]
+            escape, code = -np.log2(distinct / (total + distinct)), -np.log2(count / (total + distinct)[inverse])
+            seen = keep[inverse]
+            self.levels.append((contexts[keep].astype(np.uint32), escape[keep].astype(np.float32),
+                                pairs[seen].astype(np.uint32), code[seen].astype(np.float32)))
+
+    def codes(self, grams: np.ndarray) -> np.ndarray:
+        """Code length in bits of the last byte of each gram after the bytes before it."""
+        out = np.full(len(grams), 8.0)
+        for k, (contexts, escape, pairs, code) in enumerate(self.levels):
+            if not len(contexts):
+                continue
+            context = _shortened(grams >> np.uint32(8), k)
+            at, known = _found(contexts, context)
+            out += np.where(known, escape[at], 0.0)
+            at, seen = _found(pairs, (context << np.uint32(8)) | (grams & np.uint32(255)))
+            out = np.where(seen, code[at], out)
+        return out
+
+
 class Model:
-    """Frozen code lengths: ``codes[node * 256 + byte]`` has one column per language."""
+    """Frozen statistics: one tree per language."""
 
     def __init__(self, languages: list[str], grams: np.ndarray, lang: np.ndarray, n: np.ndarray,
-                 max_nodes: int = MAX_NODES, table_bytes: int = TABLE_BYTES, min_count: int = MIN_COUNT):
+                 max_entries: int = MAX_ENTRIES, min_count: int = MIN_COUNT):
         self.languages = languages
-        size = max(1, len(languages))
-        max_nodes = max(1, min(max_nodes, table_bytes // (1024 * size)))
-        context, symbol = grams >> 8, grams & 255
-        totals = []
-        for k in range(1, ORDER + 1):
-            own, inverse = np.unique(context & ((1 << 8 * k) - 1), return_inverse=True)
-            count = np.bincount(inverse, n, len(own))
-            totals += [(-c, k, x) for c, x in zip(count.tolist(), own.tolist()) if c >= min_count]
-        # a context is at least as frequent as any longer one that ends with it, so parents come first
-        kept = [(0, 0), *((k, x) for _, k, x in sorted(totals)[: max_nodes - 1])]
-        node = {kx: i for i, kx in enumerate(kept)}
-        kept = [(k, x) for k, x in kept if k < 2 or (k - 1, x & ((1 << 8 * (k - 1)) - 1)) in node]
-        node = {kx: i for i, kx in enumerate(kept)}
-        codes = np.empty((len(kept), 256, size), np.float32)
-        self.kept = np.array(kept, np.int64)
+        frequent = []
         for k in range(ORDER + 1):
-            counts = {}
-            if len(grams):
-                key = (((context & ((1 << 8 * k) - 1)) << 8) | symbol) * size + lang
-                own, inverse = np.unique(key, return_inverse=True)
-                total = np.bincount(inverse, n, len(own))
-                for x, c in zip(own.tolist(), total.tolist()):
-                    rest, l = divmod(x, size)
-                    counts.setdefault(rest >> 8, []).append((rest & 255, l, c))
-            for i, (order, x) in enumerate(kept):
-                if order != k:
-                    continue
-                c = np.zeros((256, size))
-                for s, l, v in counts.get(x, ()):
-                    c[s, l] = v
-                total, distinct = c.sum(0), (c > 0).sum(0)
-                with np.errstate(divide="ignore", invalid="ignore"):
-                    escape = np.where(total > 0, -np.log2(distinct / (total + distinct)), 0.0)
-                    shorter = codes[node[(k - 1, x & ((1 << 8 * (k - 1)) - 1))]] if k else np.full((256, size), 8.0)
-                    codes[i] = np.where(c > 0, -np.log2(c / (total + distinct)), escape + shorter)
-        self.codes = codes.reshape(-1, size)
-
-    @cached_property
-    def node_of(self) -> np.ndarray:
-        """The deepest context of the tree for each three preceding bytes; built where it is used, not sent."""
-        out = np.zeros((256, 256, 256), np.uint16)
-        for i, (k, x) in sorted(enumerate(self.kept.tolist()), key=lambda e: e[1][0]):
-            if k == 1:
-                out[:, :, x] = i
-            elif k == 2:
-                out[:, x >> 8, x & 255] = i
-            elif k == 3:
-                out[x >> 16, x >> 8 & 255, x & 255] = i
-        return out.reshape(-1)
+            own, inverse = np.unique(_shortened(grams >> 8, k), return_inverse=True)
+            frequent.append(own[np.bincount(inverse, n, len(own)) >= min_count])
+        by_language = np.argsort(lang, kind="stable")
+        cuts = np.searchsorted(lang[by_language], np.arange(len(languages) + 1))
+        self.trees = [Tree(grams[own], n[own], frequent, max_entries)
+                      for own in (by_language[i:j] for i, j in zip(cuts, cuts[1:]))]
 
     def lengths(self, texts: list[bytes]) -> np.ndarray:
         """Code length in bits of each non-empty text under each language."""
         data, own = _padded(texts)
-        at = self.node_of[_contexts(data)].astype(np.int64) * 256 + data[3:]
-        at = at[own[3:]]
-        starts = np.cumsum([0, *map(len, texts)])[:-1]
-        return np.add.reduceat(np.take(self.codes, at, axis=0), starts, axis=0, dtype=np.float64)
-
-
-def train(labelled: DataFrame, docs_per_language: int = DOCS_PER_LANGUAGE, max_languages: int = MAX_LANGUAGES) -> Model:
+        grams = ((_contexts(data) << np.uint32(8)) | data[3:])[own[3:]]
+        ends = np.cumsum([len(t) for t in texts])
+        starts = np.append(0, ends[:-1])
+        out = np.zeros((len(texts), len(self.languages)))
+        for a in range(0, len(grams), STEP):
+            b = min(len(grams), a + STEP)
+            # the texts with bytes in this step
+            first, last = np.searchsorted(ends, a, side="right"), np.searchsorted(starts, b, side="left")
+            distinct, inverse = np.unique(grams[a:b], return_inverse=True)
+            for i, tree in enumerate(self.trees):
+                out[first:last, i] += np.add.reduceat(tree.codes(distinct)[inverse], np.maximum(starts[first:last], a) - a)
+        return out
+
+
+def train(labelled: DataFrame, docs_per_language: int = DOCS_PER_LANGUAGE, bytes_per_language: int = BYTES_PER_LANGUAGE) -> Model:
     """Fit on ``labelled`` (doc_id, lang, text)."""
-    rows = labelled.where("lang IS NOT NULL AND text IS NOT NULL")
-    top = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(max_languages).collect()
-    languages = sorted(r["lang"] for r in top)
-    if not languages:
+    size = F.octet_length("text")
+    rows = labelled.where(F.col("lang").isNotNull() & (size <= bytes_per_language))
+    found = rows.groupBy("lang").agg(F.count("*").alias("n"), F.sum(size).alias("bytes")).orderBy("lang").collect()  # one row a language
+    if not found:
         return Model([], *(np.empty(0, np.int64) for _ in range(3)))
     # a row is drawn when its hash lies in its language's share of the hash range
-    share = F.create_map(*[F.lit(x) for r in top for x in (r["lang"], min(1.0, docs_per_language / r["count"]))])
-    draw = F.pmod(F.xxhash64(F.lit("ppm"), "doc_id"), F.lit(1 << 30)) / float(1 << 30)
-    drawn = rows.where(draw < F.element_at(share, F.col("lang")))
-    counted = (drawn.select("lang", F.col("text").cast("binary").alias("text"))
-               .mapInArrow(_count, "lang string, gram long, n long")
+    shares = labelled.sparkSession.createDataFrame(
+        [(r["lang"], i, min(1.0, docs_per_language / r["n"], bytes_per_language / max(1, r["bytes"]))) for i, r in enumerate(found)],
+        "lang string, number int, share double")
+    draw = F.pmod(row_key("doc_id", "text"), F.lit(1 << 30)) / float(1 << 30)
+    drawn = rows.join(F.broadcast(shares), "lang").where(draw < F.col("share"))
+    counted = (drawn.select(F.col("number").alias("lang"), F.col("text").cast("binary").alias("text"))
+               .mapInArrow(_count, "lang int, gram long, n long")
                .groupBy("lang", "gram").agg(F.sum("n").alias("n")).toArrow())
-    order = {name: i for i, name in enumerate(languages)}
-    lang = np.array([order[x] for x in counted.column("lang").to_pylist()], np.int64)
-    return Model(languages, counted.column("gram").to_numpy(), lang, counted.column("n").to_numpy())
+    return Model([r["lang"] for r in found], *(counted.column(c).to_numpy().astype(np.int64) for c in ("gram", "lang", "n")))
 
 
 _OWN = "lang_pred string, score double, bits_per_byte double"
