@@ -45,7 +45,8 @@ from .common import fold, mixed, slices, table, word_hashes, words_of, written
 
 MOST, HALF = 0.75, 1.0
 CHUNK_BYTES, BUCKET_BYTES = 4 << 20, 16 << 20
-ORDER = 3
+#: Of the query; trigrams take more than the disk and memory that the cluster allows (see README).
+ORDER = 2
 
 _LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
 #: Hashes of the end token and the start state; words have no white space, so these names are free.
