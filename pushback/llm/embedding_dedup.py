@@ -16,13 +16,16 @@ where they are verified, and only the edges of a spanning forest leave a task,
 so the output never grows with the square of a group.  A filter with many
 vectors is split into blocks of searchers and blocks of members, each pair of
 blocks its own group, which bounds the memory of a task exactly and loses
-nothing.
+nothing.  The number of codes grows with the root of the largest label, so a
+best filter has about ``PER_FILTER`` searchers at every size.
 
 Edge cases: a null label, a null or empty vector, zeros and vectors with null
 or non-finite parts link with nothing (their component is their own id); only
 vectors of one length are compared; repeated rows with one id count as further
 vectors; null ids stay in the result with a null component and no links; an
-empty table gives an empty result; other columns are ignored.
+empty table gives an empty result; other columns are ignored; doubles stay
+doubles; links at a cosine equal to the threshold count (ties); a vector has to
+fit in a row, and long ones are decoded a few at a time.
 """
 
 from __future__ import annotations
@@ -35,6 +38,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, FloatType
 
 from .common import table, written
 from .components import components
@@ -88,18 +92,23 @@ def _unit(vectors: list[list[float]]) -> np.ndarray:
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
-_CAPS = "label long, dim int, filter long, node long, weight long, searches boolean, vector array<float>"
+_CAPS = "label long, dim int, filter long, node long, weight long, searches boolean, vector "
+#: Block products (vectors times codes) that a task holds at a time.
+PRODUCTS = 2000 * 256
 
 
 def _caps(batches: Iterator[pa.RecordBatch], codes: int, margin: float) -> Iterator[pa.RecordBatch]:
+    rows, caps = max(1, min(2000, PRODUCTS // codes)), {}
     for whole in batches:
-        for start in range(0, whole.num_rows, 2000):
-            batch = whole.slice(start, 2000)
+        for start in range(0, whole.num_rows, rows):
+            batch = whole.slice(start, rows)
             dims = np.asarray(batch.column("dim"))
             for dim in np.unique(dims).tolist():
                 own = pa.RecordBatch.from_arrays(batch.columns, names=batch.schema.names).filter(pa.array(dims == dim))
                 x = _unit(own.column("vector").to_pylist())
-                best, row, filters = Caps(dim, codes).decode(x, margin)
+                if dim not in caps:
+                    caps = {dim: Caps(dim, codes)}  # one length at a time
+                best, row, filters = caps[dim].decode(x, margin)
                 take = pa.array(row)
                 yield pa.RecordBatch.from_arrays(
                     [own.column("label").take(take), own.column("dim").take(take), pa.array(filters, pa.int64()),
@@ -145,18 +154,20 @@ def _verify(group: pd.DataFrame, threshold: float) -> pd.DataFrame:
 
 def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, margin: float = MARGIN, block: int = BLOCK) -> DataFrame:
     """``vectors`` (vec_id, embedding, label) -> vec_id, n_links, component_id, kept."""
+    given = vectors.schema["embedding"].dataType
+    kind = "array<float>" if isinstance(given, ArrayType) and isinstance(given.elementType, FloatType) else "array<double>"
     rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("label").cast("long").alias("label"),
-                          F.col("embedding").cast("array<float>").alias("vector"))
+                          F.col("embedding").cast(kind).alias("vector"))
     usable = F.expr("label IS NOT NULL AND size(vector) > 0 AND forall(vector, x -> x IS NOT NULL AND NOT isnan(x) "
-                    "AND abs(x) < float('infinity')) AND exists(vector, x -> x <> 0)")
+                    "AND abs(x) < double('infinity')) AND exists(vector, x -> x <> 0)")
     rows = written(rows.withColumn("usable", F.coalesce(usable, F.lit(False))), "vectors")
     # equal vectors are one node, named by a key of its own (ids may repeat)
     nodes = rows.where("usable").groupBy("label", "vector").agg(
         F.count("*").alias("weight"), F.min("vec_id").alias("least")).withColumn("dim", F.size("vector"))
     nodes = written(nodes.withColumn("node", F.xxhash64("label", "vector")), "nodes")
     largest = nodes.groupBy("label", "dim").count().agg(F.max("count")).first()[0] or 0
-    codes = max(16, min(256, math.ceil(math.sqrt(largest / PER_FILTER))))
-    caps = nodes.select("label", "dim", "node", "weight", "vector").mapInArrow(lambda it: _caps(it, codes, margin), _CAPS)
+    codes = max(16, math.ceil(math.sqrt(largest / PER_FILTER)))
+    caps = nodes.select("label", "dim", "node", "weight", "vector").mapInArrow(lambda it: _caps(it, codes, margin), _CAPS + kind)
     caps = written(caps, "caps")
     key = ["label", "dim", "filter"]
     # a filter's vectors fall into blocks; each pair of blocks (searchers, members) is a group
