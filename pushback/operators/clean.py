@@ -87,6 +87,23 @@ def merge_estimates(flights: DataFrame, estimates: DataFrame, suffix: str = "_ff
     return joined.withColumn(mark, F.col("__found").isNotNull()).drop("__found") if mark else joined
 
 
+def first_estimates(estimates: DataFrame, count: str | None = None) -> DataFrame:
+    """One row per six-key tuple of the estimates: the one that ``keep_first_per_flight`` would keep.
+
+    Missing keys match each other in ``merge_estimates``, so an equal tuple on
+    both sides (say, flights and estimates without an initial time) joins into
+    all pairs, of which one per flight is kept.  For any flight the smallest of
+    its estimates is that of the tuple (every other column in order, NULLs
+    last), so it is found before the join, which then keeps its flights' number.
+    With ``count`` a column of that name has the tuple's rows.
+    """
+    on = [c for c in ESTIMATE_ON if c in estimates.columns]
+    rest = [c for c in estimates.columns if c not in on]
+    place = F.struct(*[part for c in rest for part in (F.col(c).isNull().alias(f"__no_{c}"), F.col(c))]) if rest else F.lit(True)
+    found = estimates.groupBy(*on).agg(F.min(place).alias("__first"), F.count(F.lit(1)).alias("__rows"))
+    return found.select(*on, *[F.col("__first")[c].alias(c) for c in rest], *([F.col("__rows").alias(count)] if count else []))
+
+
 def estimate_match_rate(merged: DataFrame, marker: str = "gufi_ffs") -> DataFrame:
     """Share of flights (in %) that found an estimate: one-row table."""
     return merged.agg((F.avg(F.col(marker).isNotNull().cast("double")) * 100).alias("pct_matched"))

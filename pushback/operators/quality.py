@@ -32,12 +32,20 @@ class StepWatch:
     def __init__(self):
         self.steps: list[tuple[str, Observation, bool]] = []
 
-    def __call__(self, name: str, df: DataFrame, matched: Column | None = None) -> DataFrame:
-        """Watch a step; ``matched`` tells the rows that found a partner in the step's join."""
+    def __call__(self, name: str, df: DataFrame, matched: Column | None = None, times: Column | None = None) -> DataFrame:
+        """Watch a step; ``matched`` tells the rows that found a partner in the step's join.
+
+        ``times``: the rows of the step that a row stands for (NULL: one).
+        """
         seen = Observation()
         self.steps.append((name, seen, matched is not None))
-        hits = [] if matched is None else [F.count_if(matched).alias("matched")]
-        return df.observe(seen, F.count(F.lit(1)).alias("rows"), *hits)
+        weight = F.lit(1) if times is None else F.coalesce(times, F.lit(1))
+
+        def rows(of: Column) -> Column:
+            return F.coalesce(F.sum(F.when(of, weight)), F.lit(0))
+
+        hits = [] if matched is None else [rows(matched).alias("matched")]
+        return df.observe(seen, rows(F.lit(True)).alias("rows"), *hits)
 
     def table(self, spark: SparkSession) -> DataFrame:
         rows, before = [], None

@@ -79,21 +79,27 @@ def ingest(src: RawSources, p: PipelineParams) -> Ingested:
     )
 
 
-def _watched(watch: StepWatch | None, name: str, df: DataFrame, mark: str | None = None) -> DataFrame:
-    """Count a step's rows, and those with ``mark``, which is dropped."""
-    if watch is None:
-        return df.drop(mark) if mark else df
-    return watch(name, df, F.col(mark)).drop(mark) if mark else watch(name, df)
+def _watched(watch: StepWatch | None, name: str, df: DataFrame, mark: str | None = None, times: str | None = None) -> DataFrame:
+    """Count a step's rows (each ``times`` over), and those with ``mark``; both columns are dropped."""
+    work = [c for c in (mark, times) if c]
+    if watch is not None:
+        df = watch(name, df, F.col(mark) if mark else None, F.col(times) if times else None)
+    return df.drop(*work) if work else df
 
 
 def cleaned_flights(ing: Ingested, with_estimates: bool = True, check_empty_runways: bool = True,
                     watch: StepWatch | None = None) -> DataFrame:
-    """Override runways -> (estimates) -> first row per flight."""
-    mark = "__matched" if watch else None
+    """Override runways -> (estimates) -> first row per flight.
+
+    A flight keeps the first of its estimates, so only the first of each key
+    tuple is joined; a watched ``estimate_join`` counts all of them.
+    """
+    mark, times = ("__matched", "__times") if watch else (None, None)
     df = _watched(watch, "flight_summary", ing.flights)
     df = _watched(watch, "runway_override", clean.replace_runway_actuals(df, ing.runways, check_empty=check_empty_runways, mark=mark), mark)
     if with_estimates:
-        df = _watched(watch, "estimate_join", clean.merge_estimates(df, ing.estimates, mark=mark), mark)
+        df = clean.merge_estimates(df, clean.first_estimates(ing.estimates, count=times), mark=mark)
+        df = _watched(watch, "estimate_join", df, mark, times)
     return _watched(watch, "first_per_flight", clean.keep_first_per_flight(df))
 
 
