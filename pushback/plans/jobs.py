@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pushback.operators import clean, filters, occupancy, split
 from pushback.operators.quality import StepWatch
 from pushback.plans.config import PipelineParams
-from pushback.session import materialize
+from pushback.session import deal_by_size, materialize
 from pushback.sources import adapter, readers
 from pushback.sources import flight_tables as ft
 
@@ -92,8 +92,10 @@ def cleaned_flights(ing: Ingested, with_estimates: bool = True, check_empty_runw
     """Override runways -> (estimates) -> first row per flight.
 
     A flight keeps the first of its estimates, so only the first of each key
-    tuple is joined; a watched ``estimate_join`` counts all of them.
+    tuple is joined; a watched ``estimate_join`` counts all of them.  The flights
+    are counted first, so that the joins and the sort get enough partitions.
     """
+    deal_by_size(ing.flights)
     mark, times = ("__matched", "__times") if watch else (None, None)
     df = _watched(watch, "flight_summary", ing.flights)
     df = _watched(watch, "runway_override", clean.replace_runway_actuals(df, ing.runways, check_empty=check_empty_runways, mark=mark), mark)
